@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tallygraph import fixed as fx
 from tallygraph.functions.keys import present_id, row_ref
 from tallygraph.functions.text import blank_to_null
+from tallygraph.session import small_table
 from tallygraph.sources.catalog import TableObject
 
 ROW_INDEX = "row_index"     # position of the row in its table, given by the landing job
@@ -74,8 +75,8 @@ def forms(spark: SparkSession, objects: list[TableObject]) -> DataFrame:
     """One form row per object, in object order."""
     rows = [(o.order, o.kind, o.form_ref, o.title, o.color, o.cls,
              [{"id": item, "title": title} for _, item, title in o.fields]) for o in objects]
-    return spark.createDataFrame(
-        rows, f"obj int, kind string, ref string, title string, color string, cls string, fields {FIELDS_TYPE}")
+    return small_table(
+        spark, rows, f"obj int, kind string, ref string, title string, color string, cls string, fields {FIELDS_TYPE}")
 
 
 def actors(df: DataFrame, obj: TableObject) -> DataFrame:

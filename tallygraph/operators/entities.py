@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallygraph import fixed as fx
 from tallygraph.functions.text import strip
 from tallygraph.operators.actors import (ROW_INDEX, is_valid, salary_of, title_of, value_text)
+from tallygraph.session import union_all
 from tallygraph.sources.catalog import TableObject
 
 
@@ -43,7 +42,7 @@ def entities(tables: dict[str, DataFrame], objects: list[TableObject], caps: dic
              file_name: str | None = None, parent: str | None = None) -> DataFrame:
     limits = {**fx.ENTITY_CAPS, **(caps or {})}
     parts = [entity_rows(tables[o.phys], o, limits.get(o.cls, 0)) for o in objects if o.cls in fx.ENTITY_CLASS]
-    return reduce(DataFrame.unionByName, parts).select(
+    return union_all(parts).select(
         "*", F.lit(fx.ENTITY_CONFIDENCE).alias("confidence"), F.lit("1c").alias("source"),
         F.lit(file_name).cast("string").alias("source_url"), F.lit("confirmed").alias("status"),
         F.lit(parent).cast("string").alias("parent"))
@@ -63,7 +62,7 @@ def entity_counts(tables: dict[str, DataFrame], objects: list[TableObject],
             F.count(F.lit(1)).alias("total"),
             F.least(F.count_if(titled), F.lit(limits.get(o.cls, 0))).alias("shown"))
             .select(F.lit(o.cls).alias("cls"), "total", "shown"))
-    return reduce(DataFrame.unionByName, parts).groupBy("cls").agg(
+    return union_all(parts).groupBy("cls").agg(
         F.sum("total").alias("total"), F.sum("shown").alias("shown"))
 
 
@@ -93,7 +92,7 @@ def organization_name(tables: dict[str, DataFrame], objects: list[TableObject])
              .select(F.lit(o.order).alias("obj"), F.col(ROW_INDEX).alias("pos"),
                      title_of(tables[o.phys], o).alias("title"))
              for o in objects if o.cls == "organizations"]
-    titled = reduce(DataFrame.unionByName, parts).filter(F.col("title") != "")
+    titled = union_all(parts).filter(F.col("title") != "")
     return titled.agg(F.min_by("title", F.struct("obj", "pos")).alias("org_name"))
 
 

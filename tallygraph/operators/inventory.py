@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygraph import fixed as fx
 from tallygraph.functions.numbers import lookup
 from tallygraph.operators.actors import is_valid
+from tallygraph.session import small_table, union_all
 from tallygraph.sources.catalog import Catalog
 
 ENTITY_SCHEMA = ("ord int, key string, name string, kind string, fields array<string>, "
@@ -19,7 +18,7 @@ ENTITY_SCHEMA = ("ord int, key string, name string, kind string, fields array<st
 def _table_rows(tables: dict[str, DataFrame], keyed: list[tuple[str, str]]) -> DataFrame:
     parts = [tables[phys].agg(F.count(F.lit(1)).alias("rows")).select(F.lit(key).alias("key"), "rows")
              for key, phys in keyed]
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)
 
 
 def base_entities(spark: SparkSession, tables: dict[str, DataFrame], catalog: Catalog) -> DataFrame:
@@ -33,7 +32,7 @@ def base_entities(spark: SparkSession, tables: dict[str, DataFrame], catalog: Ca
         described.append((1000 + r.idx, f"reg{r.idx}", r.name, fx.REGISTER_LABEL,
                           [n for _, n, _ in r.resources], [n for _, n in r.dims]))
         keyed.append((f"reg{r.idx}", r.phys))
-    return spark.createDataFrame(described, ENTITY_SCHEMA) \
+    return small_table(spark, described, ENTITY_SCHEMA) \
         .join(_table_rows(tables, keyed), "key", "left") \
         .withColumn("rows", F.coalesce("rows", F.lit(0)))
 
@@ -61,13 +60,13 @@ def class_counts(tables: dict[str, DataFrame], catalog: Catalog, counters: DataF
     with_lines = not classes or "documents" in classes
     lines = [tables[v.phys].agg(F.count(F.lit(1)).alias("n")) for v in catalog.lines] if with_lines else []
     if lines:
-        all_lines = reduce(DataFrame.unionByName, lines).agg(F.sum("n").alias("n")).filter(F.col("n") > 0)
+        all_lines = union_all(lines).agg(F.sum("n").alias("n")).filter(F.col("n") > 0)
         parts.append(all_lines.select(F.lit(fx.LINE_CLASS).alias("cls"), "n"))
         parts.append(all_lines.select(F.lit("counters").alias("cls"), F.lit(1).cast("bigint").alias("n")))
     if counters is not None:
         parts.append(counters.agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 0)
                      .select(F.lit("counters").alias("cls"), "n"))
-    return reduce(DataFrame.unionByName, parts).groupBy("cls").agg(F.sum("n").alias("n"))
+    return union_all(parts).groupBy("cls").agg(F.sum("n").alias("n"))
 
 
 def line_coverage(tables: dict[str, DataFrame], catalog: Catalog) -> DataFrame:
@@ -110,7 +109,7 @@ def analyze(files: DataFrame, totals: list[DataFrame]) -> DataFrame:
     ``totals`` hold file_id, entities, records, fields, links per analysed file.
     """
     names = ["entities", "records", "fields", "links"]
-    known = reduce(DataFrame.unionByName, [t.select("file_id", *names) for t in totals])
+    known = union_all([t.select("file_id", *names) for t in totals])
     joined = files.join(known, "file_id", "left")
     supported = F.col("format").isin("xml", "1cd", "dt", "cf")
     return joined.select(

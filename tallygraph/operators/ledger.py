@@ -7,14 +7,13 @@ Amounts are DECIMAL(18,2) and their sums DECIMAL(28,2).
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallygraph import fixed as fx
 from tallygraph.functions.keys import posting_id, present_id
 from tallygraph.operators.actors import ROW_INDEX, named_columns
+from tallygraph.session import union_all
 from tallygraph.sources.catalog import Register, TableObject
 
 AMOUNT, TOTAL = "decimal(18,2)", "decimal(28,2)"
@@ -90,7 +89,7 @@ def counter_actors(regs: list[tuple[Register, DataFrame]]) -> DataFrame:
     parts = [form.select(F.lit(reg.counter).alias("ref"), F.lit(fx.COUNTER_FORM).alias("form_ref"),
                          F.lit(fx.COUNTER_TITLE + reg.name).alias("title"), F.lit(reg.idx).alias("obj"))
              for reg, form in regs]
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)
 
 
 def account_totals(regs: list[tuple[Register, DataFrame]], ids: DataFrame) -> DataFrame:
@@ -107,7 +106,7 @@ def account_totals(regs: list[tuple[Register, DataFrame]], ids: DataFrame) -> Da
         parts.append(cell.groupBy("id", F.col("c.account").alias("account_name"),
                                   F.col("c.kind").alias("currency"))
                      .agg(F.sum(signed).alias("amount")))
-    summed = reduce(DataFrame.unionByName, parts)
+    summed = union_all(parts)
     return (summed.join(ids.select("id", "ref", "cls", "form_ref"), "id")
             .groupBy("ref", "account_name")
             .agg(F.sum("amount").cast(TOTAL).alias("amount"), F.first("currency").alias("currency"),

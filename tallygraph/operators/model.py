@@ -8,26 +8,23 @@ the last row of each id.
 from __future__ import annotations
 
 import re
-from functools import cached_property, reduce
+from collections.abc import Mapping
+from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygraph import fixed as fx
 from tallygraph.operators import actors, entities, inventory, ledger, links, plan
+from tallygraph.session import small_table, union_all
 from tallygraph.sources.catalog import Catalog, TableObject
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
-
-
 class LandedBase:
-    def __init__(self, tables: dict[str, DataFrame], catalog: Catalog,
+    def __init__(self, spark: SparkSession, tables: Mapping[str, DataFrame], catalog: Catalog,
                  scope: list[str] | None = None, unique_ids: bool = False):
-        self.tables, self.catalog, self.unique_ids = tables, catalog, unique_ids
+        self.spark, self.tables, self.catalog, self.unique_ids = spark, tables, catalog, unique_ids
         self.scope = list(scope) if scope else None
-        self.spark = next(iter(tables.values())).sparkSession
 
     # ------------------------------------------------------------ objects
     @property
@@ -45,7 +42,7 @@ class LandedBase:
         return self._id_map(objects)
 
     def _id_map(self, objects: list[TableObject]) -> DataFrame:
-        rows = _union([actors.id_rows(self.tables[o.phys], o) for o in objects
+        rows = union_all([actors.id_rows(self.tables[o.phys], o) for o in objects
                        if "_IDRREF" in self.tables[o.phys].columns])
         return rows if self.unique_ids else links.last_wins(rows)
 
@@ -58,15 +55,15 @@ class LandedBase:
         return actors.forms(self.spark, self.objects)
 
     def actors(self) -> DataFrame:
-        return _union([actors.actors(self.tables[o.phys], o) for o in self.objects])
+        return union_all([actors.actors(self.tables[o.phys], o) for o in self.objects])
 
     def fills(self) -> DataFrame:
-        return _union([actors.fills(self.tables[o.phys], o) for o in self.objects])
+        return union_all([actors.fills(self.tables[o.phys], o) for o in self.objects])
 
     def links(self) -> DataFrame:
         found = [links.link_candidates(self.tables[o.phys], o) for o in self.objects
                  if links.has_references(self.tables[o.phys], o)]
-        return links.resolve_links(_union(found), self.ids())
+        return links.resolve_links(union_all(found), self.ids())
 
     def people(self) -> DataFrame:
         """Roll of the first employees catalog."""
@@ -85,7 +82,7 @@ class LandedBase:
             df = self.tables[o.phys]
             parts.append(df.select(F.col("_IDRREF").alias("id"), actors.ref_of(df, o).alias("ref"),
                                    actors.title_of(df, o).alias("name")).filter(F.col("id").isNotNull()))
-        return _union(parts)
+        return union_all(parts)
 
     def _active_registers(self):
         return [r for r in self.catalog.registers if r.dims and r.resources and r.phys in self.tables]
@@ -96,7 +93,7 @@ class LandedBase:
 
     def register_postings(self) -> DataFrame:
         money = self.currencies()
-        return _union([ledger.register_postings(self.tables[r.phys], r, self.ids(), money)
+        return union_all([ledger.register_postings(self.tables[r.phys], r, self.ids(), money)
                        for r in self._active_registers()])
 
     def document_lines(self) -> DataFrame:
@@ -105,7 +102,7 @@ class LandedBase:
         for v in self.lines:
             owner = [o for o in self.objects if f"{o.phys}_IDRREF".upper() == v.parent_col]
             parts.append(ledger.document_lines(self.tables[v.phys], v, self.ids(owner), self.ids(catalogs)))
-        return _union(parts)
+        return union_all(parts)
 
     def line_postings(self) -> DataFrame:
         return ledger.line_postings(self.document_lines())
@@ -123,8 +120,8 @@ class LandedBase:
         form_part = plan.form_ops(self.forms())
         if structure:
             return plan.op_stream([form_part])
-        counter_form = self.spark.createDataFrame(
-            [(10_000, fx.COUNTER_FORM, fx.COUNTER_FORM_TITLE, fx.COUNTER_COLOR, [])],
+        counter_form = small_table(
+            self.spark, [(10_000, fx.COUNTER_FORM, fx.COUNTER_FORM_TITLE, fx.COUNTER_COLOR, [])],
             f"obj int, ref string, title string, color string, fields {actors.FIELDS_TYPE}")
         parts = [form_part, plan.form_ops(counter_form.withColumn("cls", F.lit(None).cast("string"))),
                  plan.actor_ops(self.actors()), plan.fill_ops(self.fills()),
@@ -133,8 +130,8 @@ class LandedBase:
                  plan.transfer_ops(self.register_postings()), plan.link_ops(self.links())]
         if self.lines:
             doc_lines = self.document_lines()
-            counter = self.spark.createDataFrame(
-                [(20_000, 0, fx.DOCUMENT_COUNTER, fx.COUNTER_FORM, fx.DOCUMENT_COUNTER_TITLE, "registers")],
+            counter = small_table(
+                self.spark, [(20_000, 0, fx.DOCUMENT_COUNTER, fx.COUNTER_FORM, fx.DOCUMENT_COUNTER_TITLE, "registers")],
                 "obj int, pos int, ref string, form_ref string, title string, cls string")
             parts += [plan.actor_ops(counter), plan.transfer_ops(ledger.line_postings(doc_lines)),
                       plan.link_ops(ledger.line_links(doc_lines), dedup=True)]

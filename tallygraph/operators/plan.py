@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygraph import fixed as fx
 from tallygraph.functions.numbers import lookup
 from tallygraph.operators.positions import first_per_group
+from tallygraph.session import small_table, union_all
 
 LEG_TYPE = "array<struct<actor_ref:string,account_name:string,amount:decimal(18,2)>>"
+OPS_SCHEMA = ("op string, obj bigint, pos bigint, ord int, ref string, form_ref string, title string, "
+              "cls string, color string, fields array<struct<id:string,title:string>>, "
+              "std map<string,string>, data map<string,string>, position string, salary double, "
+              "currency string, account_name string, account_type string, "
+              f"from_legs {LEG_TYPE}, to_legs {LEG_TYPE}, doc string, lineno string, "
+              "source_ref string, target_ref string, name string, dedup boolean")
 
 
 def _leg(actor: str) -> Column:
@@ -56,7 +61,16 @@ def link_ops(links: DataFrame, dedup: bool = False) -> DataFrame:
 
 def op_stream(parts: list[DataFrame]) -> DataFrame:
     """All ops in one table; ``prio`` and (obj, pos, ord) give the dependency order."""
-    ops = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return with_priority(union_all([*parts, no_ops(parts[0].sparkSession)], allow_missing=True))
+
+
+def no_ops(spark: SparkSession) -> DataFrame:
+    """The columns of the op stream, without rows; the optimizer drops it from a union."""
+    cells = F.from_json(F.lit("{}"), OPS_SCHEMA)
+    return spark.range(1).filter(F.lit(False)).select(cells.alias("o")).select("o.*")
+
+
+def with_priority(ops: DataFrame) -> DataFrame:
     return ops.withColumn("prio", lookup(fx.OP_PRIORITY, F.col("op"), 9))
 
 
@@ -77,9 +91,15 @@ def in_scope(rows: DataFrame, scope: str | list[str] | None) -> DataFrame:
 
 
 def capped_actors(actors: DataFrame, cap: int) -> tuple[DataFrame, DataFrame]:
-    """First ``cap`` actors of each form, and the refs of the actors left out."""
+    """First ``cap`` actors of each form, and the refs of the actors left out.
+
+    The last kept place per form is one small row; the actors left out are those
+    behind it, so the full actor list is filtered and never sorted.
+    """
     kept = first_per_group(actors, ["form_ref"], ["obj", "pos", "ref"], cap)
-    left_out = actors.select("ref").join(kept.select("ref"), "ref", "left_anti")
+    place = F.struct("obj", "pos", "ref")
+    last = kept.groupBy("form_ref").agg(F.max(place).alias("_last"))
+    left_out = actors.join(last, "form_ref").filter(place > F.col("_last")).select("ref")
     return kept, left_out
 
 
@@ -91,8 +111,8 @@ def cap_ops(ops: DataFrame, cap: int) -> DataFrame:
     kept, out = capped_actors(actors, cap)
     others = ops.filter(F.col("op") != "create_actor")
     touched = others.filter(F.col("op") != "create_form")
-    touched = touched.withColumn("_a", F.coalesce("source_ref", F.col("from_legs")[0]["actor_ref"], "ref")) \
-        .withColumn("_b", F.coalesce("target_ref", F.col("to_legs")[0]["actor_ref"], "ref"))
+    touched = touched.withColumn("_a", F.coalesce("source_ref", F.get("from_legs", F.lit(0))["actor_ref"], "ref")) \
+        .withColumn("_b", F.coalesce("target_ref", F.get("to_legs", F.lit(0))["actor_ref"], "ref"))
     for side in ("_a", "_b"):
         touched = touched.join(out.withColumnRenamed("ref", side), side, "left_anti")
     return (ops.filter(F.col("op") == "create_form").unionByName(kept)
@@ -106,7 +126,7 @@ def category(op: Column) -> Column:
 def plan_counts(ops: DataFrame) -> DataFrame:
     """Planned ops per category, zeros included, other ops left out."""
     spark: SparkSession = ops.sparkSession
-    names = spark.createDataFrame([(c,) for c in fx.CATEGORIES], "category string")
+    names = small_table(spark, [(c,) for c in fx.CATEGORIES], "category string")
     counted = ops.groupBy(category(F.col("op")).alias("category")).agg(F.count(F.lit(1)).alias("planned"))
     return names.join(counted, "category", "left") \
         .select("category", F.coalesce("planned", F.lit(0)).alias("planned"))

@@ -12,6 +12,7 @@ from tallygraph.operators.positions import dense_index, grid_place
 from tallygraph.plans.registry import query, table
 from tallygraph.plans.star import metadata_texts, star_base
 from tallygraph.sources import catalog
+from tallygraph.sources.sinks import landed_ops
 
 CAP = 40
 
@@ -415,7 +416,7 @@ SQL_CAPPED = SQL_ACTORS + f""", {SQL_LINKS}, capped AS (SELECT ref FROM actors
 def capped_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = star_base(spark, sf_dir)
     ops = plan.op_stream([plan.actor_ops(base.actors()), plan.link_ops(base.links())])
-    return plan.cap_ops(ops, CAP).filter(F.col("op") == "create_link").select("source_ref", "target_ref", "name")
+    return plan.cap_ops(landed_ops(ops), CAP).filter(F.col("op") == "create_link").select("source_ref", "target_ref", "name")
 
 
 SQL_OPS = f"""WITH {SQL_REFS}, {SQL_REGISTER}, {SQL_LINES}, {SQL_LINKS}, n AS (
@@ -469,12 +470,13 @@ def first_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _plan_and_fact(base, cap: int) -> tuple[DataFrame, DataFrame]:
     """Planned counts of the capped stream, and counts of the ops whose endpoints get built."""
-    ops = plan.cap_ops(base.op_stream(), cap)
+    ops = plan.cap_ops(landed_ops(base.op_stream()), cap)
     formed = ops.filter(F.col("op") == "create_form")
     made, _ = links.accepted_and_rejected(ops.filter(F.col("op") == "create_actor"), formed)
     filled = ops.filter(F.col("op") == "fill_actor").join(made.select("ref"), "ref", "left_semi")
     moved = ops.filter(F.col("op") == "transfer").select(
-        "op", F.col("from_legs")[0]["actor_ref"].alias("source_ref"), F.col("to_legs")[0]["actor_ref"].alias("target_ref"))
+        "op", F.get("from_legs", F.lit(0))["actor_ref"].alias("source_ref"),
+        F.get("to_legs", F.lit(0))["actor_ref"].alias("target_ref"))
     linked = ops.filter(F.col("op") == "create_link").select("op", "source_ref", "target_ref")
     ends = links.built_links(moved.unionByName(linked), made)
     built = formed.select("op").unionByName(made.select("op")).unionByName(filled.select("op")) \
@@ -482,7 +484,7 @@ def _plan_and_fact(base, cap: int) -> tuple[DataFrame, DataFrame]:
     return plan.plan_counts(ops), plan.plan_counts(built).withColumnRenamed("planned", "built")
 
 
-SQL_PLAN = SQL_ACTORS.replace("WITH", "WITH", 1) + f""", {SQL_REGISTER}, {SQL_LINES}, {SQL_LINKS},
+SQL_PLAN = SQL_ACTORS + f""", {SQL_REGISTER}, {SQL_LINES}, {SQL_LINKS},
   capped AS (SELECT ref FROM actors QUALIFY row_number() OVER (PARTITION BY form_ref ORDER BY pos, ref) > {CAP}),
   tr AS (SELECT * FROM reg UNION ALL SELECT * FROM doc),
   alllinks AS (SELECT source_ref, target_ref FROM links UNION ALL SELECT DISTINCT doc, target FROM ln WHERE target IS NOT NULL),
@@ -506,9 +508,7 @@ def case_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = star_base(spark, sf_dir)
     formed = plan.form_ops(base.forms()).filter(F.col("ref") == "tmpl_ref1")
     made = plan.actor_ops(base.actors()).filter(F.col("form_ref") == "tmpl_ref1")
-    ops = plan.cap_ops(plan.op_stream([formed, made, plan.link_ops(base.links().limit(0)),
-                                       plan.transfer_ops(base.register_postings().limit(0))]), CAP)
-    planned = plan.plan_counts(ops)
+    planned = plan.plan_counts(plan.cap_ops(landed_ops(plan.op_stream([formed, made])), CAP))
     return plan.case_balances(plan.reconcile(planned, planned.withColumnRenamed("planned", "built")), "__case__")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -21,8 +22,15 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its schema is read from a footer once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if name not in _SCHEMAS:
+        _SCHEMAS[name] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[name]).parquet(path)
 
 
 def derived(spark: SparkSession, sf_dir: str, name: str, *exprs: str) -> DataFrame:

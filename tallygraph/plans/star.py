@@ -6,10 +6,13 @@ and some ids are zero, so that every fallback is taken on real rows.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tallygraph.operators.model import LandedBase
 from tallygraph.plans.registry import table
+from tallygraph.session import small_table
 from tallygraph.sources.catalog import Catalog, discover, metadata_entries
 
 # physical table -> (metadata type, number, title, {column number: human name})
@@ -48,8 +51,8 @@ def metadata_texts(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
         entries += [f'{{{_uuid(500, fld)},"Fld",{fld}}}' for fld in names]
         body = ",".join(f'{{{_uuid(500, fld)},"{name}"}}' for fld, name in names.items())
         configs.append((_object_uuid(phys), i, f'{{1,"{title}",{{{body}}}}}'))
-    params = spark.createDataFrame([(0, ",".join(entries))], "file_id bigint, text string")
-    return params, spark.createDataFrame(configs, "file string, file_no int, text string")
+    params = small_table(spark, [(0, ",".join(entries))], "file_id bigint, text string")
+    return params, small_table(spark, configs, "file string, file_no int, text string")
 
 
 def _id(prefix: str, key: str) -> str:
@@ -60,10 +63,10 @@ def _money(col: str) -> str:
     return f"cast({col} as decimal(18,2))"
 
 
-def landed_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def _landings() -> dict[str, tuple[str, list[str]]]:
     zero = "unhex(repeat('00', 16))"
     line_no = "l_orderkey * 8 + l_linenumber as row_index"
-    return {name: table(spark, sf_dir, source).selectExpr(*exprs) for name, source, exprs in [
+    return {name: (source, exprs) for name, source, exprs in [
         ("_REFERENCE1", "customer", [
             f"{_id('customer', 'c_custkey')} as _IDRREF",
             "case when c_custkey % 97 = 0 then '' else lpad(cast(c_custkey as string), 9, '0') end as _CODE",
@@ -112,16 +115,39 @@ def landed_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             f"{_id('supplier', 'l_suppkey')} as _FLD101RREF",
             f"case when l_returnflag = 'N' then {zero} else {_id('currency', 'l_linestatus')} end as _FLD102RREF",
             f"{_money('l_extendedprice')} as _FLD103", f"{_money('l_quantity')} as _FLD104", line_no]),
-    ]} | {"_REFERENCE6": table(spark, sf_dir, "lineitem").select("l_linestatus").distinct().selectExpr(
-        f"{_id('currency', 'l_linestatus')} as _IDRREF", "l_linestatus as _CODE",
-        "case when l_linestatus = 'O' then 'Гривня' else 'Dollar' end as _DESCRIPTION",
-        "cast(ascii(l_linestatus) as bigint) as row_index")}
+        ("_REFERENCE6", "lineitem", [
+            f"{_id('currency', 'l_linestatus')} as _IDRREF", "l_linestatus as _CODE",
+            "case when l_linestatus = 'O' then 'Гривня' else 'Dollar' end as _DESCRIPTION",
+            "cast(ascii(l_linestatus) as bigint) as row_index"]),
+    ]}
+
+
+class LandedTables(Mapping):
+    """Physical tables, each read when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir, self.landings, self.read = spark, sf_dir, _landings(), {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.read:
+            source, exprs = self.landings[name]
+            rows = table(self.spark, self.sf_dir, source)
+            if name == "_REFERENCE6":
+                rows = rows.select("l_linestatus").distinct()
+            self.read[name] = rows.selectExpr(*exprs)
+        return self.read[name]
+
+    def __iter__(self):
+        return iter(self.landings)
+
+    def __len__(self):
+        return len(self.landings)
 
 
 _CATALOGS: dict[str, Catalog] = {}
 
 
-def star_catalog(spark: SparkSession, tables: dict[str, DataFrame]) -> Catalog:
+def star_catalog(spark: SparkSession, tables: Mapping[str, DataFrame]) -> Catalog:
     """Descriptors read once per session: they depend on the schema, not on the rows."""
     app = spark.sparkContext.applicationId
     if app not in _CATALOGS:
@@ -132,5 +158,5 @@ def star_catalog(spark: SparkSession, tables: dict[str, DataFrame]) -> Catalog:
 
 
 def star_base(spark: SparkSession, sf_dir: str, scope: list[str] | None = None) -> LandedBase:
-    tables = landed_tables(spark, sf_dir)
-    return LandedBase(tables, star_catalog(spark, tables), scope, unique_ids=True)
+    tables = LandedTables(spark, sf_dir)
+    return LandedBase(spark, tables, star_catalog(spark, tables), scope, unique_ids=True)

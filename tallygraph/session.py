@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Runtime settings the plans rely on; a cluster may raise the sizes.
 SETTINGS = {
@@ -13,6 +15,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -21,7 +24,8 @@ def local_session(cpus: str = "*", partitions: int = 8, memory: str = "8g") -> S
     builder = (SparkSession.builder.master(f"local[{cpus}]").appName("tallygraph")
                .config("spark.sql.shuffle.partitions", str(partitions))
                .config("spark.driver.memory", memory)
-               .config("spark.ui.enabled", "false"))
+               .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -48,3 +52,33 @@ def checkpoint(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(work_dir(spark, "checkpoint"))
     return df.checkpoint()
+
+
+def union_all(parts: list[DataFrame], allow_missing: bool = False) -> DataFrame:
+    """Union by name, pairwise, so that a long list is analysed in few levels."""
+    while len(parts) > 1:
+        parts = [parts[i].unionByName(parts[i + 1], allow_missing) if i + 1 < len(parts) else parts[i]
+                 for i in range(0, len(parts), 2)]
+    return parts[0]
+
+
+def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few metadata rows as a literal inside the plan; no Python worker is involved."""
+    names = [part.split()[0] for part in _top_level(schema)]
+    text = json.dumps([dict(zip(names, row)) for row in rows], ensure_ascii=False)
+    cells = F.from_json(F.lit(text), f"array<struct<{','.join(_typed(schema))}>>")
+    return spark.range(1).select(F.inline(cells))
+
+
+def _top_level(schema: str) -> list[str]:
+    parts, depth, start = [], 0, 0
+    for i, ch in enumerate(schema):
+        depth += (ch in "<(") - (ch in ">)")
+        if ch == "," and depth == 0:
+            parts.append(schema[start:i].strip())
+            start = i + 1
+    return [*parts, schema[start:].strip()]
+
+
+def _typed(schema: str) -> list[str]:
+    return [":".join(part.split(None, 1)) for part in _top_level(schema)]

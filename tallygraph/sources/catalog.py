@@ -12,6 +12,7 @@ from tallygraph import fixed as fx
 from tallygraph.functions.keys import canon_class, first_human_name
 from tallygraph.functions.numbers import lookup
 from tallygraph.functions.text import blank_to_null
+from tallygraph.session import small_table
 
 
 def metadata_entries(catalogs: DataFrame, key: str = "file_id", text: str = "text") -> DataFrame:
@@ -188,7 +189,7 @@ def discover(spark: SparkSession, schemas: dict[str, list[str]], entries: DataFr
             m = re.match(rx, phys, re.I)
             if m:
                 placed.append((kind, phys, int(m.group(1)), int(m.group(2)) if kind == "vt" else 0))
-    tables = spark.createDataFrame(placed, "kind string, phys string, idx bigint, sub bigint")
+    tables = small_table(spark, placed, "kind string, phys string, idx bigint, sub bigint")
     types = F.create_map(*[F.lit(x) for kv in _TYPES.items() for x in kv])
     known = entries.groupBy("type", "number").agg(F.max_by("uuid", "pos").alias("uuid"))
     tables = tables.withColumn("type", F.element_at(types, F.col("kind")))
@@ -201,8 +202,8 @@ def discover(spark: SparkSession, schemas: dict[str, list[str]], entries: DataFr
     sightings = field_sightings(configs, entries)
     shared, own = global_field_names(sightings), own_field_names(sightings)
 
-    listing = spark.createDataFrame(
-        [(p, i, c) for p, cols in schemas.items() for i, c in enumerate(cols)],
+    listing = small_table(
+        spark, [(p, i, c) for p, cols in schemas.items() for i, c in enumerate(cols)],
         "phys string, pos bigint, column string")
     parent = F.when(F.col("kind") == "vt", F.concat(F.lit("_DOCUMENT"), F.col("idx"), F.lit("_IDRREF")))
     fld = F.concat(F.lit("_FLD"), F.regexp_extract("column", "([0-9]+)", 1))
@@ -227,7 +228,7 @@ def _describe(spark: SparkSession, heads: list, by_table: dict[str, list]) -> Ca
     for h in heads:
         if h["kind"] == "vt":
             titles[h["phys"]] = h["human"] or f"{doc_titles.get(h['idx'], _default_title('doc', h['idx']))} — строки"
-    named = spark.createDataFrame([(h["phys"], h["kind"], titles[h["phys"]]) for h in heads],
+    named = small_table(spark, [(h["phys"], h["kind"], titles[h["phys"]]) for h in heads],
                                   "phys string, kind string, title string")
     classes = {r["phys"]: r["cls"] for r in
                named.select("phys", canon_class(F.col("kind"), F.col("title")).alias("cls")).collect()}
