@@ -24,6 +24,20 @@ def _part(url: Column, group: int) -> Column:
     return F.regexp_extract(_tidy(url), _PARTS, group)
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _parts(url: Column) -> Column:
+    """Scheme, network part with slashes, host part, path, path without params, query."""
+    return let(_tidy(url), lambda u: F.struct(
+        F.lower(F.regexp_extract(u, _PARTS, 1)).alias("scheme"), F.regexp_extract(u, _PARTS, 2).alias("net"),
+        F.regexp_extract(u, _PARTS, 3).alias("netloc"), F.regexp_extract(u, _PARTS, 4).alias("full_path"),
+        F.regexp_replace(F.regexp_extract(u, _PARTS, 4), _PARAMS, "$1").alias("path"),
+        F.regexp_extract(u, _PARTS, 5).alias("query")))
+
+
 def scheme(url: Column) -> Column:
     return F.lower(_part(url, 1))
 
@@ -41,18 +55,18 @@ def query(url: Column) -> Column:
     return _part(url, 5)
 
 
-def _assemble(scheme_: Column, netloc_: Column, path_: Column, query_: Column) -> Column:
-    tail = F.when(query_ != "", F.concat(F.lit("?"), query_)).otherwise("")
-    return F.concat(scheme_, F.lit("://"), netloc_, path_, tail)
+def _suffix(query_: Column) -> Column:
+    return F.when(query_ != "", F.concat(F.lit("?"), query_)).otherwise("")
 
 
 def normalize_url(url: Column) -> Column:
     """No fragment or params, lower scheme and host, one trailing slash off, https by default."""
-    p = path(url)
-    p = (F.when(p == "", "/").when((p != "/") & p.endswith("/"), F.regexp_replace(p, "/$", ""))
-         .otherwise(p))
-    return _assemble(F.coalesce(blank_to_null(scheme(url)), F.lit("https")),
-                     F.lower(netloc(url)), p, query(url))
+    def build(p: Column) -> Column:
+        path_ = (F.when(p["path"] == "", "/").when(p["path"] == "/", "/")
+                 .otherwise(F.regexp_replace(p["path"], "/$", "")))
+        return F.concat(F.coalesce(blank_to_null(p["scheme"]), F.lit("https")), F.lit("://"),
+                        F.lower(p["netloc"]), path_, _suffix(p["query"]))
+    return let(_parts(url), build)
 
 
 def with_scheme(url: Column) -> Column:
@@ -63,10 +77,10 @@ def with_scheme(url: Column) -> Column:
 
 def drop_fragment(url: Column) -> Column:
     """Without fragment; a URL that had one also gets a lower-case scheme."""
-    full_path = _part(url, 4)
-    head = F.when(_part(url, 1) != "", F.concat(scheme(url), F.lit(":"))).otherwise("")
-    tail = F.when(query(url) != "", F.concat(F.lit("?"), query(url))).otherwise("")
-    return F.when(url.contains("#"), F.concat(head, _part(url, 2), full_path, tail)).otherwise(url)
+    def build(p: Column) -> Column:
+        head = F.when(p["scheme"] != "", F.concat(p["scheme"], F.lit(":"))).otherwise("")
+        return F.concat(head, p["net"], p["full_path"], _suffix(p["query"]))
+    return let(url, lambda u: F.when(u.contains("#"), let(_parts(u), build)).otherwise(u))
 
 
 def normalize_url_strict(url: Column) -> Column:
@@ -124,29 +138,39 @@ def _normal_segments(parts: Column) -> Column:
 
 def _join_path(base_path: Column, ref_path: Column) -> Column:
     folder = F.regexp_replace(base_path, "[^/]*$", "")
-    joined = F.concat(folder, ref_path)
-    first = F.regexp_extract(joined, "^(/?)", 1)
-    inner = F.concat(first, F.regexp_replace(F.regexp_replace(joined, "/{2,}", "/"), "^/", ""))
-    return F.when(ref_path.startswith("/"), ref_path).otherwise(inner)
+    relative = let(F.concat(folder, ref_path), lambda j: F.concat(
+        F.regexp_extract(j, "^(/?)", 1), F.regexp_replace(F.regexp_replace(j, "/{2,}", "/"), "^/", "")))
+    return F.when(ref_path.startswith("/"), ref_path).otherwise(relative)
+
+
+def _walk(path_: Column) -> Column:
+    """Path with dot segments resolved and a leading slash."""
+    clean = F.when(path_.rlike(r"(^|/)\.{1,2}(/|$)"),
+                   F.array_join(_normal_segments(F.split(path_, "/")), "/")).otherwise(path_)
+    return let(clean, lambda p: F.when(p.startswith("/"), p).otherwise(F.concat(F.lit("/"), p)))
+
+
+def _resolve(base: Column, ref: Column, href: Column) -> Column:
+    """Absolute URL of a link from the parts of the page URL and of the link."""
+    site = F.concat(base["scheme"], F.lit("://"), base["netloc"])
+    foreign = (ref["scheme"] != "") & (ref["scheme"] != base["scheme"])
+    tail = _suffix(ref["query"])
+    same_page = F.concat(base["full_path"], F.when(ref["query"] != "", tail).otherwise(_suffix(base["query"])))
+    return (F.when(foreign, F.regexp_replace(_tidy(href), "(?s)#.*$", ""))
+            .when(ref["net"] != "", F.concat(base["scheme"], F.lit(":"), ref["net"], ref["full_path"], tail))
+            .when(ref["full_path"] == "", F.concat(site, same_page))
+            .otherwise(F.concat(site, let(_join_path(base["full_path"], ref["full_path"]), _walk), tail)))
 
 
 def resolve_link(base: Column, href: Column) -> Column:
     """Absolute form of ``href`` seen on page ``base``; the fragment is dropped."""
-    ref_scheme, ref_net, ref_path, ref_query = scheme(href), _part(href, 2), _part(href, 4), query(href)
-    base_scheme = scheme(base)
-    foreign = (ref_scheme != "") & (ref_scheme != base_scheme)
-    merged = _join_path(_part(base, 4), ref_path)
-    plain = ~merged.rlike(r"(^|/)\.{1,2}(/|$)")
-    dotted = F.array_join(_normal_segments(F.split(merged, "/")), "/")
-    walked = F.when(plain, merged).otherwise(dotted)
-    walked = F.when(walked.startswith("/"), walked).otherwise(F.concat(F.lit("/"), walked))
-    same_page = F.concat(_part(base, 4), F.when(ref_query != "", F.concat(F.lit("?"), ref_query))
-                         .when(query(base) != "", F.concat(F.lit("?"), query(base))).otherwise(""))
-    tail = F.when(ref_query != "", F.concat(F.lit("?"), ref_query)).otherwise("")
-    return (F.when(foreign, F.regexp_replace(_tidy(href), "(?s)#.*$", ""))
-            .when(ref_net != "", F.concat(base_scheme, F.lit(":"), ref_net, ref_path, tail))
-            .when(ref_path == "", F.concat(base_scheme, F.lit("://"), netloc(base), same_page))
-            .otherwise(F.concat(base_scheme, F.lit("://"), netloc(base), walked, tail)))
+    return let(_parts(base), lambda b: let(_parts(href), lambda r: _resolve(b, r, href)))
+
+
+def resolve_links(base: Column, hrefs: Column) -> Column:
+    """Array of absolute links; the page URL is taken apart once for all of them."""
+    return let(_parts(base), lambda b: F.transform(
+        hrefs, lambda h: let(_parts(h), lambda r: _resolve(b, r, h))))
 
 
 def is_followed(href: Column) -> Column:

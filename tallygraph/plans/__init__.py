@@ -1,6 +1,6 @@
 """Registered queries over the driver's tables."""
 
-from tallygraph.plans import ledger_queries  # noqa: F401
+from tallygraph.plans import ledger_queries, web_queries  # noqa: F401
 from tallygraph.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
