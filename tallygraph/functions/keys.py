@@ -6,18 +6,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tallygraph import fixed as fx
-from tallygraph.functions.text import blank_to_null, contains_any, strip
+from tallygraph.functions.text import blank_to_null, contains_any, let, strip
 
 
 def canon_class(kind: Column, title: Column) -> Column:
     """Canonical class of an object from its kind and the keywords in its title."""
-    low = F.lower(F.coalesce(title, F.lit("")))
-    col = None
-    for k, cls in fx.KIND_CLASS.items():
-        col = F.when(kind == k, cls) if col is None else col.when(kind == k, cls)
-    for cls, words in fx.CLASS_KEYWORDS:
-        col = col.when(contains_any(low, words), cls)
-    return col.otherwise(fx.OTHER_CLASS)
+    def by_keyword(low: Column) -> Column:
+        (first, words), *rest = fx.CLASS_KEYWORDS
+        col = F.when(contains_any(low, words), first)
+        for cls, words in rest:
+            col = col.when(contains_any(low, words), cls)
+        return col.otherwise(fx.OTHER_CLASS)
+
+    by_kind = F.when(kind == "doc", fx.KIND_CLASS["doc"]).when(kind == "info", fx.KIND_CLASS["info"])
+    return by_kind.otherwise(let(F.lower(F.coalesce(title, F.lit(""))), by_keyword))
 
 
 def present_id(id_col: Column) -> Column:
@@ -75,18 +77,22 @@ def first_human_name(text: Column) -> Column:
 
 def is_person_name(name: Column) -> Column:
     """Two to four capitalised words, 6 to 70 characters, no digits, markup or stop words."""
-    n = strip(F.coalesce(name, F.lit("")))
-    words = F.split(n, rf"{fx.WS}+")
-    return (F.char_length(n).between(6, 70) & ~n.rlike(fx.PERSON_FORBIDDEN)
-            & F.size(words).between(2, 4) & F.forall(words, lambda w: w.rlike(fx.PERSON_WORD))
-            & ~contains_any(F.lower(n), fx.PERSON_STOP_WORDS))
+    def test(n: Column) -> Column:
+        words = F.split(n, rf"{fx.WS}+")
+        return (F.char_length(n).between(6, 70) & ~n.rlike(fx.PERSON_FORBIDDEN)
+                & F.size(words).between(2, 4) & F.forall(words, lambda w: w.rlike(fx.PERSON_WORD))
+                & ~contains_any(F.lower(n), fx.PERSON_STOP_WORDS))
+
+    return let(strip(F.coalesce(name, F.lit(""))), test)
 
 
 def schema_class(type_name: Column) -> Column:
     """Entity class of a schema.org type name."""
-    t = F.lower(F.coalesce(type_name, F.lit("")))
-    (first, words), *rest = fx.SCHEMA_CLASSES
-    col = F.when(contains_any(t, words), first).when(t == "person", "person")
-    for cls, words in rest:
-        col = col.when(contains_any(t, words), cls)
-    return col.otherwise(F.coalesce(blank_to_null(t), F.lit("thing")))
+    def named(t: Column) -> Column:
+        (first, words), *rest = fx.SCHEMA_CLASSES
+        col = F.when(contains_any(t, words), first).when(t == "person", "person")
+        for cls, words in rest:
+            col = col.when(contains_any(t, words), cls)
+        return col.otherwise(F.coalesce(blank_to_null(t), F.lit("thing")))
+
+    return let(F.lower(F.coalesce(type_name, F.lit(""))), named)

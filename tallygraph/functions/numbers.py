@@ -6,16 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tallygraph import fixed as fx
-from tallygraph.functions.text import blank_to_null, strip
+from tallygraph.functions.text import blank_to_null, let, strip
 
 
 def lookup(mapping: dict, key: Column, default=None) -> Column:
-    """Small fixed table as a CASE chain, which stays in generated code."""
-    items = list(mapping.items())
-    col = F.when(key == items[0][0], F.lit(items[0][1]))
-    for k, v in items[1:]:
-        col = col.when(key == k, F.lit(v))
-    return col.otherwise(F.lit(default)) if default is not None else col
+    """Small fixed table as a literal map."""
+    cells = F.create_map(*[F.lit(x) for item in mapping.items() for x in item])
+    value = F.try_element_at(cells, key)
+    return value if default is None else F.coalesce(value, F.lit(default))
 
 
 def human_number(text: Column) -> Column:
@@ -23,15 +21,21 @@ def human_number(text: Column) -> Column:
 
     Without a magnitude every separator is dropped, so ``12.5`` reads as 125.
     """
-    t = strip(F.lower(F.replace(text, F.lit("\xa0"), F.lit(" "))))
-    raw = blank_to_null(F.regexp_extract(t, fx.NUMBER_RUN, 1))
-    factor = F.when(t.rlike(fx.MAGNITUDES[0][1]), F.lit(fx.MAGNITUDES[0][0]))
-    for value, pattern in fx.MAGNITUDES[1:]:
-        factor = factor.when(t.rlike(pattern), F.lit(value))
-    number = F.replace(F.replace(raw, F.lit(" "), F.lit("")), F.lit(","), F.lit("."))
-    scaled = F.rint(number.try_cast("double") * factor).try_cast("bigint")
-    plain = F.regexp_replace(raw, "[^0-9]", "").try_cast("bigint")
-    return F.when(factor.isNotNull(), scaled).otherwise(plain)
+    def read(t: Column) -> Column:
+        (value, pattern), *rest = fx.MAGNITUDES
+        factor = F.when(t.rlike(pattern), F.lit(value))
+        for value, pattern in rest:
+            factor = factor.when(t.rlike(pattern), F.lit(value))
+        found = F.struct(blank_to_null(F.regexp_extract(t, fx.NUMBER_RUN, 1)).alias("raw"), factor.alias("factor"))
+        return let(found, scale)
+
+    def scale(f: Column) -> Column:
+        number = F.replace(F.replace(f["raw"], F.lit(" "), F.lit("")), F.lit(","), F.lit("."))
+        scaled = F.rint(number.try_cast("double") * f["factor"]).try_cast("bigint")
+        plain = F.regexp_replace(f["raw"], "[^0-9]", "").try_cast("bigint")
+        return F.when(f["factor"].isNotNull(), scaled).otherwise(plain)
+
+    return let(strip(F.lower(F.replace(text, F.lit("\xa0"), F.lit(" ")))), read)
 
 
 def money_number(text: Column) -> Column:
@@ -39,15 +43,15 @@ def money_number(text: Column) -> Column:
 
     Commas alone are decimal marks, so ``1,234,567`` is not a number.
     """
-    t = blank_to_null(F.regexp_replace(text, "[^0-9,.]", ""))
-    comma, point = t.contains(","), t.contains(".")
-    comma_first = F.instr(F.reverse(t), ",") > F.instr(F.reverse(t), ".")
-    no_commas = F.replace(t, F.lit(","), F.lit(""))
-    no_points = F.replace(F.replace(t, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
-    return (F.when(comma & point & comma_first, no_commas)
-            .when(comma & point, no_points)
-            .when(comma, F.replace(t, F.lit(","), F.lit(".")))
-            .otherwise(t)).try_cast("double")
+    def read(t: Column) -> Column:
+        comma, point = t.contains(","), t.contains(".")
+        comma_first = F.instr(F.reverse(t), ",") > F.instr(F.reverse(t), ".")
+        no_points = F.replace(F.replace(t, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
+        return (F.when(comma & point & comma_first, F.replace(t, F.lit(","), F.lit("")))
+                .when(comma & point, no_points).when(comma, F.replace(t, F.lit(","), F.lit(".")))
+                .otherwise(t)).try_cast("double")
+
+    return let(blank_to_null(F.regexp_replace(text, "[^0-9,.]", "")), read)
 
 
 def installs_number(text: Column) -> Column:
@@ -75,10 +79,11 @@ def human_size(n_bytes: Column) -> Column:
 
 def iso_date(text: Column) -> Column:
     """First yyyy-mm-dd as ``struct<ymd int, iso string>``; without one, ten characters as text."""
-    day = blank_to_null(F.regexp_extract(text, fx.ISO_DATE, 0))
-    ymd = F.replace(day, F.lit("-"), F.lit("")).try_cast("int")
-    iso = F.coalesce(day, F.left(blank_to_null(text), F.lit(10)))
-    return F.struct(ymd.alias("ymd"), iso.alias("iso"))
+    def read(day: Column) -> Column:
+        ymd = F.replace(day, F.lit("-"), F.lit("")).try_cast("int")
+        return F.struct(ymd.alias("ymd"), F.coalesce(day, F.left(blank_to_null(text), F.lit(10))).alias("iso"))
+
+    return let(blank_to_null(F.regexp_extract(text, fx.ISO_DATE, 0)), read)
 
 
 def month_name_date(text: Column) -> Column:
@@ -88,17 +93,20 @@ def month_name_date(text: Column) -> Column:
     """
     t = F.lower(text)
     word = blank_to_null(F.regexp_extract(t, "([a-zа-яіїєґ]{3,})", 1))
-    day = F.regexp_extract(t, r"(?U)\b([0-9]{1,2})\b", 1).try_cast("int")
-    year = F.regexp_extract(t, r"(?U)\b([0-9]{4})\b", 1).try_cast("int")
-    month = F.coalesce(lookup(fx.MONTH_STEMS, F.left(word, F.lit(4))),
-                       lookup(fx.MONTH_STEMS, F.left(word, F.lit(3))))
-    good = month.isNotNull() & day.between(1, 31) & year.between(1990, 2100)
-    ymd = F.when(good, year * 10000 + month * 100 + day)
-    digits = ymd.cast("string")
-    iso = F.concat_ws("-", F.substring(digits, 1, 4), F.substring(digits, 5, 2),
-                      F.substring(digits, 7, 2))
-    return F.struct(ymd.alias("ymd"),
-                    F.when(good, iso).otherwise(F.left(blank_to_null(text), F.lit(12))).alias("iso"))
+    found = F.struct(word.alias("word"), F.regexp_extract(t, r"(?U)\b([0-9]{1,2})\b", 1).try_cast("int").alias("day"),
+                     F.regexp_extract(t, r"(?U)\b([0-9]{4})\b", 1).try_cast("int").alias("year"))
+
+    def date(f: Column) -> Column:
+        month = F.coalesce(lookup(fx.MONTH_STEMS, F.left(f["word"], F.lit(4))),
+                           lookup(fx.MONTH_STEMS, F.left(f["word"], F.lit(3))))
+        good = f["day"].between(1, 31) & f["year"].between(1990, 2100)
+        return F.when(good, f["year"] * 10000 + month * 100 + f["day"])
+
+    def show(ymd: Column) -> Column:
+        iso = F.regexp_replace(ymd.cast("string"), "^(.{4})(..)(..)$", "$1-$2-$3")
+        return F.struct(ymd.alias("ymd"), F.coalesce(iso, F.left(blank_to_null(text), F.lit(12))).alias("iso"))
+
+    return let(let(found, date), show)
 
 
 def flex_date(text: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tallygraph import fixed as fx
-from tallygraph.functions.text import blank_to_null, contains_any, strip
+from tallygraph.functions.text import blank_to_null, contains_any, let, strip
 
 _PARTS = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(//([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
 _PARAMS = r"(?s)^((?:.*/)?[^/;]*);[^/]*$"
@@ -24,11 +24,6 @@ def _part(url: Column, group: int) -> Column:
     return F.regexp_extract(_tidy(url), _PARTS, group)
 
 
-def let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once, however often the body uses it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _parts(url: Column) -> Column:
     """Scheme, network part with slashes, host part, path, path without params, query."""
     return let(_tidy(url), lambda u: F.struct(
@@ -183,22 +178,26 @@ def is_followed(href: Column) -> Column:
 
 def ignore_reason(url: Column) -> Column:
     """First ignored path part, else social, else file, else null."""
-    p = F.lower(F.coalesce(blank_to_null(path(url)), F.lit("/")))
-    reason = F.when(p.contains(fx.IGNORED_PATHS[0]), fx.IGNORED_PATHS[0].strip("/"))
-    for part in fx.IGNORED_PATHS[1:]:
-        reason = reason.when(p.contains(part), part.strip("/"))
-    return (reason.when(url.rlike(f"(?i){fx.IGNORED_SOCIAL}"), "social")
-            .when(p.rlike(f"(?i){fx.IGNORED_FILES}"), "file"))
+    def named(p: Column) -> Column:
+        reason = F.when(p.contains(fx.IGNORED_PATHS[0]), fx.IGNORED_PATHS[0].strip("/"))
+        for part in fx.IGNORED_PATHS[1:]:
+            reason = reason.when(p.contains(part), part.strip("/"))
+        return (reason.when(url.rlike(f"(?i){fx.IGNORED_SOCIAL}"), "social")
+                .when(p.rlike(f"(?i){fx.IGNORED_FILES}"), "file"))
+
+    return let(F.lower(F.coalesce(blank_to_null(path(url)), F.lit("/"))), named)
 
 
 def platform_of(url: Column) -> Column:
-    h = F.lower(netloc(F.when(url.rlike("(?i)^https?://"), url)
-                       .otherwise(F.concat(F.lit("https://"), url))))
-    name, hosts = fx.PLATFORM_HOSTS[0]
-    platform = F.when(contains_any(h, hosts), name)
-    for name, hosts in fx.PLATFORM_HOSTS[1:]:
-        platform = platform.when(contains_any(h, hosts), name)
-    return platform.otherwise("unknown")
+    def named(h: Column) -> Column:
+        (name, hosts), *rest = fx.PLATFORM_HOSTS
+        platform = F.when(contains_any(h, hosts), name)
+        for name, hosts in rest:
+            platform = platform.when(contains_any(h, hosts), name)
+        return platform.otherwise("unknown")
+
+    full = F.when(url.rlike("(?i)^https?://"), url).otherwise(F.concat(F.lit("https://"), url))
+    return let(F.lower(netloc(full)), named)
 
 
 def store_of(url: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallygraph import fixed as fx
 from tallygraph.functions import text, urls
 from tallygraph.functions.keys import schema_class
-from tallygraph.functions.text import blank_to_null
+from tallygraph.functions.text import blank_to_null, let
 
 
 def page_table(snapshot: DataFrame) -> DataFrame:
@@ -33,7 +33,7 @@ def _hrefs(html: Column) -> Column:
 
 def _one_site(link: Column, site: Column, lang: Column) -> Column:
     """An http link of the site in the page's language, or in none."""
-    other = urls.let(urls.path_lang(urls.path(link)), lambda seg: seg != lang)
+    other = let(urls.path_lang(urls.path(link)), lambda seg: seg != lang)
     return link.rlike("^https?://") & (urls.reg_domain(urls.netloc(link)) == site) & ~F.coalesce(other, F.lit(False))
 
 
@@ -46,7 +46,7 @@ def same_site_links(url: Column, html: Column) -> Column:
         links = F.transform(urls.resolve_links(p["url"], _hrefs(html)), urls.normalize_url)
         return F.array_sort(F.array_distinct(F.filter(links, lambda k: _one_site(k, p["site"], p["lang"]))))
 
-    return urls.let(page, collect)
+    return let(page, collect)
 
 
 def page_links(pages: DataFrame) -> DataFrame:
@@ -63,7 +63,7 @@ def home_path_count(url: Column, html: Column) -> Column:
             blank_to_null(F.regexp_replace(urls.path(k), "/+$", "")), F.lit("/"))))
 
     domain = urls.reg_domain(urls.host(url), strip_www=True)
-    return F.size(urls.let(domain, paths)).cast("bigint")
+    return F.size(let(domain, paths)).cast("bigint")
 
 
 def business_links(url: Column, html: Column) -> Column:
