@@ -7,6 +7,8 @@ characters are W, and no flag is baked in; callers add ``(?iu)`` or ``(?is)``.
 
 # ---------------------------------------------------------------- characters
 WS = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
+WS_CHARS = (" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+            "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 NOT_WS = r"[^\s\x0b\x1c-\x1f\x85\p{Z}]"
 W = r"[\p{L}\p{N}_]"
 BLANKS = r"[ \t\r\f\x0b\xa0]+"

@@ -111,11 +111,14 @@ def month_name_date(text: Column) -> Column:
 
 def flex_date(text: Column) -> Column:
     """Timestamp from four fixed layouts, null for any other text."""
-    long_, short = F.trim(F.left(text, F.lit(19))), F.trim(F.left(text, F.lit(10)))
-    return F.coalesce(F.try_to_timestamp(long_, F.lit("yyyy-M-d'T'H:m:s")),
-                      F.try_to_timestamp(long_, F.lit("yyyy-M-d H:m:s")),
-                      F.try_to_timestamp(short, F.lit("yyyy-M-d")),
-                      F.try_to_timestamp(short, F.lit("d.M.yyyy")))
+    long_, short = strip(F.left(text, F.lit(19))), strip(F.left(text, F.lit(10)))
+    ymd = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
+    clock = "[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$"
+    return (F.when(long_.rlike(f"{ymd}T{clock}"), F.try_to_timestamp(long_, F.lit("yyyy-M-d'T'H:m:s")))
+            .when(long_.rlike(f"{ymd} {clock}"), F.try_to_timestamp(long_, F.lit("yyyy-M-d H:m:s")))
+            .when(short.rlike(f"{ymd}$"), F.try_to_timestamp(short, F.lit("yyyy-M-d")))
+            .when(short.rlike(r"^[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}$"),
+                  F.try_to_timestamp(short, F.lit("d.M.yyyy"))))
 
 
 def days_left(until: Column, as_of: Column) -> Column:

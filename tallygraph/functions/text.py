@@ -19,7 +19,12 @@ def blank_to_null(col: Column) -> Column:
 
 def strip(col: Column) -> Column:
     """Trim every whitespace character, the no-break space included."""
-    return F.regexp_replace(col, rf"^{fx.WS}+|{fx.WS}+$", "")
+    return F.btrim(col, F.lit(fx.WS_CHARS))
+
+
+def has_text(col: Column) -> Column:
+    """Any character that is not whitespace; stops at the first one."""
+    return col.rlike(fx.NOT_WS)
 
 
 def squeeze(col: Column) -> Column:

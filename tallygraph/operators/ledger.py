@@ -145,10 +145,15 @@ def line_amount(df: DataFrame, column: str | None):
     return F.coalesce(F.col(column).cast(AMOUNT), largest) if column else largest
 
 
-def document_lines(df: DataFrame, obj: TableObject, doc_ids: DataFrame, catalog_ids: DataFrame) -> DataFrame:
-    """Lines of known documents with their first catalog target, amount and quantity."""
+def document_lines(df: DataFrame, obj: TableObject, doc_ids: DataFrame,
+                   catalog_ids: DataFrame | None) -> DataFrame:
+    """Lines of known documents with amount, quantity and their first catalog target.
+
+    Without ``catalog_ids`` no target is looked up, which saves a join per
+    reference column when only the documents matter.
+    """
     quantity = _first_of(df, obj, fx.QUANTITY_COLUMN)
-    refs = [(c, n) for c, n in obj.refs if c != obj.parent_col and c in df.columns]
+    refs = [(c, n) for c, n in obj.refs if c != obj.parent_col and c in df.columns] if catalog_ids else []
     lines = df.select(
         present_id(F.col(obj.parent_col)).alias("doc_id"), F.col(ROW_INDEX).cast("bigint").alias("pos"),
         F.coalesce(F.nullif(F.col("_LINENO").cast("bigint"), F.lit(0)), F.col(ROW_INDEX) + 1)

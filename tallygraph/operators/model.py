@@ -96,12 +96,12 @@ class LandedBase:
         return union_all([ledger.register_postings(self.tables[r.phys], r, self.ids(), money)
                        for r in self._active_registers()])
 
-    def document_lines(self) -> DataFrame:
-        catalogs = [o for o in self.objects if o.kind == "ref"]
+    def document_lines(self, targets: bool = True) -> DataFrame:
+        catalogs = self.ids([o for o in self.objects if o.kind == "ref"]) if targets else None
         parts = []
         for v in self.lines:
             owner = [o for o in self.objects if f"{o.phys}_IDRREF".upper() == v.parent_col]
-            parts.append(ledger.document_lines(self.tables[v.phys], v, self.ids(owner), self.ids(catalogs)))
+            parts.append(ledger.document_lines(self.tables[v.phys], v, self.ids(owner), catalogs))
         return union_all(parts)
 
     def line_postings(self) -> DataFrame:

@@ -22,25 +22,20 @@ def running_total(df: DataFrame, group: list[str], pos: str, value: Column, out:
                   width: int = BLOCK) -> DataFrame:
     """Sum of ``value`` over all rows of the group up to and including this one.
 
-    Rows shuffle once, on (group, block); the block totals are one row per
-    ``width`` positions and are summed per group.
+    Rows shuffle once, on (group, block), for the window and the join alike; the
+    block totals are one row per ``width`` positions and are summed per group.
+    The key is a struct, so that a null group is a group like any other.
     """
-    keys = [*group, "_block"]
-    rows = (df.withColumn("_block", F.floor(F.col(pos) / F.lit(width)).cast("bigint"))
-            .withColumn("_value", value))
-    before = Window.partitionBy(*(group or [F.lit(0)])).orderBy("_block") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    totals = (rows.groupBy(*keys).agg(F.sum("_value").alias("_sum"))
-              .select(*keys, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before")))
-    totals = totals.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_before")
-    inside = Window.partitionBy(*keys).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    return (rows.withColumn("_inside", F.sum("_value").over(inside))
-            .join(totals, same, "inner")
+    block = F.floor(F.col(pos) / F.lit(width)).cast("bigint").alias("block")
+    whole = F.struct(*group) if group else F.struct(F.lit(0).alias("all"))
+    rows = (df.withColumn("_key", F.struct(whole.alias("whole"), block)).withColumn("_value", value))
+    before = Window.partitionBy("_key.whole").orderBy("_key.block").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (rows.groupBy("_key").agg(F.sum("_value").alias("_sum"))
+              .select("_key", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before")))
+    inside = Window.partitionBy("_key").orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
+    return (rows.withColumn("_inside", F.sum("_value").over(inside)).join(totals, "_key")
             .withColumn(out, F.col("_before") + F.col("_inside"))
-            .drop("_block", "_value", "_inside", "_before", *[f"_k_{k}" for k in keys]))
+            .drop("_key", "_value", "_inside", "_before"))
 
 
 def dense_index(df: DataFrame, group: list[str], pos: str, out: str, width: int = BLOCK) -> DataFrame:

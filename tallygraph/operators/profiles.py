@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallygraph import fixed as fx
 from tallygraph.functions import numbers, text, urls
 from tallygraph.functions.keys import is_person_name
-from tallygraph.functions.text import blank_to_null, extract, first_match, strip
+from tallygraph.functions.text import blank_to_null, extract, first_match, let, strip
 from tallygraph.operators.positions import first_per_group
 from tallygraph.sources import web
 
@@ -44,21 +44,25 @@ def registry_owners(rows: DataFrame) -> DataFrame:
 
     The first source, and the first place in it, gives the share.
     """
+    def owner(kind: str, raw: Column, share: Column) -> Column:
+        def judged(o: Column) -> Column:
+            person = is_person_name(o["name"])
+            named = person | o["name"].rlike(f"(?iu){fx.COMPANY_NAME}")
+            good = person if kind == "beneficiary" else (
+                (F.char_length(o["name"]) >= 4) & (o["share"] <= 100) & named)
+            return F.when(good, o)
+        row = F.struct(F.lit(kind).alias("kind"), clean_owner(raw).alias("name"), share.alias("share"))
+        return let(row, judged)
+
     t = F.col("text")
     benef = F.transform(text.extract_all(t, fx.BENEFICIARY, 1, "iu"),
-                        lambda n: F.struct(F.lit("beneficiary").alias("kind"), n.alias("name"),
-                                           F.lit(None).cast("string").alias("share")))
+                        lambda n: owner("beneficiary", n, F.lit(None).cast("double")))
     found = F.transform(F.arrays_zip(text.extract_all(t, fx.FOUNDER, 1).alias("n"),
                                      text.extract_all(t, fx.FOUNDER, 2).alias("s")),
-                        lambda z: F.struct(F.lit("founder").alias("kind"), z["n"].alias("name"),
-                                           z["s"].alias("share")))
-    hits = (rows.select("company_id", "source_order", F.posexplode(F.concat(benef, found)).alias("pos", "o"))
-            .select("company_id", "source_order", "pos", F.col("o.kind").alias("kind"),
-                    clean_owner(F.col("o.name")).alias("name"), numbers.money_number(F.col("o.share")).alias("share")))
-    person = is_person_name(F.col("name"))
-    founder = ((F.char_length("name") >= 4) & F.col("share").isNotNull() & (F.col("share") <= 100)
-               & (person | F.col("name").rlike(f"(?iu){fx.COMPANY_NAME}")))
-    kept = hits.filter(F.when(F.col("kind") == "founder", founder).otherwise(person))
+                        lambda z: owner("founder", z["n"], numbers.money_number(z["s"])))
+    kept = (rows.select("company_id", "source_order",
+                        F.posexplode(F.array_compact(F.concat(benef, found))).alias("pos", "o"))
+            .select("company_id", "source_order", "pos", "o.kind", "o.name", "o.share"))
     return kept.groupBy("company_id", "kind", "name").agg(
         F.min_by("share", F.struct("source_order", "pos")).alias("share"))
 

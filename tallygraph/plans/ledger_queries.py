@@ -25,8 +25,8 @@ c3 AS (SELECT *, md5('part-' || p_partkey) AS id, 'c3-' || CASE WHEN p_partkey =
        THEN md5('part-0') ELSE p_partkey::VARCHAR END AS ref FROM part),
 c4 AS (SELECT *, md5('nation-' || n_nationkey) AS id, 'c4-' || lpad(n_nationkey::VARCHAR, 3, '0') AS ref FROM nation),
 c5 AS (SELECT *, md5('region-' || r_regionkey) AS id, 'c5-' || lpad(r_regionkey::VARCHAR, 3, '0') AS ref FROM region),
-c6 AS (SELECT DISTINCT l_linestatus, md5('currency-' || l_linestatus) AS id, 'c6-' || l_linestatus AS ref,
-       CASE WHEN l_linestatus = 'O' THEN 'Гривня' ELSE 'Dollar' END AS name FROM lineitem),
+c6 AS (SELECT DISTINCT o_orderstatus, md5('currency-' || o_orderstatus) AS id, 'c6-' || o_orderstatus AS ref,
+       CASE WHEN o_orderstatus = 'O' THEN 'Гривня' ELSE 'Dollar' END AS name FROM orders),
 c7 AS (SELECT *, md5('staff-' || c_custkey) AS id, 'c7-' || lpad(c_custkey::VARCHAR, 9, '0') AS ref
        FROM customer WHERE c_mktsegment = 'BUILDING'),
 d1 AS (SELECT *, md5('order-' || o_orderkey) AS id, 'd1-' || o_orderkey AS ref FROM orders)
@@ -66,7 +66,7 @@ SQL_ACTORS = f"""WITH {SQL_REFS}, actors AS (
   SELECT 'nomenclature', 'tmpl_ref3', p_partkey, ref, CASE WHEN p_partkey % 89 = 0 THEN ref ELSE p_name END FROM c3 UNION ALL
   SELECT 'catalogs', 'tmpl_ref4', n_nationkey, ref, n_name FROM c4 UNION ALL
   SELECT 'organizations', 'tmpl_ref5', r_regionkey, ref, r_name FROM c5 UNION ALL
-  SELECT 'currencies', 'tmpl_ref6', ascii(l_linestatus), ref, name FROM c6 UNION ALL
+  SELECT 'currencies', 'tmpl_ref6', ascii(o_orderstatus), ref, name FROM c6 UNION ALL
   SELECT 'employees', 'tmpl_ref7', c_custkey, ref, c_name FROM c7 UNION ALL
   SELECT 'documents', 'tmpl_doc1', o_orderkey, ref, o_orderkey || ' ' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') FROM d1 UNION ALL
   SELECT 'registers', 'tmpl_info1', event_id, 'i1-r' || event_id, 'i1-r' || event_id FROM events)"""
@@ -304,14 +304,14 @@ def repeated_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("document_rollup", f"""WITH {SQL_REFS}, {SQL_LINES} SELECT doc, count(*) AS lines, sum(amount)::DOUBLE AS total
   FROM ln WHERE amount IS NOT NULL GROUP BY doc""")
 def document_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledger.document_totals(star_base(spark, sf_dir).document_lines()) \
+    return ledger.document_totals(star_base(spark, sf_dir).document_lines(targets=False)) \
         .select("doc", "lines", F.col("total").cast("double").alias("total"))
 
 
 @query("first_documents", f"""WITH {SQL_REFS}, {SQL_LINES} SELECT doc, count(*) AS lines, sum(amount)::DOUBLE AS total
   FROM ln WHERE amount IS NOT NULL GROUP BY doc ORDER BY min(pos) LIMIT 3""")
 def first_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledger.first_documents(star_base(spark, sf_dir).document_lines()) \
+    return ledger.first_documents(star_base(spark, sf_dir).document_lines(targets=False)) \
         .select("doc", "lines", F.col("total").cast("double").alias("total"))
 
 
@@ -328,7 +328,7 @@ def class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT 'c3', 'Номенклатура', 'catalog', 'Код,Наименование,Марка,Вид,Цена', '', count(*) FROM part UNION ALL
   SELECT 'c4', 'Страны', 'catalog', 'Код,Наименование', '', count(*) FROM nation UNION ALL
   SELECT 'c5', 'Организации', 'catalog', 'Код,Наименование', '', count(*) FROM region UNION ALL
-  SELECT 'c6', 'Валюты', 'catalog', 'Код,Наименование', '', count(DISTINCT l_linestatus) FROM lineitem UNION ALL
+  SELECT 'c6', 'Валюты', 'catalog', 'Код,Наименование', '', count(DISTINCT o_orderstatus) FROM orders UNION ALL
   SELECT 'c7', 'Сотрудники', 'catalog', 'Код,Наименование,Должность,Оклад', '', count(*) FROM customer UNION ALL
   SELECT 'd1', 'Заказ', 'document', 'Номер,Дата,Проведён,Итог,Срочность', 'Контрагент', count(*) FROM orders UNION ALL
   SELECT 'i1', 'Журнал', 'info_register', 'Период,Событие,Показатель', '', count(*) FROM events UNION ALL
@@ -341,9 +341,9 @@ def inventory_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("inventory_totals", """SELECT 10 AS entities, 2 * (SELECT count(*) FROM customer) + (SELECT count(*) FROM supplier)
   + (SELECT count(*) FROM part) + (SELECT count(*) FROM nation) + (SELECT count(*) FROM region)
-  + (SELECT count(DISTINCT l_linestatus) FROM lineitem) + (SELECT count(*) FROM orders) + (SELECT count(*) FROM events)
+  + (SELECT count(DISTINCT o_orderstatus) FROM orders) + (SELECT count(*) FROM orders) + (SELECT count(*) FROM events)
   + (SELECT count(*) FROM lineitem) AS records, 30 AS fields, 3 AS links, 1 AS registers,
-  (SELECT count(DISTINCT l_linestatus) FROM lineitem) AS currencies""")
+  (SELECT count(DISTINCT o_orderstatus) FROM orders) AS currencies""")
 def inventory_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = star_base(spark, sf_dir)
     return inventory.base_totals(base.inventory(), base.currencies())

@@ -43,14 +43,14 @@ def money_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("installs_and_sizes", """SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN p_partkey * 1000 WHEN 1 THEN p_partkey * 1000000000 ELSE p_partkey END AS installs,
   CASE p_partkey % 4 WHEN 0 THEN (p_partkey + 1) * 1024 WHEN 1 THEN (p_partkey + 1) * 1048576 WHEN 2 THEN round(1.5 * 1073741824)::BIGINT ELSE NULL END AS size_bytes,
-  CASE WHEN p_partkey % 2 = 0 THEN (p_partkey + 1) || '.0 MB' ELSE '2.50 GB' END AS size_text FROM part""")
+  CASE WHEN p_partkey % 2 = 0 THEN (p_partkey % 1000 + 1) || '.0 MB' ELSE '2.50 GB' END AS size_text FROM part""")
 def installs_and_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = "cast(p_partkey as string)"
     raw = derived(spark, sf_dir, "part", "p_partkey",
                   f"case p_partkey % 3 when 0 then concat({k}, ',000+') when 1 then concat({k}, 'B+') else concat({k}, ' +') end as installs",
                   "case p_partkey % 4 when 2 then '1,5' else cast(p_partkey + 1 as string) end as n",
                   "element_at(array('КБ', 'MB', 'gb', 'px'), cast(p_partkey % 4 + 1 as int)) as unit",
-                  "case when p_partkey % 2 = 0 then (p_partkey + 1) * 1048576 else 2684354560L end as bytes")
+                  "case when p_partkey % 2 = 0 then (p_partkey % 1000 + 1) * 1048576 else 2684354560L end as bytes")
     return raw.select("p_partkey", numbers.installs_number(F.col("installs")).alias("installs"),
                       numbers.size_to_bytes(F.col("n"), F.col("unit")).alias("size_bytes"),
                       numbers.human_size(F.col("bytes")).alias("size_text"))

@@ -23,6 +23,8 @@ def query(name: str, sql: str | None = None):
 
 
 _SCHEMAS: dict[str, StructType] = {}
+_SMALL: dict[str, bool] = {}
+SMALL_FILE = (100_000, 256_000_000)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,7 +32,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir}/{name}.parquet"
     if name not in _SCHEMAS:
         _SCHEMAS[name] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[name]).parquet(path)
+    rows = spark.read.schema(_SCHEMAS[name]).parquet(path)
+    return rows.repartition(spark.sparkContext.defaultParallelism) if _is_one_small_file(spark, path) else rows
+
+
+def _is_one_small_file(spark: SparkSession, path: str) -> bool:
+    """A single file that one task would read alone while the other cores wait.
+
+    A table of many files or of gigabytes has splits enough and is never moved.
+    """
+    key = f"{spark.sparkContext.applicationId}:{path}"
+    if key not in _SMALL:
+        jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        status = fs.getFileStatus(jvm_path)
+        _SMALL[key] = status.isFile() and SMALL_FILE[0] <= status.getLen() <= SMALL_FILE[1]
+    return _SMALL[key]
 
 
 def derived(spark: SparkSession, sf_dir: str, name: str, *exprs: str) -> DataFrame:

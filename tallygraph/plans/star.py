@@ -115,10 +115,10 @@ def _landings() -> dict[str, tuple[str, list[str]]]:
             f"{_id('supplier', 'l_suppkey')} as _FLD101RREF",
             f"case when l_returnflag = 'N' then {zero} else {_id('currency', 'l_linestatus')} end as _FLD102RREF",
             f"{_money('l_extendedprice')} as _FLD103", f"{_money('l_quantity')} as _FLD104", line_no]),
-        ("_REFERENCE6", "lineitem", [
-            f"{_id('currency', 'l_linestatus')} as _IDRREF", "l_linestatus as _CODE",
-            "case when l_linestatus = 'O' then 'Гривня' else 'Dollar' end as _DESCRIPTION",
-            "cast(ascii(l_linestatus) as bigint) as row_index"]),
+        ("_REFERENCE6", "orders", [
+            f"{_id('currency', 'o_orderstatus')} as _IDRREF", "o_orderstatus as _CODE",
+            "case when o_orderstatus = 'O' then 'Гривня' else 'Dollar' end as _DESCRIPTION",
+            "cast(ascii(o_orderstatus) as bigint) as row_index"]),
     ]}
 
 
@@ -133,7 +133,7 @@ class LandedTables(Mapping):
             source, exprs = self.landings[name]
             rows = table(self.spark, self.sf_dir, source)
             if name == "_REFERENCE6":
-                rows = rows.select("l_linestatus").distinct()
+                rows = rows.select("o_orderstatus").distinct()
             self.read[name] = rows.selectExpr(*exprs)
         return self.read[name]
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallygraph import fixed as fx
 from tallygraph.functions import text, urls
 from tallygraph.functions.numbers import lookup, sample_indices
-from tallygraph.functions.text import blank_to_null
+from tallygraph.functions.text import blank_to_null, let
 
 
 def read_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
@@ -79,7 +79,7 @@ def decode_payload(parts: Column) -> Column:
 def text_lines(body: Column) -> Column:
     """Lines without their breaks; a final break adds no line."""
     lines = F.split(body, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]")
-    return F.when(F.get(lines, F.size(lines) - 1) == "", F.slice(lines, F.lit(1), F.size(lines) - 1)).otherwise(lines)
+    return let(lines, lambda x: F.when(F.get(x, F.size(x) - 1) == "", F.slice(x, F.lit(1), F.size(x) - 1)).otherwise(x))
 
 
 def csv_profile(files: DataFrame, sample_rows: int = fx.FILE_SAMPLE_ROWS) -> DataFrame:
@@ -87,10 +87,11 @@ def csv_profile(files: DataFrame, sample_rows: int = fx.FILE_SAMPLE_ROWS) -> Dat
 
     Lines are counted and sampled inside the file's row, so nothing is moved.
     """
-    lines = text_lines(F.col("text"))
-    first5 = F.filter(F.slice(lines, 1, 5), lambda x: text.strip(x) != "")
-    rows = files.select("file_id", F.get(first5, F.lit(0)).alias("_probe"),
-                        F.filter(lines, lambda x: text.strip(x) != "").alias("_rows"))
+    parts = let(text_lines(F.col("text")), lambda lines: F.struct(
+        F.get(F.filter(F.slice(lines, 1, 5), text.has_text), F.lit(0)).alias("probe"),
+        F.filter(lines, text.has_text).alias("rows")))
+    rows = files.select("file_id", parts.alias("_p")) \
+        .select("file_id", F.col("_p.probe").alias("_probe"), F.col("_p.rows").alias("_rows"))
     delimiter = F.when(F.col("_probe").contains(fx.CSV_DELIMITERS[0]), fx.CSV_DELIMITERS[0])
     for d in fx.CSV_DELIMITERS[1:]:
         delimiter = delimiter.when(F.col("_probe").contains(d), d)
