@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallygraph import fixed as fx
 from tallygraph.operators.positions import first_per_group
-from tallygraph.session import checkpoint
+from tallygraph.session import materialize
 
 
 def bfs_order(edges: DataFrame, seeds: DataFrame, cap: int = fx.PAGE_CAP,
@@ -20,13 +20,13 @@ def bfs_order(edges: DataFrame, seeds: DataFrame, cap: int = fx.PAGE_CAP,
     (site, url) pages count but their links are not read.
 
     All sites advance one level per round, so there are at most ``cap`` rounds
-    and a round holds at most ``cap`` rows per site; each round is checkpointed.
+    and a round holds at most ``cap`` rows per site; each round is written out.
     Of one page only the first ``2 * cap`` links can matter: fewer than ``cap``
     of them are known already, and at most ``cap`` more are taken.
     """
-    useful = checkpoint(first_per_group(edges.select("site", "url", "link").distinct(),
+    useful = materialize(first_per_group(edges.select("site", "url", "link").distinct(),
                                         ["site", "url"], ["link"], 2 * cap))
-    level = checkpoint(first_per_group(seeds.select("site", "url", "ord"), ["site"], ["ord"], cap)
+    level = materialize(first_per_group(seeds.select("site", "url", "ord"), ["site"], ["ord"], cap)
                        .select("site", "url", F.col("ord").cast("bigint").alias("ord"), F.lit(0).alias("level")))
     taken = level
     for depth in range(1, cap):
@@ -39,9 +39,9 @@ def bfs_order(edges: DataFrame, seeds: DataFrame, cap: int = fx.PAGE_CAP,
         order = Window.partitionBy("site").orderBy("parent", "url")
         placed = (new.withColumn("rn", F.row_number().over(order)).filter(F.col("rn") <= cap)
                   .join(done, "site").filter(F.col("rn") + F.col("done") <= cap))
-        level = checkpoint(placed.select("site", "url", (F.col("done") + F.col("rn") - 1).alias("ord"),
+        level = materialize(placed.select("site", "url", (F.col("done") + F.col("rn") - 1).alias("ord"),
                                          F.lit(depth).alias("level")))
         if level.isEmpty():
             break
-        taken = checkpoint(taken.unionByName(level))
+        taken = materialize(taken.unionByName(level))
     return taken

@@ -13,20 +13,20 @@ from pyspark.sql import functions as F
 from tallygraph import fixed as fx
 from tallygraph.functions.keys import present_id
 from tallygraph.operators.actors import ROW_INDEX, is_valid, ref_of
-from tallygraph.session import checkpoint
+from tallygraph.session import materialize
 from tallygraph.sources.catalog import TableObject
 
 
 def last_wins(id_rows: DataFrame) -> DataFrame:
     """One row per id, a later row replaces an earlier one.
 
-    Checkpointed: the map feeds several joins, and a join over a plain table
+    Written out: the map feeds several joins, and a join over a plain table
     keeps adaptive skew handling, which an aggregate below it would switch off.
     """
     later = F.struct("obj", "pos")
     newest = id_rows.groupBy("id").agg(
         F.max_by(F.struct("ref", "cls", "form_ref", "obj", "pos"), later).alias("r"))
-    return checkpoint(newest.select("id", "r.*"))
+    return materialize(newest.select("id", "r.*"))
 
 
 def link_candidates(df: DataFrame, obj: TableObject) -> DataFrame:

@@ -46,12 +46,15 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder; survives the loss of executors."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(work_dir(spark, "checkpoint"))
-    return df.checkpoint()
+def materialize(df: DataFrame) -> DataFrame:
+    """The rows written once to the shared folder and read back.
+
+    Cuts the lineage like a checkpoint and survives the loss of executors, but
+    computes the rows once, keeps columns apart and gives the planner a size.
+    """
+    path = work_dir(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def union_all(parts: list[DataFrame], allow_missing: bool = False) -> DataFrame:

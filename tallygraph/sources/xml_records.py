@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallygraph import fixed as fx
 from tallygraph.functions import text
 from tallygraph.operators.positions import dense_index, running_total
-from tallygraph.session import checkpoint
+from tallygraph.session import materialize
 
 _NOISE = r"(?s)<!--.*?-->|<\?.*?\?>|<!DOCTYPE[^>]*>"
 _TOKEN = r"<[^>]+>[^<]*"
@@ -39,9 +39,9 @@ def xml_leaves(files: DataFrame) -> DataFrame:
     """(file_id, record_no, leaf_no, is_record, leaf, text): every element of every record, in order.
 
     The record element itself is its first leaf.  The tag table and the result
-    are checkpointed: the texts are cut once, and what follows reads the leaves.
+    are written out: the texts are cut once, and what follows reads the leaves.
     """
-    tags = checkpoint(xml_tags(files))
+    tags = materialize(xml_tags(files))
     step = F.col("opens").cast("bigint") - F.col("closes").cast("bigint")
     deep = running_total(tags, ["file_id"], "pos", step, "depth_after")
     depth = F.when(F.col("opens") & ~F.col("closes"), F.col("depth_after")) \
@@ -55,7 +55,7 @@ def xml_leaves(files: DataFrame) -> DataFrame:
         .filter(F.col("depth") >= F.col("record_depth"))
     starts = (F.col("depth") == F.col("record_depth")).cast("bigint")
     numbered = running_total(framed, ["file_id"], "pos", starts, "record_no")
-    return checkpoint(numbered.select(
+    return materialize(numbered.select(
         "file_id", (F.col("record_no") - 1).alias("record_no"), F.col("pos").alias("leaf_no"),
         (starts == 1).alias("is_record"), F.col("tag").alias("leaf"), "text"))
 
