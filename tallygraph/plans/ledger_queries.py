@@ -151,11 +151,24 @@ def field_names(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT file_id, kind_ru || '.' || name AS key, name, CASE kind_ru WHEN 'Справочник' THEN 'catalog' WHEN 'Документ' THEN 'document'
     WHEN 'РегистрНакопления' THEN 'accum_register' ELSE 'const' END AS kind, min(i) - 1 AS pos FROM t GROUP BY ALL""")
 def container_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.metadata_objects(_configurations(spark, sf_dir)).withColumn("pos", F.col("pos").cast("bigint"))
+
+
+@query("container_forms", """WITH t AS (SELECT s_suppkey AS file_id, CASE (s_suppkey + i) % 4 WHEN 0 THEN 'Справочник'
+    WHEN 1 THEN 'Документ' WHEN 2 THEN 'РегистрНакопления' ELSE 'Константа' END AS kind_ru,
+    'Объект' || (s_suppkey % 3 + i % 2) AS name FROM supplier, (VALUES (1), (2), (3), (4), (5)) v(i))
+  SELECT 'create_form' AS op, kind_ru || '.' || name AS ref, name AS title, '#868e96' AS color, count(DISTINCT file_id) AS files FROM t GROUP BY ALL""")
+def container_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    formed = plan.container_forms(catalog.metadata_objects(_configurations(spark, sf_dir)))
+    return formed.groupBy("op", "ref", "title", "color").agg(F.count(F.lit(1)).alias("files"))
+
+
+def _configurations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One configuration text per supplier with five named objects, some of them repeated."""
     one = ("case (s_suppkey + {0}) % 4 when 0 then 'Справочник' when 1 then 'Документ' when 2 then 'РегистрНакопления' "
            "else 'Константа' end, '.Объект', cast(s_suppkey % 3 + {0} % 2 as string), '; '")
     text = ", ".join(one.format(i) for i in (1, 2, 3, 4, 5))
-    files = table(spark, sf_dir, "supplier").selectExpr("s_suppkey as file_id", f"concat({text}) as text")
-    return catalog.metadata_objects(files).withColumn("pos", F.col("pos").cast("bigint"))
+    return table(spark, sf_dir, "supplier").selectExpr("s_suppkey as file_id", f"concat({text}) as text")
 
 
 # --------------------------------------------------------------- actors and links
@@ -186,6 +199,15 @@ def people_roll(spark: SparkSession, sf_dir: str) -> DataFrame:
     return roll.select("code", "full_name", F.lit(fx.DEFAULT_POSITION).alias("position_default"), "salary")
 
 
+@query("id_map", f"""WITH {SQL_REFS} SELECT id, ref, 'counterparties' AS cls, 'tmpl_ref1' AS form_ref FROM c1 UNION ALL
+  SELECT id, ref, 'counterparties', 'tmpl_ref2' FROM c2 UNION ALL SELECT id, ref, 'nomenclature', 'tmpl_ref3' FROM c3 UNION ALL
+  SELECT id, ref, 'catalogs', 'tmpl_ref4' FROM c4 UNION ALL SELECT id, ref, 'organizations', 'tmpl_ref5' FROM c5 UNION ALL
+  SELECT id, ref, 'currencies', 'tmpl_ref6' FROM c6 UNION ALL SELECT id, ref, 'employees', 'tmpl_ref7' FROM c7 UNION ALL
+  SELECT id, ref, 'documents', 'tmpl_doc1' FROM d1""")
+def id_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return links.last_wins(star_base(spark, sf_dir).ids()).select(F.lower(F.hex("id")).alias("id"), "ref", "cls", "form_ref")
+
+
 @query("resolve_links", f"WITH {SQL_REFS}, {SQL_LINKS} SELECT * FROM links")
 def resolve_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star_base(spark, sf_dir).links().select("source_ref", "target_ref", "name")
@@ -287,6 +309,26 @@ def money_total(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(F.col("money_total").cast("double").alias("money_total"))
 
 
+SQL_SALARY = "trunc(CAST(greatest(c_acctbal, 0) AS DECIMAL(18,2)))"
+
+
+@query("file_meta", SQL_TOTALS + f""" SELECT (SELECT sum({SQL_SALARY})::BIGINT FROM customer) AS salary_total,
+  (SELECT sum(abs(amount)) FROM totals WHERE currency = 'money')::DOUBLE AS money_total,
+  (SELECT count(*) FROM c1) + (SELECT count(*) FROM c2) + (SELECT count(*) FROM c3) + (SELECT count(*) FROM c4) + (SELECT count(*) FROM c5)
+    + (SELECT count(*) FROM c6) + (SELECT count(*) FROM c7) + (SELECT count(*) FROM d1) + (SELECT count(*) FROM events)
+    + (SELECT count(*) FROM lineitem) AS rows""")
+def file_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Salaries of the roll, money on the accounts, and all rows but the counter actors."""
+    base = star_base(spark, sf_dir)
+    parts = [base.people().agg(F.sum("salary").alias("salary_total")),
+             ledger.money_total(base.account_totals()).select(F.col("money_total").cast("double").alias("money_total")),
+             base.class_counts().filter(F.col("cls") != "counters").agg(F.sum("n").alias("rows"))]
+    one, *rest = [p.withColumn("k", F.lit(1)) for p in parts]
+    for p in rest:
+        one = one.join(p, "k")
+    return one.drop("k")
+
+
 @query("chart_of_accounts", SQL_LEGS + """, a AS (SELECT DISTINCT actor_ref, account_name, currency FROM legs)
   SELECT account_name, currency, count(*) AS accounts FROM a GROUP BY ALL""")
 def chart_of_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:

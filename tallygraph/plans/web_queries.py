@@ -111,6 +111,20 @@ def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return web.sections(links)
 
 
+@query("discover", f"""WITH p AS (SELECT 'https://www.shop' || (p_partkey % 50) || '.example.com/' AS seed, {SHOP} AS link FROM part),
+  s AS (SELECT seed, CASE WHEN hash_key % 2 = 0 THEN link ELSE seed || 'rss/' || hash_key END AS link FROM (SELECT *, length(link) AS hash_key FROM p)),
+  u AS (SELECT seed, link FROM p UNION SELECT seed, link FROM s)
+  SELECT seed, count(*) AS links, count(*) FILTER (reason IS NULL) AS kept, count(*) FILTER (reason = 'rss') AS feeds
+  FROM (SELECT seed, {SQL_IGNORE} AS reason FROM u) GROUP BY seed""")
+def discover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    links = derived(spark, sf_dir, "part", "concat('https://www.shop', cast(p_partkey % 50 as string), '.example.com/') as seed",
+                    f"{SHOP} as link")
+    sitemap = links.selectExpr("seed", "case when length(link) % 2 = 0 then link else concat(seed, 'rss/', cast(length(link) as string)) end as link")
+    return web.discover(links, sitemap).groupBy("seed").agg(
+        F.count(F.lit(1)).alias("links"), F.count_if(F.col("reason").isNull()).alias("kept"),
+        F.count_if(F.col("reason") == "rss").alias("feeds"))
+
+
 # --------------------------------------------------------------- page text
 @query("page_report", rf"""SELECT url, {SQL_TITLE} AS title, lower(regexp_extract(html, '{fx.PAGE_LANG.replace("'", "''")}', 1)) AS lang,
   md5({_sql_clean('html', fx.TEXT_CAP)}) AS text_md5, length({_sql_clean('html', fx.TEXT_CAP)}) AS chars FROM pages""")

@@ -309,6 +309,15 @@ def sitemap_sizes(candidates: DataFrame, bodies: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- sections and site profile
+def discover(links: DataFrame, sitemap: DataFrame) -> DataFrame:
+    """(seed, link, reason): page links and sitemap links together, once each.
+
+    ``reason`` says why a link is no business section; it is null for the rest.
+    """
+    known = links.select("seed", "link").union(sitemap.select("seed", "link")).distinct()
+    return known.withColumn("reason", urls.ignore_reason(F.col("link")))
+
+
 def sections(links: DataFrame, cap: int = fx.PAGE_CAP) -> DataFrame:
     """(seed, ord, section, label, url): the shallowest page per first path segment.
 

@@ -105,6 +105,9 @@ def record_links(leaves: DataFrame) -> DataFrame:
     """(file_id, source_ref, target_ref, name): references to the first record that owns the guid.
 
     A record's own guid is its first reference; links to itself are left out.
+    The owner map is written out, so that its join with all references starts
+    from two plain shuffles and a guid that everybody names is split by
+    adaptive skew handling.
     """
     refs = leaves.filter((F.col("leaf") == fx.XML_REFERENCE) & (F.col("text") != "")) \
         .withColumn("guid", text.strip(F.col("text")))
@@ -114,7 +117,7 @@ def record_links(leaves: DataFrame) -> DataFrame:
         .agg(F.min_by("ref", F.struct("group_no", "index")).alias("target_ref"))
     name = F.when(F.col("tag").contains("."), F.regexp_replace("tag", r"^[^.]*\.", "")).otherwise(F.col("tag"))
     return (refs.join(own.select("file_id", "record_no", "own_guid"), ["file_id", "record_no"])
-            .filter(F.col("guid") != F.col("own_guid")).join(owners, ["file_id", "guid"])
+            .filter(F.col("guid") != F.col("own_guid")).join(materialize(owners), ["file_id", "guid"])
             .select("file_id", F.col("ref").alias("source_ref"), "target_ref", name.alias("name"), "leaf_no"))
 
 
