@@ -104,20 +104,30 @@ def salary_of(df: DataFrame, obj: TableObject) -> Column:
     return F.coalesce(*values) if values else F.lit(None).cast("double")
 
 
-def fills(df: DataFrame, obj: TableObject) -> DataFrame:
-    """Sparse ``item_N -> value`` map per row; empty rows stay only for employees."""
+def shells_and_fills(df: DataFrame, obj: TableObject) -> DataFrame:
+    """Everything one table says about its actors, in one pass: shell, fill map, staff columns."""
     data = _sparse_map([(item, value_text(df, col)) for col, item, _ in obj.fields if col in df.columns])
     staff = obj.cls == "employees"
     position = _first_text(df, named_columns(obj, fx.POSITION_COLUMN))
-    out = df.filter(is_valid(df, obj)).select(
+    return df.filter(is_valid(df, obj)).select(
         F.lit(obj.order).alias("obj"), F.col(ROW_INDEX).cast("bigint").alias("pos"),
-        ref_of(df, obj).alias("ref"), F.lit(obj.form_ref).alias("form_ref"), data.alias("data"),
-        F.lit(obj.cls).alias("cls"), standard_map(df).alias("std"),
+        ref_of(df, obj).alias("ref"), F.lit(obj.form_ref).alias("form_ref"),
+        title_of(df, obj).alias("title"), F.lit(obj.cls).alias("cls"), standard_map(df).alias("std"),
+        data.alias("data"),
         (F.coalesce(position, F.lit(fx.DEFAULT_POSITION)) if staff
          else F.lit(None).cast("string")).alias("position"),
         (F.nullif(salary_of(df, obj), F.lit(0.0)) if staff
          else F.lit(None).cast("double")).alias("salary"))
-    return out if staff else out.filter(F.size("data") > 0)
+
+
+def is_filled() -> Column:
+    """Rows without values are no fills, except for employees."""
+    return (F.size("data") > 0) | (F.col("cls") == "employees")
+
+
+def fills(df: DataFrame, obj: TableObject) -> DataFrame:
+    """Sparse ``item_N -> value`` map per row; empty rows stay only for employees."""
+    return shells_and_fills(df, obj).filter(is_filled()).drop("title")
 
 
 def id_rows(df: DataFrame, obj: TableObject) -> DataFrame:

@@ -7,7 +7,7 @@ Amounts are DECIMAL(18,2) and their sums DECIMAL(28,2).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallygraph import fixed as fx
@@ -173,24 +173,29 @@ def document_lines(df: DataFrame, obj: TableObject, doc_ids: DataFrame,
                         target.alias("target"), name.alias("target_name"))
 
 
+def line_legs(lines: DataFrame) -> Column:
+    """The two legs of a line: money to its document, quantity to its catalog target."""
+    return F.array(
+        F.struct(F.lit(0).alias("ord"), F.abs(lines["amount"]).alias("amount"), F.lit(fx.MONEY_CURRENCY).alias("currency"),
+                 F.lit(fx.DOCUMENT_ACCOUNT).alias("account_name"), F.col("doc").alias("credit_ref")),
+        F.struct(F.lit(1).alias("ord"), F.abs(lines["quantity"]).alias("amount"), F.lit(fx.UNIT_CURRENCY).alias("currency"),
+                 F.lit(fx.STOCK_ACCOUNT).alias("account_name"), F.col("target").alias("credit_ref")))
+
+
+def line_ref() -> Column:
+    """Posting id of an exploded leg; computed after the explode, so only where it is read."""
+    money = posting_id(F.col("doc"), F.col("account_name"), F.col("lineno"), F.col("amount"))
+    units = posting_id(F.col("doc"), F.col("account_name"), F.col("credit_ref"), F.col("lineno"), F.col("amount"))
+    return F.when(F.col("ord") == 0, money).otherwise(units)
+
+
 def line_postings(lines: DataFrame) -> DataFrame:
-    """A money leg to the document and a quantity leg to the catalog target of each line."""
-    money, units = F.abs("amount"), F.abs("quantity")
-    legs = F.array(
-        F.struct(F.lit(0).alias("ord"), money.alias("amount"), F.lit(fx.MONEY_CURRENCY).alias("currency"),
-                 F.lit(fx.DOCUMENT_ACCOUNT).alias("account_name"), F.col("doc").alias("credit_ref"),
-                 posting_id(F.col("doc"), F.lit(fx.DOCUMENT_ACCOUNT), F.col("lineno"), money).alias("ref")),
-        F.struct(F.lit(1).alias("ord"), units.alias("amount"), F.lit(fx.UNIT_CURRENCY).alias("currency"),
-                 F.lit(fx.STOCK_ACCOUNT).alias("account_name"), F.col("target").alias("credit_ref"),
-                 posting_id(F.col("doc"), F.lit(fx.STOCK_ACCOUNT), F.col("target"), F.col("lineno"),
-                            units).alias("ref")))
-    return (lines.select("obj", "pos", "doc", "lineno", F.explode(legs).alias("l"))
-            .filter((F.col("l.amount") != 0) & F.col("l.credit_ref").isNotNull())
-            .select("obj", "pos", F.col("l.ord").alias("ord"), F.col("l.ref").alias("ref"),
-                    F.col("l.currency").alias("currency"), F.col("l.account_name").alias("account_name"),
-                    F.lit(fx.DOCUMENT_COUNTER).alias("debit_ref"),
-                    F.col("l.credit_ref").alias("credit_ref"), F.col("l.amount").alias("amount"),
-                    "doc", "lineno"))
+    """Every non-zero leg of the lines as a balanced transfer from the document counter."""
+    leg = lines.select("obj", "pos", "doc", "lineno", F.explode(line_legs(lines)).alias("l")) \
+        .select("obj", "pos", "doc", "lineno", "l.*")
+    return leg.filter((F.col("amount") != 0) & F.col("credit_ref").isNotNull()).select(
+        "obj", "pos", "ord", line_ref().alias("ref"), "currency", "account_name",
+        F.lit(fx.DOCUMENT_COUNTER).alias("debit_ref"), "credit_ref", "amount", "doc", "lineno")
 
 
 def line_links(lines: DataFrame) -> DataFrame:

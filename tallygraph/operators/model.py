@@ -116,7 +116,11 @@ class LandedBase:
 
     # ------------------------------------------------------------ stream and reports
     def op_stream(self, structure: bool = False) -> DataFrame:
-        """Every op of the base; the structure scope gives forms only."""
+        """Every op of the base; the structure scope gives forms only.
+
+        Each table is read once for its shells and fills and once for its
+        links, and the lines are joined once for postings and links.
+        """
         form_part = plan.form_ops(self.forms())
         if structure:
             return plan.op_stream([form_part])
@@ -124,17 +128,15 @@ class LandedBase:
             self.spark, [(10_000, fx.COUNTER_FORM, fx.COUNTER_FORM_TITLE, fx.COUNTER_COLOR, [])],
             f"obj int, ref string, title string, color string, fields {actors.FIELDS_TYPE}")
         parts = [form_part, plan.form_ops(counter_form.withColumn("cls", F.lit(None).cast("string"))),
-                 plan.actor_ops(self.actors()), plan.fill_ops(self.fills()),
+                 plan.row_ops(union_all([actors.shells_and_fills(self.tables[o.phys], o) for o in self.objects])),
                  plan.actor_ops(self.counters().withColumn("pos", F.lit(0))
                                 .withColumn("obj", F.col("obj") + 10_000)),
                  plan.transfer_ops(self.register_postings()), plan.link_ops(self.links())]
         if self.lines:
-            doc_lines = self.document_lines()
             counter = small_table(
                 self.spark, [(20_000, 0, fx.DOCUMENT_COUNTER, fx.COUNTER_FORM, fx.DOCUMENT_COUNTER_TITLE, "registers")],
                 "obj int, pos int, ref string, form_ref string, title string, cls string")
-            parts += [plan.actor_ops(counter), plan.transfer_ops(ledger.line_postings(doc_lines)),
-                      plan.link_ops(ledger.line_links(doc_lines), dedup=True)]
+            parts += [plan.actor_ops(counter), plan.line_ops(self.document_lines())]
         return plan.op_stream(parts)
 
     def class_counts(self) -> DataFrame:

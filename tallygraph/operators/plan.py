@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tallygraph import fixed as fx
 from tallygraph.functions.numbers import lookup
+from tallygraph.operators import ledger
+from tallygraph.operators.actors import is_filled
 from tallygraph.operators.positions import first_per_group
 from tallygraph.session import small_table, union_all
 
@@ -42,6 +44,39 @@ def fill_ops(fills: DataFrame) -> DataFrame:
                         F.col("pos").cast("bigint").alias("pos"), F.lit(0).alias("ord"), *cols)
 
 
+def row_ops(rows: DataFrame) -> DataFrame:
+    """Shell and fill of every row in one pass over its table."""
+    shell = F.col("op") == "create_actor"
+    both = rows.select("*", F.explode(F.array(F.lit("create_actor"), F.lit("fill_actor"))).alias("op"))
+    return both.filter(shell | is_filled()).select(
+        "op", F.col("obj").cast("bigint").alias("obj"), "pos", F.lit(0).alias("ord"), "ref", "form_ref",
+        F.when(shell, F.col("title")).alias("title"), "cls", "std",
+        *[F.when(~shell, F.col(c)).alias(c) for c in ("data", "position", "salary")])
+
+
+def line_ops(lines: DataFrame) -> DataFrame:
+    """Money leg, quantity leg and document-to-target link of every line in one pass.
+
+    The link comes once per line and is marked ``dedup``: whoever applies the
+    ops keeps one per pair, see ``ledger.line_links``.
+    """
+    empty = F.lit(None).cast("string")
+    legs = ledger.line_legs(lines)
+    link = F.struct(F.lit(2).alias("ord"), F.lit(None).cast("decimal(18,2)").alias("amount"), empty.alias("currency"),
+                    empty.alias("account_name"), F.col("target").alias("credit_ref"))
+    made = lines.select("obj", "pos", "doc", "lineno", "target_name", F.explode(F.concat(legs, F.array(link))).alias("l")) \
+        .select("obj", "pos", "doc", "lineno", "target_name", "l.*").filter(F.col("credit_ref").isNotNull())
+    is_link = F.col("ord") == 2
+    made = made.filter(is_link | (F.col("amount") != 0)).withColumn("debit_ref", F.lit(fx.DOCUMENT_COUNTER))
+    return made.select(
+        F.when(is_link, "create_link").otherwise("transfer").alias("op"), F.col("obj").cast("bigint").alias("obj"), "pos", "ord",
+        F.when(~is_link, ledger.line_ref()).alias("ref"), "currency", "account_name", F.when(~is_link, "fact").alias("account_type"),
+        F.when(~is_link, _leg("debit_ref")).alias("from_legs"), F.when(~is_link, _leg("credit_ref")).alias("to_legs"),
+        F.when(~is_link, F.col("doc")).alias("doc"), F.when(~is_link, F.col("lineno")).alias("lineno"),
+        F.when(is_link, F.col("doc")).alias("source_ref"), F.when(is_link, F.col("credit_ref")).alias("target_ref"),
+        F.when(is_link, F.col("target_name")).alias("name"), F.when(is_link, F.lit(True)).alias("dedup"))
+
+
 def transfer_ops(transfers: DataFrame) -> DataFrame:
     return transfers.select(
         F.lit("transfer").alias("op"), F.col("obj").cast("bigint").alias("obj"),

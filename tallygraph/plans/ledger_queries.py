@@ -470,7 +470,7 @@ SQL_OPS = f"""WITH {SQL_REFS}, {SQL_REGISTER}, {SQL_LINES}, {SQL_LINKS}, n AS (
     + (SELECT count(*) FROM c5) + (SELECT count(*) FROM c6) + (SELECT count(*) FROM c7) + (SELECT count(*) FROM d1)
     + (SELECT count(*) FROM events) UNION ALL
   SELECT 'transfer', (SELECT count(*) FROM reg) + (SELECT count(*) FROM doc) UNION ALL
-  SELECT 'create_link', (SELECT count(*) FROM links) + (SELECT count(*) FROM (SELECT DISTINCT doc, target FROM ln WHERE target IS NOT NULL)))"""
+  SELECT 'create_link', (SELECT count(*) FROM links) + (SELECT count(*) FROM ln WHERE target IS NOT NULL))"""
 
 
 @query("op_totals", SQL_OPS + " SELECT op, n::BIGINT AS n FROM n")
@@ -529,7 +529,7 @@ def _plan_and_fact(base, cap: int) -> tuple[DataFrame, DataFrame]:
 SQL_PLAN = SQL_ACTORS + f""", {SQL_REGISTER}, {SQL_LINES}, {SQL_LINKS},
   capped AS (SELECT ref FROM actors QUALIFY row_number() OVER (PARTITION BY form_ref ORDER BY pos, ref) > {CAP}),
   tr AS (SELECT * FROM reg UNION ALL SELECT * FROM doc),
-  alllinks AS (SELECT source_ref, target_ref FROM links UNION ALL SELECT DISTINCT doc, target FROM ln WHERE target IS NOT NULL),
+  alllinks AS (SELECT source_ref, target_ref FROM links UNION ALL SELECT doc, target FROM ln WHERE target IS NOT NULL),
   p AS (SELECT 'forms' AS category, 10 AS planned UNION ALL
     SELECT 'actors', (SELECT count(*) FROM actors WHERE ref NOT IN (SELECT ref FROM capped)) + 2 UNION ALL
     SELECT 'filled', (SELECT count(*) FROM actors WHERE ref NOT IN (SELECT ref FROM capped)) UNION ALL
