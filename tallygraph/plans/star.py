@@ -131,7 +131,7 @@ class LandedTables(Mapping):
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self.read:
             source, exprs = self.landings[name]
-            rows = table(self.spark, self.sf_dir, source)
+            rows = table(self.spark, self.sf_dir, source, spread_from=1_000_000)
             if name == "_REFERENCE6":
                 rows = rows.select("o_orderstatus").distinct()
             self.read[name] = rows.selectExpr(*exprs)
