@@ -39,6 +39,7 @@ _LOW, _CELLS = 16, 1 << CELL_BITS
 
 SKETCH = "rng bigint, block bigint, counts0 binary, lows0 binary, counts1 binary, lows1 binary"
 ANSWER = "block bigint, step int, rng bigint, mask0 binary, mask1 binary"
+PAIR = [("a", "<u8"), ("b", "<u8")]
 DIGESTS = "rng bigint, block bigint, digests binary"
 
 
@@ -53,25 +54,23 @@ class _Windows:
         self.hash, self.at = self.batch.window_hashes(self.words, size)
 
     def second_hash(self) -> np.ndarray:
-        words = mix(self.batch.hashes(seed=1) ^ np.uint64(0xA5A5A5A5))
-        return self.batch.window_hashes(words, self.size)[0]
+        return self.batch.window_hashes(mix(self.words ^ np.uint64(0xA5A5A5A5A5A5A5A5)), self.size)[0]
 
-    def cells(self) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Per sketch row: sorted (range, cell) keys with counts up to two, and each window's key."""
+    def cells(self, row: int) -> tuple[np.ndarray, np.ndarray]:
+        """One sketch row: sorted (range, cell) keys with counts up to two, and each window's place there."""
         rng = mix(self.hash) % np.uint64(self.ranges) << np.uint64(CELL_BITS)
-        out = []
-        for row in range(2):
-            key = rng | (self.hash >> np.uint64(row * CELL_BITS) & np.uint64(_CELLS - 1))
-            out.append((_at_most_two(key), key))
-        return out
+        return _at_most_two(rng | (self.hash >> np.uint64(row * CELL_BITS) & np.uint64(_CELLS - 1)))
 
 
-def _at_most_two(values: np.ndarray) -> np.ndarray:
-    """Sorted values, each at most twice."""
-    values = np.sort(values)
+def _at_most_two(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted values, each at most twice, and where each input value is among them."""
+    order = np.argsort(values)
+    ordered = values[order]
     keep = np.ones(len(values), bool)
-    keep[2:] = values[2:] != values[:-2]
-    return values[keep]
+    keep[2:] = ordered[2:] != ordered[:-2]
+    place = np.empty(len(values), np.int64)
+    place[order] = np.cumsum(keep) - 1
+    return ordered[keep], place
 
 
 def _by_range(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -88,7 +87,7 @@ def _table(schema: str, columns: list) -> pa.Table:
 
 
 def _sketch(block: int, windows: _Windows) -> pa.Table:
-    (sent0, _), (sent1, _) = windows.cells()
+    sent0, sent1 = windows.cells(0)[0], windows.cells(1)[0]
     columns: list[list] = [[] for _ in range(6)]
     (ranges, bounds0), (_, bounds1) = _by_range(sent0), _by_range(sent1)     # the same ranges in both rows
     for i, rng in enumerate(ranges):
@@ -131,20 +130,23 @@ def _candidates(windows: _Windows, answers: pa.Table) -> np.ndarray:
     chosen = answers.filter(pc.equal(answers.column("step"), 1))
     ranges = chosen.column("rng").to_pylist()
     out = np.ones(len(windows.hash), bool)
-    for d, (sent, own) in enumerate(windows.cells()):
-        flags = _flags(sent, dict(zip(ranges, chosen.column(f"mask{d}").to_pylist())))
-        out &= flags[np.searchsorted(sent, own)]
+    for row in range(2):
+        sent, place = windows.cells(row)
+        out &= _flags(sent, dict(zip(ranges, chosen.column(f"mask{row}").to_pylist())))[place]
     return np.flatnonzero(out)
 
 
 def _pairs(windows: _Windows, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct digests of the chosen windows, each at most twice, and each window's place among them."""
-    pair = np.empty(len(chosen), [("a", "<u8"), ("b", "<u8")])
-    pair["a"], pair["b"] = windows.hash[chosen], windows.second_hash()[chosen]
-    distinct, place, count = np.unique(pair, return_inverse=True, return_counts=True)
-    sent = np.repeat(distinct, np.minimum(count, 2))
-    first = np.cumsum(np.minimum(count, 2)) - np.minimum(count, 2)
-    return sent, first[place.reshape(-1)]
+    a, b = windows.hash[chosen], windows.second_hash()[chosen]
+    order = np.lexsort((b, a))
+    pair = np.empty(len(chosen), PAIR)
+    pair["a"], pair["b"] = a[order], b[order]
+    keep = np.ones(len(pair), bool)
+    keep[2:] = pair[2:] != pair[:-2]
+    place = np.empty(len(pair), np.int64)
+    place[order] = np.cumsum(keep) - 1
+    return pair[keep], place
 
 
 def _digest_range(sent: np.ndarray, ranges: int) -> np.ndarray:
@@ -153,7 +155,7 @@ def _digest_range(sent: np.ndarray, ranges: int) -> np.ndarray:
 
 def _group(rows: pa.Table) -> pa.Table:
     """Exact counts of a range's digests, answered to each block in the order it sent them."""
-    parts = [np.frombuffer(d, [("a", "<u8"), ("b", "<u8")]) for d in rows.column("digests").to_pylist()]
+    parts = [np.frombuffer(d, PAIR) for d in rows.column("digests").to_pylist()]
     every = np.concatenate(parts)
     order = np.lexsort((every["b"], every["a"]))
     same = every[order][1:] == every[order][:-1]
