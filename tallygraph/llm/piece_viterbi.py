@@ -98,7 +98,10 @@ class PieceCoder(dict):
         return ids[::-1]
 
     def __missing__(self, word: str) -> bytes:
-        stretch, bigrams = MARK + word, self.bigrams
+        bigrams, end = self.bigrams, word[-1:]
+        if len(word) > SHORT and end in self.inner and word[-2:] not in bigrams:
+            return self[word[:-1]] + self.inner[end]
+        stretch = MARK + word
         cuts = [k for k in range(1, len(stretch)) if stretch[k - 1:k + 1] not in bigrams]
         if not cuts:
             return self._keep(self, word, stretch)
