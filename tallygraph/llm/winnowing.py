@@ -64,8 +64,8 @@ def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K, window: int
 
 
 def hashes_of(fingerprint: Column) -> Column:
-    """Distinct kept hashes."""
-    return F.array_distinct(F.transform(fingerprint, lambda x: F.shiftright(x, 31)))
+    """Distinct kept hashes, as signed 32-bit numbers."""
+    return F.array_distinct(F.transform(fingerprint, lambda x: (F.shiftright(x, 31) - F.lit(1 << 31)).cast("int")))
 
 
 def position_of(kept: Column) -> Column:
@@ -105,28 +105,29 @@ def edited(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = K,
     """Each text, its fingerprint, the text with its last quarter replaced by the head of the next one, and the likenesses.
 
     ``doc_id, n_chars, text, fingerprint, edited, edited_fingerprint, near_edited, near_next``.
-    The text moves once, by id, with its fingerprint; only heads move again.  Of rows that
+    The text moves once, by id; only heads and the hashes of their texts move again.  Of rows that
     share an id, the next document is the one with the smallest head.  A row without an id
     has no next: its last quarter is cut off, and its likeness to the next is 0.
     """
-    body = F.coalesce(docs[text], F.lit(""))
-    base = docs.select(docs[key].cast("bigint").alias("doc_id"), body.alias("text"), F.char_length(body).alias("n"))
-    ids = (base.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("id"))
-           .agg(F.max(F.expr("cast(n div 4 as int)")).alias("take")))
+    base = docs.select(docs[key].cast("bigint").alias("doc_id"), docs[text].alias("text"))
+    n = F.char_length(F.coalesce(F.col("text"), F.lit("")))
+    # both joins below move the same two columns of the same rows, so these move once
+    known = base.filter(F.col("doc_id").isNotNull())
+    ids = known.groupBy(F.col("doc_id").alias("id")).agg(F.max(F.floor(n / 4).cast("int")).alias("take"))
     links = successors(ids).select(F.col("id").alias("prev_id"), "take", F.col("next_id").alias("doc_id"))
-    marked = with_fingerprint(base, "text", "fp", k, window)
-    # both joins below read these rows in the same columns, so they are made and moved once
-    known = marked.filter(F.col("doc_id").isNotNull())
-    heads = (known.join(links, "doc_id")
-             .select("prev_id", F.expr("substring(text, 1, least(take, n))").alias("head"), F.col("fp").alias("fp_next"))
-             .groupBy(F.col("prev_id").alias("doc_id")).agg(F.min(F.struct("head", "fp_next")).alias("next")))
-    alone = marked.filter(F.col("doc_id").isNull()).withColumn("next", F.lit(None).cast(heads.schema["next"].dataType))
+    after = with_fingerprint(known.join(links, "doc_id"), "text", "fp", k, window)
+    heads = (after.select("prev_id", F.expr("substring(coalesce(text, ''), 1, take)").alias("head"),
+                          hashes_of(F.col("fp")).alias("after"))
+             .groupBy(F.col("prev_id").alias("doc_id")).agg(F.min(F.struct("head", "after")).alias("next")))
+    alone = (base.filter(F.col("doc_id").isNull())
+             .withColumn("next", F.lit(None).cast(heads.schema["next"].dataType)))
     out = known.join(heads, "doc_id", "left").unionByName(alone)
+    out = out.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("n", F.char_length("text"))
     changed = F.concat(F.expr("substring(text, 1, cast(n - n div 4 as int))"),
                        F.coalesce(F.expr("substring(next.head, 1, cast(n div 4 as int))"), F.lit("")))
+    out = with_fingerprint(out, "text", "fp", k, window)
     out = with_fingerprint(out.withColumn("edited", changed), "edited", "edited_fp", k, window)
-    out = out.withColumns({"own": hashes_of(F.col("fp")), "other": hashes_of(F.col("edited_fp")),
-                           "after": hashes_of(F.col("next.fp_next"))})
+    out = out.withColumns({"own": hashes_of(F.col("fp")), "other": hashes_of(F.col("edited_fp"))})
     return out.select("doc_id", F.col("n").cast("bigint").alias("n_chars"), "text", F.col("fp").alias("fingerprint"), "edited",
                       F.col("edited_fp").alias("edited_fingerprint"), likeness(F.col("own"), F.col("other")).alias("near_edited"),
-                      F.coalesce(likeness(F.col("own"), F.col("after")), F.lit(0.0)).alias("near_next"))
+                      F.coalesce(likeness(F.col("own"), F.col("next.after")), F.lit(0.0)).alias("near_next"))
