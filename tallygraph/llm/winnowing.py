@@ -109,19 +109,21 @@ def edited(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = K,
     share an id, the next document is the one with the smallest head.  A row without an id
     has no next: its last quarter is cut off, and its likeness to the next is 0.
     """
-    base = docs.select(docs[key].cast("bigint").alias("doc_id"), docs[text].alias("text"))
-    n = F.char_length(F.coalesce(F.col("text"), F.lit("")))
-    # both joins below move the same two columns of the same rows, so these move once
-    known = base.filter(F.col("doc_id").isNotNull())
-    ids = known.groupBy(F.col("doc_id").alias("id")).agg(F.max(F.floor(n / 4).cast("int")).alias("take"))
-    links = successors(ids).select(F.col("id").alias("prev_id"), "take", F.col("next_id").alias("doc_id"))
-    after = with_fingerprint(known.join(links, "doc_id"), "text", "fp", k, window)
-    heads = (after.select("prev_id", F.expr("substring(coalesce(text, ''), 1, take)").alias("head"),
+    # Both joins below move these two columns of these rows.  They are left as they are read,
+    # names and all, for only then are the two moves one.
+    base = docs.select(docs[key], docs[text])
+    known = base.filter(docs[key].isNotNull())
+    take = F.floor(F.char_length(F.coalesce(F.col(text), F.lit(""))) / 4).cast("int")
+    ids = known.groupBy(F.col(key).cast("bigint").alias("id")).agg(F.max(take).alias("take"))
+    links = successors(ids).select(F.col("id").alias("prev_id"), "take", F.col("next_id").alias(key))
+    after = with_fingerprint(known.join(links, key).withColumnRenamed(text, "_text"), "_text", "fp", k, window)
+    heads = (after.select("prev_id", F.expr("substring(coalesce(_text, ''), 1, take)").alias("head"),
                           hashes_of(F.col("fp")).alias("after"))
-             .groupBy(F.col("prev_id").alias("doc_id")).agg(F.min(F.struct("head", "after")).alias("next")))
-    alone = (base.filter(F.col("doc_id").isNull())
+             .groupBy(F.col("prev_id").alias(key)).agg(F.min(F.struct("head", "after")).alias("next")))
+    alone = (base.filter(docs[key].isNull())
              .withColumn("next", F.lit(None).cast(heads.schema["next"].dataType)))
-    out = known.join(heads, "doc_id", "left").unionByName(alone)
+    out = known.join(heads, key, "left").unionByName(alone)
+    out = out.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"), "next")
     out = out.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("n", F.char_length("text"))
     changed = F.concat(F.expr("substring(text, 1, cast(n - n div 4 as int))"),
                        F.coalesce(F.expr("substring(next.head, 1, cast(n div 4 as int))"), F.lit("")))
