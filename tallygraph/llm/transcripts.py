@@ -57,7 +57,7 @@ class Model(NamedTuple):
     stays: float = 0.7              # that a turn goes on with the next line
     marked: float = 0.8             # that the line that opens a turn shows its marker
     mistaken: float = 0.01          # that a line shows a marker that is not its own
-    begins: float = 0.98            # that the line that opens a turn begins a segment
+    begins: float = 0.9               # that the line that opens a turn begins a segment
     again: float = 0.02             # that a line that goes on begins one
     mean: tuple[float, ...] = (5.0, 5.0, 6.5)
     spread: tuple[float, ...] = (1.0, 1.0, 1.0)
