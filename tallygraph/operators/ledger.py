@@ -105,12 +105,12 @@ def account_totals(regs: list[tuple[Register, DataFrame]], ids: DataFrame) -> Da
         signed = F.when(F.col("negative"), -F.col("c.value")).otherwise(F.col("c.value"))
         parts.append(cell.groupBy("id", F.col("c.account").alias("account_name"),
                                   F.col("c.kind").alias("currency"))
-                     .agg(F.sum(signed).alias("amount")))
+                     .agg(F.sum(signed).alias("amount")).withColumn("obj", F.lit(reg.idx)))
     summed = union_all(parts)
     return (summed.join(ids.select("id", "ref", "cls", "form_ref"), "id")
             .groupBy("ref", "account_name")
-            .agg(F.sum("amount").cast(TOTAL).alias("amount"), F.first("currency").alias("currency"),
-                 F.first("cls").alias("cls"), F.first("form_ref").alias("form_ref")))
+            .agg(F.sum("amount").cast(TOTAL).alias("amount"), F.min_by("currency", "obj").alias("currency"),
+                 F.min("cls").alias("cls"), F.min("form_ref").alias("form_ref")))
 
 
 def baseline(totals: DataFrame, classes: list[str] | None = None,

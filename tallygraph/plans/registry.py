@@ -23,36 +23,14 @@ def query(name: str, sql: str | None = None):
 
 
 _SCHEMAS: dict[str, StructType] = {}
-_SIZES: dict[str, int] = {}
-SMALL_FILE = 256_000_000
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread_from: int = 100_000) -> DataFrame:
-    """A driver table; its schema is read from a footer once per process.
-
-    One small file from ``spread_from`` bytes on is spread over the cores.
-    """
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table as it lies; its schema is read from a footer once per process and path."""
     path = f"{sf_dir}/{name}.parquet"
-    if name not in _SCHEMAS:
-        _SCHEMAS[name] = spark.read.parquet(path).schema
-    rows = spark.read.schema(_SCHEMAS[name]).parquet(path)
-    size = _single_file_size(spark, path)
-    small = spread_from <= size <= SMALL_FILE
-    return rows.repartition(spark.sparkContext.defaultParallelism) if small else rows
-
-
-def _single_file_size(spark: SparkSession, path: str) -> int:
-    """Bytes of a table that is one file, which one task would read alone; else 0.
-
-    A table of many files or of gigabytes has splits enough and is never moved.
-    """
-    key = f"{spark.sparkContext.applicationId}:{path}"
-    if key not in _SIZES:
-        jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        status = fs.getFileStatus(jvm_path)
-        _SIZES[key] = status.getLen() if status.isFile() else 0
-    return _SIZES[key]
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def derived(spark: SparkSession, sf_dir: str, name: str, *exprs: str) -> DataFrame:

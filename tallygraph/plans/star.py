@@ -131,7 +131,7 @@ class LandedTables(Mapping):
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self.read:
             source, exprs = self.landings[name]
-            rows = table(self.spark, self.sf_dir, source, spread_from=1_000_000)
+            rows = table(self.spark, self.sf_dir, source)
             if name == "_REFERENCE6":
                 rows = rows.select("o_orderstatus").distinct()
             self.read[name] = rows.selectExpr(*exprs)
@@ -148,11 +148,11 @@ _CATALOGS: dict[str, Catalog] = {}
 
 
 def star_catalog(spark: SparkSession, tables: Mapping[str, DataFrame]) -> Catalog:
-    """Descriptors read once per session: they depend on the schema, not on the rows."""
-    app = spark.sparkContext.applicationId
+    """Descriptors read once per session and set of columns; they do not depend on the rows."""
+    schemas = {name: [c for c in df.columns if c != "row_index"] for name, df in tables.items()}
+    app = f"{spark.sparkContext.applicationId} {sorted(schemas.items())}"
     if app not in _CATALOGS:
         params, configs = metadata_texts(spark)
-        schemas = {name: [c for c in df.columns if c != "row_index"] for name, df in tables.items()}
         _CATALOGS[app] = discover(spark, schemas, metadata_entries(params), configs)
     return _CATALOGS[app]
 
