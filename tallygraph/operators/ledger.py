@@ -238,8 +238,10 @@ def chart_of_accounts(transfers: DataFrame) -> DataFrame:
 
 
 def new_by_ref(ops: DataFrame, stored_refs: DataFrame) -> DataFrame:
-    """One op per ref, without the refs that are already stored."""
-    return ops.dropDuplicates(["ref"]).join(stored_refs.select("ref"), "ref", "left_anti")
+    """The first op of each ref in stream order, without the refs that are already stored."""
+    place = F.struct(*[F.col(c) for c in ("prio", "obj", "pos", "ord") if c in ops.columns], "ref")
+    first = ops.groupBy("ref").agg(F.min_by(F.struct(*ops.columns), place).alias("_row")).select("_row.*")
+    return first.join(stored_refs.select("ref"), "ref", "left_anti")
 
 
 def document_totals(lines: DataFrame) -> DataFrame:
