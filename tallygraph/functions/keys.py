@@ -50,15 +50,17 @@ def row_ref(scope: str, key: Column | None, key_type: str, id_col: Column | None
 
 
 def posting_id(*parts: Column) -> Column:
-    """``p-`` and 26 hex digits of the sha256 of the parts joined by a bar.
-
-    Amounts must come in as decimals so that their text is fixed.
-    """
+    """``p-`` and 26 hex digits of the sha256 of the parts joined by a bar."""
     text = F.concat_ws("|", *[p.cast("string") for p in parts])
     return F.concat(F.lit(fx.POSTING_PREFIX),
                     F.left(F.sha2(F.encode(text, "utf-8"), 256), F.lit(fx.POSTING_DIGITS)))
 
 
+def amount_text(amount: Column) -> Column:
+    """A decimal without trailing zeros but with at least one decimal: 2.0, 10.5, 0.125."""
+    return F.regexp_replace(amount.cast("string"), r"(\.[0-9]+?)0*$", "$1")
+
+
 def name_prefix(name: Column) -> Column:
     slug = F.regexp_replace(F.lower(name), "[^a-z0-9]+", "_")
     return F.concat(F.lit("twin_"), F.regexp_replace(slug, "^_+|_+$", ""))

@@ -18,6 +18,11 @@ ROW_INDEX = "row_index"     # position of the row in its table, given by the lan
 STANDARD_KEYS = [("_CODE", "code"), ("_DESCRIPTION", "name"), ("_NUMBER", "number"),
                  ("_DATE_TIME", "date"), ("_POSTED", "posted")]
 FIELDS_TYPE = "array<struct<id:string,title:string>>"
+# Columns of a base that lacks the kind of table.
+ID_ROWS = "id binary, ref string, cls string, form_ref string, obj int, pos bigint"
+ACTORS = "obj int, pos bigint, ref string, form_ref string, title string, cls string, std map<string,string>"
+SHELLS = f"{ACTORS}, data map<string,string>, position string, salary double"
+PEOPLE = "code string, full_name string, position string, salary bigint"
 
 
 def _type(df: DataFrame, column: str) -> str:

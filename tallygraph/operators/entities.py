@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygraph import fixed as fx
 from tallygraph.functions.text import strip
 from tallygraph.operators.actors import (ROW_INDEX, is_valid, salary_of, title_of, value_text)
-from tallygraph.session import union_all
+from tallygraph.session import no_rows, union_all
 from tallygraph.sources.catalog import TableObject
 
 
@@ -38,17 +38,20 @@ def entity_rows(df: DataFrame, obj: TableObject, cap: int) -> DataFrame:
     return picked.orderBy("pos").limit(cap).withColumn("accounts", accounts).drop("_salary")
 
 
-def entities(tables: dict[str, DataFrame], objects: list[TableObject], caps: dict[str, int] | None = None,
+ROWS = ("obj int, pos bigint, entity string, title string, value string, accounts map<string,double>")
+
+
+def entities(spark: SparkSession, tables: dict[str, DataFrame], objects: list[TableObject], caps: dict[str, int] | None = None,
              file_name: str | None = None, parent: str | None = None) -> DataFrame:
     limits = {**fx.ENTITY_CAPS, **(caps or {})}
     parts = [entity_rows(tables[o.phys], o, limits.get(o.cls, 0)) for o in objects if o.cls in fx.ENTITY_CLASS]
-    return union_all(parts).select(
+    return union_all(parts, empty=no_rows(spark, ROWS)).select(
         "*", F.lit(fx.ENTITY_CONFIDENCE).alias("confidence"), F.lit("1c").alias("source"),
         F.lit(file_name).cast("string").alias("source_url"), F.lit("confirmed").alias("status"),
         F.lit(parent).cast("string").alias("parent"))
 
 
-def entity_counts(tables: dict[str, DataFrame], objects: list[TableObject],
+def entity_counts(spark: SparkSession, tables: dict[str, DataFrame], objects: list[TableObject],
                   caps: dict[str, int] | None = None) -> DataFrame:
     """Valid rows and shown rows per class; shown adds up the per-table caps."""
     limits = {**fx.ENTITY_CAPS, **(caps or {})}
@@ -62,7 +65,7 @@ def entity_counts(tables: dict[str, DataFrame], objects: list[TableObject],
             F.count(F.lit(1)).alias("total"),
             F.least(F.count_if(titled), F.lit(limits.get(o.cls, 0))).alias("shown"))
             .select(F.lit(o.cls).alias("cls"), "total", "shown"))
-    return union_all(parts).groupBy("cls").agg(
+    return union_all(parts, empty=no_rows(spark, "cls string, total bigint, shown bigint")).groupBy("cls").agg(
         F.sum("total").alias("total"), F.sum("shown").alias("shown"))
 
 
@@ -86,13 +89,13 @@ def file_entity(counts: DataFrame, file_name: str, file_format: str, kb: int,
         F.lit(parent).cast("string").alias("parent"), accounts.alias("accounts"))
 
 
-def organization_name(tables: dict[str, DataFrame], objects: list[TableObject]) -> DataFrame:
+def organization_name(spark: SparkSession, tables: dict[str, DataFrame], objects: list[TableObject]) -> DataFrame:
     """Title of the first valid row of the first organisations catalog that has one."""
     parts = [tables[o.phys].filter(is_valid(tables[o.phys], o))
              .select(F.lit(o.order).alias("obj"), F.col(ROW_INDEX).alias("pos"),
                      title_of(tables[o.phys], o).alias("title"))
              for o in objects if o.cls == "organizations"]
-    titled = union_all(parts).filter(F.col("title") != "")
+    titled = union_all(parts, empty=no_rows(spark, "obj int, pos bigint, title string")).filter(F.col("title") != "")
     return titled.agg(F.min_by("title", F.struct("obj", "pos")).alias("org_name"))
 
 

@@ -2,21 +2,26 @@
 
 A transfer row holds one debit and one credit leg of the same amount, so it is
 balanced by construction; ``legs`` turns transfers into the long form.
-Amounts are DECIMAL(18,2) and their sums DECIMAL(28,2).
+Amounts keep ten decimals, which holds quantities and rates as stored; only
+reports round.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygraph import fixed as fx
-from tallygraph.functions.keys import posting_id, present_id
+from tallygraph.functions.keys import amount_text, posting_id, present_id
 from tallygraph.operators.actors import ROW_INDEX, named_columns
-from tallygraph.session import union_all
+from tallygraph.session import no_rows, union_all
 from tallygraph.sources.catalog import Register, TableObject
 
-AMOUNT, TOTAL = "decimal(18,2)", "decimal(28,2)"
+AMOUNT, TOTAL = "decimal(28,10)", "decimal(38,10)"
+POSTINGS = ("obj int, pos bigint, ord int, ref string, currency string, account_name string, debit_ref string, "
+            f"credit_ref string, amount {AMOUNT}, doc string, lineno string")
+LINES = (f"obj int, pos bigint, doc string, lineno string, amount {AMOUNT}, quantity {AMOUNT}, target string, "
+         "target_name string")
 
 
 def _expense(df: DataFrame, reg: Register):
@@ -63,7 +68,7 @@ def register_postings(df: DataFrame, reg: Register, ids: DataFrame,
     counter, actor = F.lit(reg.counter), F.col("actor")
     return cell.select(
         F.lit(reg.idx).alias("obj"), "pos", F.col("c.res").alias("ord"),
-        posting_id(F.lit(f"reg{reg.idx}"), actor, F.col("c.account"), F.col("pos"), amount).alias("ref"),
+        posting_id(F.lit(f"reg{reg.idx}"), actor, F.col("c.account"), F.col("pos"), amount_text(amount)).alias("ref"),
         currency.alias("currency"), F.col("c.account").alias("account_name"),
         F.when(F.col("expense"), actor).otherwise(counter).alias("debit_ref"),
         F.when(F.col("expense"), counter).otherwise(actor).alias("credit_ref"),
@@ -84,12 +89,12 @@ def primary_form(df: DataFrame, reg: Register, ids: DataFrame) -> DataFrame:
             .filter(F.col("form_ref").isNotNull()))
 
 
-def counter_actors(regs: list[tuple[Register, DataFrame]]) -> DataFrame:
+def counter_actors(spark: SparkSession, regs: list[tuple[Register, DataFrame]]) -> DataFrame:
     """One counter actor per register that has resources and a primary form."""
     parts = [form.select(F.lit(reg.counter).alias("ref"), F.lit(fx.COUNTER_FORM).alias("form_ref"),
                          F.lit(fx.COUNTER_TITLE + reg.name).alias("title"), F.lit(reg.idx).alias("obj"))
              for reg, form in regs]
-    return union_all(parts)
+    return union_all(parts, empty=no_rows(spark, "ref string, form_ref string, title string, obj int"))
 
 
 def account_totals(regs: list[tuple[Register, DataFrame]], ids: DataFrame) -> DataFrame:
@@ -106,7 +111,8 @@ def account_totals(regs: list[tuple[Register, DataFrame]], ids: DataFrame) -> Da
         parts.append(cell.groupBy("id", F.col("c.account").alias("account_name"),
                                   F.col("c.kind").alias("currency"))
                      .agg(F.sum(signed).alias("amount")).withColumn("obj", F.lit(reg.idx)))
-    summed = union_all(parts)
+    summed = union_all(parts, empty=no_rows(
+        ids.sparkSession, f"id binary, account_name string, currency string, amount {TOTAL}, obj int"))
     return (summed.join(ids.select("id", "ref", "cls", "form_ref"), "id")
             .groupBy("ref", "account_name")
             .agg(F.sum("amount").cast(TOTAL).alias("amount"), F.min_by("currency", "obj").alias("currency"),
@@ -184,8 +190,9 @@ def line_legs(lines: DataFrame) -> Column:
 
 def line_ref() -> Column:
     """Posting id of an exploded leg; computed after the explode, so only where it is read."""
-    money = posting_id(F.col("doc"), F.col("account_name"), F.col("lineno"), F.col("amount"))
-    units = posting_id(F.col("doc"), F.col("account_name"), F.col("credit_ref"), F.col("lineno"), F.col("amount"))
+    amount = amount_text(F.col("amount"))
+    money = posting_id(F.col("doc"), F.col("account_name"), F.col("lineno"), amount)
+    units = posting_id(F.col("doc"), F.col("account_name"), F.col("credit_ref"), F.col("lineno"), amount)
     return F.when(F.col("ord") == 0, money).otherwise(units)
 
 
@@ -225,9 +232,14 @@ def balances(transfers: DataFrame) -> DataFrame:
         F.sum("signed").cast(TOTAL).alias("net"), F.count(F.lit(1)).alias("entries"))
 
 
-def violations(transfers: DataFrame) -> DataFrame:
-    """Transfers whose legs do not sum to zero; a sound ledger has none."""
-    return (legs(transfers).groupBy("ref").agg(F.sum("signed").cast(TOTAL).alias("difference"))
+def violations(ops: DataFrame) -> DataFrame:
+    """Transfer ops whose to-legs do not sum to their from-legs, compared inside the row."""
+    def total(legs_of: str) -> Column:
+        return F.aggregate(F.coalesce(legs_of, F.array()), F.lit(0).cast(TOTAL),
+                           lambda done, leg: (done + F.coalesce(leg["amount"], F.lit(0))).cast(TOTAL))
+
+    return (ops.filter(F.col("op") == "transfer")
+            .select("ref", (total("to_legs") - total("from_legs")).cast(TOTAL).alias("difference"))
             .filter(F.col("difference") != 0))
 
 
@@ -245,7 +257,7 @@ def new_by_ref(ops: DataFrame, stored_refs: DataFrame) -> DataFrame:
 
 
 def document_totals(lines: DataFrame) -> DataFrame:
-    """Line count and rounded total per document; lines stay rows, they are not collected."""
+    """Line count and total per document; lines stay rows, they are not collected."""
     return lines.filter(F.col("amount").isNotNull()).groupBy("doc").agg(
         F.count(F.lit(1)).alias("lines"), F.sum("amount").cast(TOTAL).alias("total"),
         F.min(F.struct("obj", "pos")).alias("first_line"))

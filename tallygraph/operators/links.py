@@ -17,6 +17,9 @@ from tallygraph.session import materialize
 from tallygraph.sources.catalog import TableObject
 
 
+CANDIDATES = "obj int, pos bigint, source_ref string, ord int, name string, target_id binary"
+
+
 def last_wins(id_rows: DataFrame) -> DataFrame:
     """One row per id, a later row replaces an earlier one.
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tallygraph import fixed as fx
 from tallygraph.operators import actors, entities, inventory, ledger, links, plan
-from tallygraph.session import small_table, union_all
+from tallygraph.session import no_rows, small_table, union_all
 from tallygraph.sources.catalog import Catalog, TableObject
 
 
@@ -43,32 +43,36 @@ class LandedBase:
 
     def _id_map(self, objects: list[TableObject]) -> DataFrame:
         rows = union_all([actors.id_rows(self.tables[o.phys], o) for o in objects
-                       if "_IDRREF" in self.tables[o.phys].columns])
+                       if "_IDRREF" in self.tables[o.phys].columns], empty=self._none(actors.ID_ROWS))
         return rows if self.unique_ids else links.last_wins(rows)
 
     @cached_property
     def _all_ids(self) -> DataFrame:
         return self._id_map(self.objects)
 
+    def _none(self, schema: str) -> DataFrame:
+        return no_rows(self.spark, schema)
+
     # ------------------------------------------------------------ graph
     def forms(self) -> DataFrame:
         return actors.forms(self.spark, self.objects)
 
     def actors(self) -> DataFrame:
-        return union_all([actors.actors(self.tables[o.phys], o) for o in self.objects])
+        return union_all([actors.actors(self.tables[o.phys], o) for o in self.objects], empty=self._none(actors.ACTORS))
 
     def fills(self) -> DataFrame:
-        return union_all([actors.fills(self.tables[o.phys], o) for o in self.objects])
+        return union_all([actors.fills(self.tables[o.phys], o) for o in self.objects],
+                         empty=self._none(actors.SHELLS).drop("title"))
 
     def links(self) -> DataFrame:
         found = [links.link_candidates(self.tables[o.phys], o) for o in self.objects
                  if links.has_references(self.tables[o.phys], o)]
-        return links.resolve_links(union_all(found), self.ids())
+        return links.resolve_links(union_all(found, empty=self._none(links.CANDIDATES)), self.ids())
 
     def people(self) -> DataFrame:
-        """Roll of the first employees catalog."""
+        """Roll of the first employees catalog; empty without one."""
         staff = [o for o in self.objects if any(k in o.title.lower() for k in fx.PEOPLE_KEYWORDS)]
-        return actors.people(self.tables[staff[0].phys], staff[0])
+        return actors.people(self.tables[staff[0].phys], staff[0]) if staff else self._none(actors.PEOPLE)
 
     # ------------------------------------------------------------ ledger
     def currencies(self) -> DataFrame | None:
@@ -88,13 +92,13 @@ class LandedBase:
         return [r for r in self.catalog.registers if r.dims and r.resources and r.phys in self.tables]
 
     def counters(self) -> DataFrame:
-        return ledger.counter_actors([(r, ledger.primary_form(self.tables[r.phys], r, self.ids()))
-                                      for r in self._active_registers()])
+        return ledger.counter_actors(self.spark, [(r, ledger.primary_form(self.tables[r.phys], r, self.ids()))
+                                                  for r in self._active_registers()])
 
     def register_postings(self) -> DataFrame:
         money = self.currencies()
         return union_all([ledger.register_postings(self.tables[r.phys], r, self.ids(), money)
-                       for r in self._active_registers()])
+                       for r in self._active_registers()], empty=self._none(ledger.POSTINGS))
 
     def document_lines(self, targets: bool = True) -> DataFrame:
         catalogs = self.ids([o for o in self.objects if o.kind == "ref"]) if targets else None
@@ -102,7 +106,7 @@ class LandedBase:
         for v in self.lines:
             owner = [o for o in self.objects if f"{o.phys}_IDRREF".upper() == v.parent_col]
             parts.append(ledger.document_lines(self.tables[v.phys], v, self.ids(owner), catalogs))
-        return union_all(parts)
+        return union_all(parts, empty=self._none(ledger.LINES))
 
     def line_postings(self) -> DataFrame:
         return ledger.line_postings(self.document_lines())
@@ -128,7 +132,8 @@ class LandedBase:
             self.spark, [(10_000, fx.COUNTER_FORM, fx.COUNTER_FORM_TITLE, fx.COUNTER_COLOR, [])],
             f"obj int, ref string, title string, color string, fields {actors.FIELDS_TYPE}")
         parts = [form_part, plan.form_ops(counter_form.withColumn("cls", F.lit(None).cast("string"))),
-                 plan.row_ops(union_all([actors.shells_and_fills(self.tables[o.phys], o) for o in self.objects])),
+                 plan.row_ops(union_all([actors.shells_and_fills(self.tables[o.phys], o) for o in self.objects],
+                                        empty=self._none(actors.SHELLS))),
                  plan.actor_ops(self.counters().withColumn("pos", F.lit(0))
                                 .withColumn("obj", F.col("obj") + 10_000)),
                  plan.transfer_ops(self.register_postings()), plan.link_ops(self.links())]
@@ -146,4 +151,4 @@ class LandedBase:
         return inventory.base_entities(self.spark, self.tables, self.catalog)
 
     def entities(self, caps: dict[str, int] | None = None, file_name: str | None = None) -> DataFrame:
-        return entities.entities(self.tables, self.objects, caps, file_name)
+        return entities.entities(self.spark, self.tables, self.objects, caps, file_name)

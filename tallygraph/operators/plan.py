@@ -10,9 +10,9 @@ from tallygraph.functions.numbers import lookup
 from tallygraph.operators import ledger
 from tallygraph.operators.actors import is_filled
 from tallygraph.operators.positions import first_per_group
-from tallygraph.session import small_table, union_all
+from tallygraph.session import no_rows, small_table, union_all
 
-LEG_TYPE = "array<struct<actor_ref:string,account_name:string,amount:decimal(18,2)>>"
+LEG_TYPE = f"array<struct<actor_ref:string,account_name:string,amount:{ledger.AMOUNT}>>"
 OPS_SCHEMA = ("op string, obj bigint, pos bigint, ord int, ref string, form_ref string, title string, "
               "cls string, color string, fields array<struct<id:string,title:string>>, "
               "std map<string,string>, data map<string,string>, position string, salary double, "
@@ -23,7 +23,7 @@ OPS_SCHEMA = ("op string, obj bigint, pos bigint, ord int, ref string, form_ref
 
 def _leg(actor: str) -> Column:
     return F.array(F.struct(F.col(actor).alias("actor_ref"), F.col("account_name"),
-                            F.col("amount").cast("decimal(18,2)").alias("amount")))
+                            F.col("amount").cast(ledger.AMOUNT).alias("amount")))
 
 
 def form_ops(forms: DataFrame) -> DataFrame:
@@ -38,12 +38,6 @@ def actor_ops(actors: DataFrame) -> DataFrame:
                          F.col("pos").cast("bigint").alias("pos"), F.lit(0).alias("ord"), *cols)
 
 
-def fill_ops(fills: DataFrame) -> DataFrame:
-    cols = [c for c in ("ref", "form_ref", "data", "cls", "std", "position", "salary") if c in fills.columns]
-    return fills.select(F.lit("fill_actor").alias("op"), F.col("obj").cast("bigint").alias("obj"),
-                        F.col("pos").cast("bigint").alias("pos"), F.lit(0).alias("ord"), *cols)
-
-
 def row_ops(rows: DataFrame) -> DataFrame:
     """Shell and fill of every row in one pass over its table."""
     shell = F.col("op") == "create_actor"
@@ -62,7 +56,7 @@ def line_ops(lines: DataFrame) -> DataFrame:
     """
     empty = F.lit(None).cast("string")
     legs = ledger.line_legs(lines)
-    link = F.struct(F.lit(2).alias("ord"), F.lit(None).cast("decimal(18,2)").alias("amount"), empty.alias("currency"),
+    link = F.struct(F.lit(2).alias("ord"), F.lit(None).cast(ledger.AMOUNT).alias("amount"), empty.alias("currency"),
                     empty.alias("account_name"), F.col("target").alias("credit_ref"))
     made = lines.select("obj", "pos", "doc", "lineno", "target_name", F.explode(F.concat(legs, F.array(link))).alias("l")) \
         .select("obj", "pos", "doc", "lineno", "target_name", "l.*").filter(F.col("credit_ref").isNotNull())
@@ -100,9 +94,8 @@ def op_stream(parts: list[DataFrame]) -> DataFrame:
 
 
 def no_ops(spark: SparkSession) -> DataFrame:
-    """The columns of the op stream, without rows; the optimizer drops it from a union."""
-    cells = F.from_json(F.lit("{}"), OPS_SCHEMA)
-    return spark.range(1).filter(F.lit(False)).select(cells.alias("o")).select("o.*")
+    """The columns of the op stream, without rows."""
+    return no_rows(spark, OPS_SCHEMA)
 
 
 def with_priority(ops: DataFrame) -> DataFrame:
@@ -114,10 +107,6 @@ def in_dependency_order(ops: DataFrame) -> DataFrame:
     return ops.orderBy("prio", "obj", "pos", "ord", F.coalesce("ref", "source_ref"))
 
 
-def structure_only(ops: DataFrame) -> DataFrame:
-    return ops.filter(F.col("op") == "create_form")
-
-
 def in_scope(rows: DataFrame, scope: str | list[str] | None) -> DataFrame:
     """Rows of the chosen classes; the scope is a list or a comma-separated text."""
     if isinstance(scope, str):

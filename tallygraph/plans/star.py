@@ -63,6 +63,11 @@ def _money(col: str) -> str:
     return f"cast({col} as decimal(18,2))"
 
 
+def _quantity() -> str:
+    """Parts of a unit, and one line in seven far below a hundredth."""
+    return "cast(case when l_linenumber = 7 then 0.004 else l_quantity + 0.125 end as decimal(18,4))"
+
+
 def _landings() -> dict[str, tuple[str, list[str]]]:
     zero = "unhex(repeat('00', 16))"
     line_no = "l_orderkey * 8 + l_linenumber as row_index"
@@ -105,7 +110,7 @@ def _landings() -> dict[str, tuple[str, list[str]]]:
             f"{_id('order', 'l_orderkey')} as _DOCUMENT1_IDRREF",
             "unhex(md5(concat('line-', l_orderkey, '-', l_linenumber))) as _KEYFIELD",
             "l_linenumber as _LINENO", f"{_id('part', 'l_partkey')} as _FLD91RREF",
-            f"{_id('supplier', 'l_suppkey')} as _FLD92RREF", f"{_money('l_quantity')} as _FLD93",
+            f"{_id('supplier', 'l_suppkey')} as _FLD92RREF", f"{_quantity()} as _FLD93",
             f"{_money('l_extendedprice')} as _FLD94", line_no]),
         ("_INFORG1", "events", [
             "ts as _PERIOD", "event_type as _FLD111", f"{_money('value')} as _FLD112",
@@ -114,7 +119,7 @@ def _landings() -> dict[str, tuple[str, list[str]]]:
             "case when l_returnflag = 'R' then 1 else 0 end as _RECORDKIND",
             f"{_id('supplier', 'l_suppkey')} as _FLD101RREF",
             f"case when l_returnflag = 'N' then {zero} else {_id('currency', 'l_linestatus')} end as _FLD102RREF",
-            f"{_money('l_extendedprice')} as _FLD103", f"{_money('l_quantity')} as _FLD104", line_no]),
+            f"{_money('l_extendedprice')} as _FLD103", f"{_quantity()} as _FLD104", line_no]),
         ("_REFERENCE6", "orders", [
             f"{_id('currency', 'o_orderstatus')} as _IDRREF", "o_orderstatus as _CODE",
             "case when o_orderstatus = 'O' then 'Гривня' else 'Dollar' end as _DESCRIPTION",

@@ -57,8 +57,19 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def union_all(parts: list[DataFrame], allow_missing: bool = False) -> DataFrame:
-    """Union by name, pairwise, so that a long list is analysed in few levels."""
+def no_rows(spark: SparkSession, schema: str) -> DataFrame:
+    """The columns of a schema, without rows; the optimizer drops it from a union."""
+    cells = F.from_json(F.lit("{}"), schema)
+    return spark.range(1).filter(F.lit(False)).select(cells.alias("o")).select("o.*")
+
+
+def union_all(parts: list[DataFrame], allow_missing: bool = False, empty: DataFrame | None = None) -> DataFrame:
+    """Union by name, pairwise, so that a long list is analysed in few levels.
+
+    ``empty`` is the result for no parts, as a scope or a base may lack a kind of table.
+    """
+    if not parts and empty is not None:
+        return empty
     while len(parts) > 1:
         parts = [parts[i].unionByName(parts[i + 1], allow_missing) if i + 1 < len(parts) else parts[i]
                  for i in range(0, len(parts), 2)]

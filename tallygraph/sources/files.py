@@ -131,13 +131,13 @@ def json_profile(files: DataFrame, max_chars: int = fx.FILE_MAX_CHARS,
 
 
 def xml_profile(files: DataFrame, max_chars: int = fx.FILE_MAX_CHARS) -> DataFrame:
-    """Root tag, node count (up to 50001) and count per tag for the first 30 tags seen.
+    """Root tag, node count and count per tag for the first 30 tags seen.
 
     Tags are counted from exploded rows; a file adds one partial count per tag
     and task, and at most 30 tags are put together again.
     """
     body = F.regexp_replace("text", r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<[?!][^>]*>", "")
-    names = F.slice(text.extract_all(body, r"<(?:[A-Za-z_][^\s<>/:]*:)?([\p{L}_][^\s<>/:]*)"), 1, fx.XML_NODES + 1)
+    names = text.extract_all(body, r"<(?:[A-Za-z_][^\s<>/:]*:)?([\p{L}_][^\s<>/:]*)")
     tags = files.select("file_id", F.posexplode(names).alias("pos", "tag"))
     per_tag = tags.groupBy("file_id", "tag").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"))
     listed = F.array_sort(F.collect_list(F.struct("first", "tag", "n")))

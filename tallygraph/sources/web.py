@@ -286,22 +286,23 @@ def sitemap_urls(sitemaps: DataFrame, base_langs: DataFrame | None = None) -> Da
     return links.select("site", "link").distinct()
 
 
-def sitemap_sizes(candidates: DataFrame, bodies: DataFrame) -> DataFrame:
+def sitemap_sizes(candidates: DataFrame, bodies: DataFrame, tries: int | None = None,
+                  children: int | None = None) -> DataFrame:
     """(site, sitemap_url, urls): page count of the first sitemap with locations.
 
-    ``candidates`` has site, ord, url; at most three are tried.  An index file
-    counts the locations of its first three children, or its own when they
-    have none.
+    ``candidates`` has site, ord, url.  An index file counts the locations of its
+    children, or its own when they have none.  ``tries`` and ``children`` cut the
+    candidates and children that are looked at; all are by default.
     """
-    tried = candidates.filter(F.col("ord") < fx.SITEMAP_CANDIDATES)
+    tried = candidates if tries is None else candidates.filter(F.col("ord") < tries)
     locs = text.extract_all(F.col("body"), fx.SITEMAP_LOC)
     read = bodies.select("url", locs.alias("locs"), F.lower("body").contains("<sitemapindex").alias("is_index"))
     found = tried.join(read, "url").filter(F.size("locs") > 0)
     first = found.groupBy("site").agg(F.min_by(F.struct("url", "locs", "is_index"), "ord").alias("f")) \
         .select("site", F.col("f.url").alias("sitemap_url"), "f.locs", "f.is_index")
-    children = first.filter("is_index").select(
-        "site", F.explode(F.slice("locs", 1, fx.SITEMAP_CHILDREN)).alias("url"))
-    inside = children.join(read.select("url", F.size("locs").alias("n")), "url") \
+    listed = first.filter("is_index").select(
+        "site", F.explode(F.slice("locs", 1, children) if children else F.col("locs")).alias("url"))
+    inside = listed.join(read.select("url", F.size("locs").alias("n")), "url") \
         .groupBy("site").agg(F.sum("n").alias("inside"))
     return first.join(inside, "site", "left").select(
         "site", "sitemap_url",

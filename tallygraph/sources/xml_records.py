@@ -15,11 +15,41 @@ from tallygraph.operators.positions import dense_index, running_total
 from tallygraph.session import materialize
 
 _NOISE = r"(?s)<!--.*?-->|<\?.*?\?>|<!DOCTYPE[^>]*>"
-_TOKEN = r"<[^>]+>[^<]*"
+_TAG = r"""<(?:[^>"']++|"[^"]*+"|'[^']*+')++>"""      # a quoted value may hold a closing bracket
+_TEXT = r"(?:[^<]++|<!\[CDATA\[(?s:.*?)\]\]>)*+"
+_CHAR_REF = r"&#(x[0-9A-Fa-f]{1,6}|[0-9]{1,7});"
+
+
+def _named(raw: Column) -> Column:
+    """Named entities, the ampersand last, so that nothing is decoded twice."""
+    for name, char in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")]:
+        raw = F.replace(raw, F.lit(name), F.lit(char))
+    return raw
+
+
+def _referred(ref: Column) -> Column:
+    """The character of a numeric reference; a number that is no character stays as written."""
+    code = F.when(ref.startswith("x"), F.conv(F.substr(ref, F.lit(2)), 16, 10)).otherwise(ref).cast("int")
+    real = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return F.when(real, char).otherwise(F.concat(F.lit("&#"), ref, F.lit(";")))
+
+
+def _decoded(raw: Column) -> Column:
+    between = F.transform(F.split(raw, _CHAR_REF), _named)
+    chars = F.transform(text.extract_all(raw, _CHAR_REF, 1), _referred)
+    joined = F.array_join(F.zip_with(between, chars, lambda t, c: F.concat(t, F.coalesce(c, F.lit("")))), "")
+    return F.when(raw.contains("&#"), joined).otherwise(_named(raw))
 
 
 def _plain_text(raw: Column) -> Column:
-    return text.unescape(raw)
+    """Text with references decoded; what stands in a CDATA section stays as it is."""
+    def piece(part: Column, i: Column) -> Column:
+        rest = _decoded(F.regexp_replace(part, r"(?s)^.*?\]\]>", ""))
+        return F.when(i == 0, _decoded(part)).otherwise(F.concat(F.substring_index(part, "]]>", 1), rest))
+
+    sections = F.array_join(F.transform(F.split(raw, r"<!\[CDATA\["), piece), "")
+    return F.when(raw.contains("<![CDATA["), sections).otherwise(_decoded(raw))
 
 
 def xml_tags(files: DataFrame) -> DataFrame:
@@ -28,11 +58,11 @@ def xml_tags(files: DataFrame) -> DataFrame:
     token = F.col("token")
     name = F.regexp_replace(F.regexp_extract(token, r"^</?([^\s/>]+)", 1), "^.*[}:]", "")
     is_close = token.startswith("</")
-    is_empty = token.rlike(r"^<[^>]*/>")
-    return (files.select("file_id", F.posexplode(text.extract_all(body, _TOKEN, 0)).alias("pos", "token"))
+    is_empty = F.regexp_extract(token, f"^({_TAG})", 1).endswith("/>")
+    return (files.select("file_id", F.posexplode(text.extract_all(body, _TAG + _TEXT, 0)).alias("pos", "token"))
             .select("file_id", F.col("pos").cast("bigint").alias("pos"), name.alias("tag"),
                     (~is_close).alias("opens"), (is_close | is_empty).alias("closes"),
-                    _plain_text(F.regexp_extract(token, r"^<[^>]+>([^<]*)", 1)).alias("text")))
+                    _plain_text(F.regexp_extract(token, f"(?s)^{_TAG}(.*)", 1)).alias("text")))
 
 
 def xml_leaves(files: DataFrame) -> DataFrame:

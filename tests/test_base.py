@@ -102,33 +102,33 @@ def _id(*parts):
 
 
 def test_register_postings(base):
-    got = {(r.ref, r.debit_ref, r.credit_ref, str(r.amount), r.currency) for r in base.register_postings().collect()}
+    got = {(r.ref, r.debit_ref, r.credit_ref, r.amount, r.currency) for r in base.register_postings().collect()}
     second = "c1-" + "02" * 16
     assert got == {
-        (_id("reg9", "c1-001", "Сумма", "0", "5.00"), "ctr9", "c1-001", "5.00", "Гривня"),
-        (_id("reg9", "c1-001", "Количество", "0", "2.00"), "ctr9", "c1-001", "2.00", "Единицы"),
-        (_id("reg9", "c1-001", "Сумма", "1", "3.00"), "c1-001", "ctr9", "3.00", "Деньги"),
-        (_id("reg9", second, "Сумма", "2", "4.00"), "ctr9", second, "4.00", "c2-X"),
-        (_id("reg9", "c1-001", "Сумма", "3", "1.00"), "c1-001", "ctr9", "1.00", "Деньги"),
-        (_id("reg9", "c1-001", "Количество", "3", "1.00"), "c1-001", "ctr9", "1.00", "Единицы")}
+        (_id("reg9", "c1-001", "Сумма", "0", "5.0"), "ctr9", "c1-001", 5, "Гривня"),
+        (_id("reg9", "c1-001", "Количество", "0", "2.0"), "ctr9", "c1-001", 2, "Единицы"),
+        (_id("reg9", "c1-001", "Сумма", "1", "3.0"), "c1-001", "ctr9", 3, "Деньги"),
+        (_id("reg9", second, "Сумма", "2", "4.0"), "ctr9", second, 4, "c2-X"),
+        (_id("reg9", "c1-001", "Сумма", "3", "1.0"), "c1-001", "ctr9", 1, "Деньги"),
+        (_id("reg9", "c1-001", "Количество", "3", "1.0"), "c1-001", "ctr9", 1, "Единицы")}
 
 
 def test_account_totals_sign_only_kind_one(base):
-    got = {(r.ref, r.account_name): str(r.amount) for r in base.account_totals().collect()}
-    assert got == {("c1-001", "Сумма"): "3.00", ("c1-001", "Количество"): "3.00", ("c1-" + "02" * 16, "Сумма"): "-4.00"}
-    assert str(ledger.money_total(base.account_totals()).first()[0]) == "7.00"
+    got = {(r.ref, r.account_name): r.amount for r in base.account_totals().collect()}
+    assert got == {("c1-001", "Сумма"): 3, ("c1-001", "Количество"): 3, ("c1-" + "02" * 16, "Сумма"): -4}
+    assert ledger.money_total(base.account_totals()).first()[0] == 7
 
 
 def test_line_postings(base):
     lines = {r.lineno: r for r in base.document_lines().collect()}
     assert lines["1"].target == "c1-001" and lines["1"].target_name == "Номенклатура"
-    assert lines["2"].target is None and str(lines["2"].amount) == "-3.00"
-    got = sorted((r.credit_ref, r.account_name, str(r.amount)) for r in base.line_postings().collect())
-    assert got == [("c1-001", "Залишок", "2.00"), ("d5-7", "Сума", "10.50"), ("d5-7", "Сума", "3.00")]
+    assert lines["2"].target is None and lines["2"].amount == -3
+    got = sorted((r.credit_ref, r.account_name, r.amount) for r in base.line_postings().collect())
+    assert got == [("c1-001", "Залишок", 2), ("d5-7", "Сума", 3), ("d5-7", "Сума", Decimal("10.5"))]
 
 
 def test_balances_and_counts(base):
-    assert ledger.violations(base.transfers()).count() == 0
+    assert ledger.violations(base.op_stream()).count() == 0
     assert base.transfers().count() == 9
     assert {r.cls: r.n for r in base.class_counts().collect()} == {
         "nomenclature": 3, "currencies": 2, "documents": 2, "doclines": 4, "counters": 2}
@@ -180,3 +180,35 @@ def test_hot_reference_key_gives_every_link(spark):
     ids = rows.filter("id % 3 = 0 and id = 0 or id % 3 > 0".replace("id", "pos")).select(
         F.col("target_id").alias("id"), F.concat(F.lit("t"), "pos").alias("ref"))
     assert links.resolve_links(rows, ids).count() == 3000
+
+
+@pytest.mark.parametrize("scope", [["nomenclature"], ["documents"], ["employees"], ["no such class"]])
+def test_a_scope_may_lack_every_kind_of_table(base, scope):
+    scoped = LandedBase(base.spark, base.tables, base.catalog, scope)
+    counts = {r.op: r.n for r in plan.op_totals(scoped.op_stream()).collect()}
+    assert counts.get("create_form", 0) >= 1 and scoped.people().count() == 0
+    for rows in (scoped.actors(), scoped.fills(), scoped.links(), scoped.transfers(), scoped.document_lines(), scoped.account_totals(),
+                 scoped.entities()):
+        assert rows.count() >= 0
+    assert (scoped.actors().count() == 0) == (scope[0] in ("employees", "no such class"))
+
+
+def test_a_base_without_registers_and_lines(base):
+    bare = LandedBase(base.spark, base.tables, catalog.Catalog(base.catalog.objects, [], []))
+    assert bare.transfers().count() == bare.account_totals().count() == bare.counters().count() == 0
+    assert bare.op_stream().filter("op = 'transfer'").count() == 0 and bare.actors().count() == base.actors().count()
+
+
+def test_small_amounts_post_as_stored(spark, base):
+    (reg,) = base.catalog.registers
+    moves = spark.createDataFrame([(0, uid(1), None, Decimal("0.125"), Decimal("0.004"), 0)],
+                                  "_RECORDKIND int, _FLD12RREF binary, _FLD17RREF binary, _FLD15 decimal(18,4), _FLD16 decimal(18,4), row_index bigint")
+    got = {(r.ref, r.amount) for r in ledger.register_postings(moves, reg, base.ids(), None).collect()}
+    assert got == {(_id("reg9", "c1-001", "Сумма", "0", "0.125"), Decimal("0.125")),
+                   (_id("reg9", "c1-001", "Количество", "0", "0.004"), Decimal("0.004"))}
+
+
+def test_broken_legs_are_found(base):
+    ops = plan.transfer_ops(base.transfers()).withColumn("to_legs", F.when(F.col("account_name") != "Сума", F.col("to_legs")))
+    got = sorted(r.difference for r in ledger.violations(ops).collect())
+    assert got == [Decimal("-10.5"), -3]

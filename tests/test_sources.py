@@ -175,3 +175,24 @@ def test_apply_batches_adds_nothing_twice(spark, tmp_path, rounds):
         ops = ingest.read_op_files(spark, src, "ref string, id bigint")
         ingest.apply_batches(ops, sink, str(tmp_path / f"state{i}")).awaitTermination()
     assert spark.read.parquet(sink).count() == 4
+
+
+def test_xml_text_is_decoded_once(spark):
+    from tallygraph.sources import xml_records
+    body = ("<M><Body><R><A v=\"a>b\" w='/>'>one &amp;lt; &#1040;&#x1F600; &apos;q&apos; &#38;gt; &#55296;</A>"
+            "<B><![CDATA[x & <y> &amp;]]> tail &gt;</B><!-- <C>no</C> --><E v='1'/></R><R><A><![CDATA[]]></A></R></Body></M>")
+    files = spark.createDataFrame([(1, body)], "file_id bigint, text string")
+    got = [(r.record_no, r.leaf, r.text) for r in xml_records.xml_leaves(files).orderBy("leaf_no").collect()]
+    assert got == [(0, "R", ""), (0, "A", "one &lt; \u0410\U0001F600 'q' &gt; &#55296;"), (0, "B", "x & <y> &amp; tail >"),
+                   (0, "E", ""), (1, "R", ""), (1, "A", "")]
+
+
+def test_sitemap_index_counts_every_child(spark):
+    from tallygraph.sources import web
+    loc = "<loc>u</loc>" * 10
+    index = "<sitemapindex>" + "".join(f"<loc>s/{i}.xml</loc>" for i in range(5)) + "</sitemapindex>"
+    bodies = spark.createDataFrame([("s/i.xml", index)] + [(f"s/{i}.xml", loc) for i in range(5)], "url string, body string")
+    tried = spark.createDataFrame([("s", 0, "s/0x.xml"), ("s", 4, "s/i.xml")], "site string, ord int, url string")
+    assert web.sitemap_sizes(tried, bodies).first().urls == 50
+    assert web.sitemap_sizes(tried, bodies, children=3).first().urls == 30
+    assert web.sitemap_sizes(tried, bodies, tries=3).count() == 0
