@@ -9,8 +9,9 @@ size of the corpus, gets the same verdict each time.
 
 Counts cover all documents.  The only thing that leaves the executors is the table of
 ratios, one number per bucket.  Labels join by id before grams are made, so each text
-moves once; adaptive skew handling splits a hot id.  Grams are added up in each task
-before they are shuffled.
+moves once: by a shuffled hash join at every size, so that what a small run shows holds
+for a large one and texts are never sorted; a task's hash table holds ids and flags only.
+Grams are added up in each task before they are shuffled.
 
 A null text has no words: it fails the base rule.  A text without pairs is scored by its
 words.  Repeated rows count as often as they occur, a repeated label is trusted if any of
@@ -83,7 +84,7 @@ def ratios(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
            buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> list[int]:
     """Log ratio of trusted to raw, in millionths, by bucket."""
     trusted = (labels.select(labels[key].alias("key"), labels[label].alias("label")).filter("key is not null")
-               .groupBy("key").agg((F.max("label") == 1).cast("int").alias("trusted")))
+               .groupBy("key").agg((F.max("label") == 1).cast("int").alias("trusted")).hint("shuffle_hash"))
     rows = docs.select(docs[key].alias("key"), docs[text].alias("text")).join(trusted, "key", "left")
     rows = with_words(rows, "text", "w").select(grams(F.col("w"), buckets).alias("g"), F.coalesce("trusted", F.lit(0)).alias("t"))
     counts = (rows.select(F.explode("g").alias("g"), "t").groupBy("g")
