@@ -10,10 +10,11 @@ text's own marker characters are written as bytes.
 For a model trained by merges this is the highest sum of scores, which may differ from
 replaying the merges; both decode to the same text.
 
-No ordinary piece has a marker inside, only in front or as a run of them with a score no
-segmentation would choose, and two characters that stand side by side in no piece are
-always cut apart.  So the best path of a text is the best paths of its stretches between
-such places, and each distinct stretch is encoded once per worker, in a bounded cache.
+Every ordinary piece takes part, runs of markers too.  Two characters that stand side by
+side in no piece are always cut apart, so the best path of a text is the best paths of its
+stretches between such places, and each distinct stretch is encoded once per worker, in a
+bounded cache.  If no piece has a marker after another character, as in the models at hand,
+a text is first cut into its runs of spaces, each with the word that follows.
 
 A null text has null ids; an empty text has none.  Very long texts, ties (the longest last
 piece wins) and repeated rows need no special care, a table without rows gives no rows, and
@@ -22,6 +23,7 @@ other columns are not read.
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -36,6 +38,8 @@ CACHED = 500_000        # stretches, about 110 MB; the cache starts anew beyond
 SHORT = 6               # characters; longer words made of several stretches are put together again
 LONG = 64               # characters; longer stretches are not kept
 
+_RUN = re.compile(" +[^ ]*")
+
 CODED = "doc_id bigint, n_tokens bigint, n_bytes bigint, ids_crc32 bigint, decoded_crc32 bigint, round_trip boolean"
 
 
@@ -49,15 +53,16 @@ class PieceCoder(dict):
 
         self.cached, self.byte_ids = cached, byte_ids
         self.inner: dict[str, bytes] = {}
-        self.bigrams = {p[k:k + 2] for p, _, _ in pieces if MARK not in p[1:] for k in range(len(p) - 1)}
+        spaced = [(p.replace(MARK, " "), score, i) for p, score, i in pieces]    # a text's own marker is in none
+        self.bigrams = {p[k:k + 2] for p, _, _ in spaced for k in range(len(p) - 1)}
+        self.across = any(b[1] == " " != b[0] for b in self.bigrams)
         self.automaton = ahocorasick.Automaton()
         self.bytes_of = {i: bytes([b]) for b, i in enumerate(byte_ids)}
-        for piece, score, i in pieces:
-            self.bytes_of[i] = piece.replace(MARK, " ").encode()
-            if MARK not in piece[1:]:
-                self.automaton.add_word(piece, (len(piece), score, i, piece[0] == MARK))
+        for piece, score, i in spaced:
+            self.bytes_of[i] = piece.encode()
+            self.automaton.add_word(piece, (len(piece), score, i))
         self.automaton.make_automaton()
-        self.unknown = min(score for piece, score, _ in pieces if MARK not in piece[1:]) - PENALTY
+        self.unknown = min(score for _, score, _ in spaced) - PENALTY
 
     @classmethod
     def from_model(cls, path: str) -> "PieceCoder":
@@ -69,19 +74,17 @@ class PieceCoder(dict):
                  if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
         return cls(plain, [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)])
 
-    def _segment(self, stretch: str, marked: bool = True) -> list[int]:
-        """Best ids of a stretch; only its first character can be a space marker."""
+    def _segment(self, stretch: str) -> list[int]:
+        """Best ids of a stretch, in which spaces stand for markers."""
         n = len(stretch)
         best, last, piece = [0.0] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
         done, unknown = 0, self.unknown
-        for end, (length, score, i, front) in self.automaton.iter(stretch):
+        for end, (length, score, i) in self.automaton.iter(stretch):
             end += 1
             while done < end:       # first as an unknown character after the position before
                 done += 1
                 best[done], last[done] = best[done - 1] + unknown, done - 1
             begin = end - length
-            if front and (begin or not marked):
-                continue            # a marker of the text's own
             total = best[begin] + score
             if total > best[end] or (total == best[end] and begin < last[end]):
                 best[end], last[end], piece[end] = total, begin, i
@@ -101,21 +104,21 @@ class PieceCoder(dict):
         bigrams, end = self.bigrams, word[-1:]
         if len(word) > SHORT and end in self.inner and word[-2:] not in bigrams:
             return self[word[:-1]] + self.inner[end]
-        stretch = MARK + word
+        stretch = " " + word
         cuts = [k for k in range(1, len(stretch)) if stretch[k - 1:k + 1] not in bigrams]
         if not cuts:
             return self._keep(self, word, stretch)
         out, inner = [self[stretch[1:cuts[0]]] if cuts[0] < len(stretch) else b""], self.inner
         for a, b in zip(cuts, [*cuts[1:], len(stretch)]):
             part = stretch[a:b]
-            out.append(inner[part] if part in inner else self._keep(inner, part, part, False))
+            out.append(inner[part] if part in inner else self._keep(inner, part, part))
         ids = b"".join(out)
         if len(word) <= SHORT:
             self[word] = ids
         return ids
 
-    def _keep(self, cache: dict[str, bytes], name: str, stretch: str, marked: bool = True) -> bytes:
-        ids = array("I", self._segment(stretch, marked)).tobytes()
+    def _keep(self, cache: dict[str, bytes], name: str, stretch: str) -> bytes:
+        ids = array("I", self._segment(stretch)).tobytes()
         if len(name) <= LONG:
             if len(cache) >= self.cached:
                 cache.clear()
@@ -123,7 +126,11 @@ class PieceCoder(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.split(" "))) if text else b""
+        if not text or self.across:
+            return self[text] if text else b""
+        if text[0] != " " and "  " not in text:
+            return b"".join(map(self.__getitem__, text.split(" ")))
+        return b"".join([self[x[1:]] for x in _RUN.findall(" " + text)])
 
     def decode(self, ids: bytes) -> str:
         raw = b"".join(map(self.bytes_of.__getitem__, array("I", ids)))

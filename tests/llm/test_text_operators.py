@@ -224,6 +224,32 @@ def test_sentencepiece(spark, odd, empty, small):
     assert piece_viterbi.round_trips(empty, path).count() == 0
 
 
+def test_every_piece_takes_part():
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    import sentencepiece
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    whole = {model.id_to_piece(i): (model.get_score(i), i) for i in range(model.get_piece_size())
+             if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))}
+    crossing = {"a": (-1.0, 0), "b": (-1.0, 1), MARK: (-1.0, 2), f"a{MARK}b": (-1.5, 3), MARK * 2: (-1.2, 4), f"{MARK}a": (-1.6, 5)}
+    model_coder = PieceCoder.from_model(path)
+    made = PieceCoder([(p, x, i) for p, (x, i) in crossing.items()], list(range(10, 266)))
+    texts = ["a  ", "    return x", "        if a:\n            b  = 1  # c ", " ", "   ", " " * 40 + "x" + " " * 17, "x ▁  ▁▁ y",
+             "a b  a b", "▁ a", "a\n\n  b\t  c", "  ▁  "]
+    for coder, score in ((model_coder, whole), (made, crossing)):
+        worst, longest = min(x for x, _ in score.values()) - PENALTY, max(map(len, score))
+        by_id = {i: x for x, i in score.values()}
+        for t in texts:
+            s, best = MARK + t.replace(MARK, "\0").replace(" ", MARK), [0.0]
+            for e in range(1, len(s) + 1):
+                best.append(max([best[e - 1] + worst, *(best[e - n] + score[s[e - n:e]][0] for n in range(1, min(longest, e) + 1)
+                                                        if s[e - n:e] in score)]))
+            ids = array("I", coder.encode(t))
+            spelled = b"".join(coder.bytes_of[i] for i in ids if i not in by_id).decode()
+            assert coder.decode(coder.encode(t)) == t
+            assert abs(sum(by_id[i] for i in ids if i in by_id) + worst * len(spelled) - best[-1]) < 1e-6, t
+    assert len(model_coder.encode("    return x")) < len(model_coder.encode("a a a a return x"))
+
+
 def test_fingerprints(spark, odd, empty, small):
     from tallygraph.llm import winnowing
     for docs in (odd.filter("doc_id <> 9 and doc_id is not null"), small):
