@@ -55,8 +55,19 @@ REPORTS = ("said", "says", "say", "called", "calls", "claimed", "wrote", "quoted
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 NEGATED_WORDS = 3           # words after a negation that it reaches
 
-_TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[.!?;:\n]")
-_PLAIN = str.maketrans({c: " " for c in "\n\t\r\x0b\x0c.,;:!?|#$%&*<>()[]{}\"/\\+=~^@0123456789_-`"})
+_LETTER = r"[^\W\d_]"
+_TOKEN = re.compile(rf"{_LETTER}+(?:'{_LETTER}+)?|[.!?;:\n]")
+
+
+class _Blanks(dict):
+    """Translates every character that no word of ``_TOKEN`` holds, and the apostrophe, to a blank."""
+
+    def __missing__(self, code: int) -> int:
+        self[code] = code if re.match(_LETTER, chr(code)) else 32
+        return self[code]
+
+
+_PLAIN = _Blanks()
 
 
 class Transducer(NamedTuple):
@@ -125,9 +136,9 @@ class Lexicon:
                 self.words.setdefault(w, (kind, 1.0))
         self.finder = ahocorasick.Automaton()
         for w in insults:
-            self.finder.add_word(" " + (w[:-1] if w.endswith("*") else w + " "), 1)
+            self.finder.add_word(" " + (w[:-1] if w.endswith("*") else w + " ").translate(_PLAIN), 1)
         for w in THREATS:
-            self.finder.add_word(f" {w} ", 1)
+            self.finder.add_word(f" {w} ".translate(_PLAIN), 1)
         self.finder.make_automaton()
 
     def classify(self, word: str) -> tuple[int, float]:

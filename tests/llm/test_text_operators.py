@@ -335,6 +335,24 @@ def test_clause_grammar():
                      "kill them": [12], "fine. you": [], None: [], "": []}
 
 
+def test_offences_beside_any_mark():
+    insults = {"moron": 1.0, "idio*": 1.0, "imbécil": 1.0, "dolt's": 1.0, "o'fo*": 1.0}
+    lexicon, whole = toxicity.Lexicon(insults), toxicity.Lexicon(insults)
+
+    class Always:
+        def iter(self, text):
+            return iter([(0, 1)])
+
+    whole.finder = Always()     # no shortcut
+    marks = [*"'’‘“”«»¡¿…–—\u00a0\u200b\u3000😀£²٣_7-\0\n", "''", "x'", "'x", "a'b'"]
+    words = ["moron", "idiots", "imbécil", "kill", "dolt's", "o'fool", "oxymoron", "fine"]
+    for mark in marks:
+        for word in words:
+            for text in (f"you {mark}{word}{mark} there", f"{mark}{word}", f"{word}{mark}", f"{word}{mark}{word}"):
+                assert lexicon.features(text) == whole.features(text), text
+    assert lexicon.features("'moron'")[0] and lexicon.features("¡imbécil!")[0] and lexicon.features("“kill”")[8]
+
+
 def test_transcripts(spark, empty, monkeypatch):
     table = documents(spark, "/root/testdata/sf0.01", "conversations")
     segments, model = queries.transcripts_of(table), transcripts.fit(table)
