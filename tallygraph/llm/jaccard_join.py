@@ -7,9 +7,12 @@ links, without writing out the links of large groups.
 1. *Bands and tiles.*  Sizes fall into bands; linked sets are in the same band or in
    neighbouring ones.  Linked sets differ in at most ``d`` n-grams, ``d`` known from the
    band, so of ``d + 1 + e`` hash segments at least ``1 + e`` agree.  A tile is a band, a
-   segment and its content.  Segments of fewer than ``low`` n-grams say little; a set with
-   at most ``e`` such segments leaves them out, which still leaves an agreeing one.  Tiles
-   that hold the same sets as another are dropped.
+   segment and its content.  Segments of few n-grams say little; a set leaves out those of
+   fewer than ``low`` n-grams, or of fewer than the highest number below it that at most
+   ``e`` of its segments miss, which still leaves an agreeing one.  A set with more than
+   ``e`` empty segments leaves these out all the same; two such sets meet by their first
+   n-grams in hash order instead, of which linked sets share one.  Tiles that hold the same
+   sets as another are dropped, large ones dealt to tasks as pairs of chunks.
 2. *Bitmaps.*  Inside a tile, sets are compared by hashed bitmaps: n-grams of A whose bit
    is off in B are not in B, so counts of bits bound the overlap from above.  Pairs that
    may link form families.
@@ -48,6 +51,7 @@ SLICE_CHARS = 2_000_000
 RANGE_BYTES = 16 << 20      # text whose tiles meet in one task
 GROUP_BYTES = 8 << 20       # signatures or hashes compared in one task
 CHUNK = 500_000             # hashes of one chunk of a family
+TILE = 2_000                # sets of one chunk of a tile
 
 
 class Rule(NamedTuple):
@@ -150,13 +154,23 @@ def tile_keys(flat: np.ndarray, bounds: np.ndarray, rule: Rule) -> tuple[np.ndar
         begin = np.flatnonzero(np.diff(segment[order], prepend=-1))
         total[segment[order][begin]] = np.add.reduceat(mix(own)[order], begin)
         owner = np.repeat(np.arange(len(which)), segments)
-        little = content < rule.low
-        few = np.bincount(owner, weights=little, minlength=len(which)) <= spare
-        keep = ~(little & few[owner])
+        least = np.zeros(len(which), np.int64)      # a segment's n-grams; 0 if too many are empty
+        for size in range(1, rule.low + 1):
+            least[np.bincount(owner, weights=content < size, minlength=len(which)) <= spare] = size
+        keep = content >= np.maximum(least, 1)[owner]
         number = np.arange(first[-1]) - first[owner]
         name = mix((band[which][owner].astype(np.uint64) << np.uint64(40)) + number.astype(np.uint64))
         keys.append(mix(total ^ name)[keep])
         owners.append(which[owner[keep]])
+        poor = np.flatnonzero(least == 0)
+        if len(poor):
+            many = sizes[which[poor]]
+            heads = many + 1 + -many * rule.num // rule.den     # two linked sets share one of these
+            at = np.repeat(np.arange(len(poor)), heads)
+            place = np.arange(len(at)) - np.repeat(np.cumsum(heads) - heads, heads)
+            name = mix((band[which[poor]].astype(np.uint64) << np.uint64(40)) + np.uint64((1 << 40) - 1))
+            keys.append(mix(flat[bounds[:-1][which[poor]][at] + place] ^ name[at]))
+            owners.append(which[poor][at])
     if not keys:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     return np.concatenate(owners), np.concatenate(keys)
@@ -299,8 +313,9 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), key: str = "doc_id", t
 
     packed = named.mapInArrow(lambda batches: _tiles(batches, rule, ranges), "rng bigint, ids binary, keys binary")
     shared = materialize(packed.groupBy("rng").applyInArrow(_shared_tiles, "tile bigint, doc_id bigint"))
-    members = (shared.join(known.select("doc_id", "first"), "doc_id").select("tile", F.col("first").alias("doc_id")).distinct())
-    compared = materialize(members.join(known.filter("bitmap is not null and doc_id = first").select("doc_id", "n", "bitmap"), "doc_id"))
+    members = materialize(shared.join(known.select("doc_id", "first"), "doc_id")
+                          .select("tile", F.col("first").alias("doc_id")).distinct())
+    compared = materialize(_spread(members).join(known.filter("bitmap is not null and doc_id = first").select("doc_id", "n", "bitmap"), "doc_id"))
     groups = parts_for(compared.agg(F.sum(F.octet_length("bitmap") + 64)).first()[0], GROUP_BYTES)
 
     def may_link(rows: pa.Table) -> pa.Table:
@@ -337,6 +352,16 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), key: str = "doc_id", t
             .select("doc_id", "n_shingles", F.coalesce("component", "first").alias("component_id")))
 
 
+def _spread(members: DataFrame) -> DataFrame:
+    """Members of tiles; those of a large tile once for every pair of chunks that they belong to."""
+    large = members.groupBy("tile").agg(F.ceil(F.count("*") / F.lit(TILE)).cast("int").alias("chunks")).filter("chunks > 1")
+    chunk = F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1),
+                        lambda c: F.xxhash64("tile", F.least(chunk, c), F.greatest(chunk, c)))
+    return (members.join(materialize(large), "tile", "left")
+            .select("doc_id", F.explode(F.when(F.col("chunks").isNull(), F.array("tile")).otherwise(pairs)).alias("tile")))
+
+
 def _places(fetched: DataFrame) -> DataFrame:
     """Each set once for every chunk pair of its family that it belongs to, named ``place``."""
     chunks = materialize(fetched.groupBy("family", "band").agg(F.ceil(F.sum("n") / F.lit(CHUNK)).cast("int").alias("chunks")))

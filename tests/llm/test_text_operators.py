@@ -104,6 +104,44 @@ def test_jaccard(odd, empty, small, rule, monkeypatch):
     assert [r.component_id for r in alone] == [None]
 
 
+@pytest.mark.parametrize("rule", [jaccard_join.Rule(3, 90, 100), jaccard_join.Rule(5, 80, 100), jaccard_join.Rule(1, 70, 100)])
+def test_tiles_hold_content(rule):
+    rng = np.random.default_rng(5)
+
+    def tiles(sets):
+        bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+        owners, keys = jaccard_join.tile_keys(np.concatenate(sets), bounds, rule)
+        by_set = [set() for _ in sets]
+        for i, k in zip(owners.tolist(), keys.tolist()):
+            by_set[i].add(k)
+        return by_set
+
+    sizes = np.concatenate([rng.integers(1, 40, 3000), rng.integers(40, 300, 1000)])
+    left, right = [], []
+    for n in sizes:
+        pool = np.unique(rng.integers(0, 1 << 63, 2 * n + 4, dtype=np.uint64))
+        rng.shuffle(pool)
+        most = n * (rule.den - rule.num) // rule.num                # what n common n-grams allow besides
+        a, b = int(rng.integers(0, most + 1)), 0
+        b = most - a
+        left.append(np.sort(pool[:n + a]))
+        right.append(np.sort(np.concatenate([pool[:n], pool[n + a:n + a + b]])))
+        assert rule.den * n >= rule.num * (n + a + b)
+    one, two = tiles(left), tiles(right)
+    assert all(x & y for x, y in zip(one, two))                     # linked sets meet
+    held = collections.Counter(k for x in one for k in x)
+    assert max(held.values()) == 1                                  # sets without a common n-gram never do
+
+
+def test_large_tiles(small, odd, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "TILE", 3)
+    rule = jaccard_join.Rule(1, 70, 100)
+    docs = odd.sparkSession.createDataFrame([(i, " ".join(f"w{k}" for k in range(40) if k % 23 != i)) for i in range(23)],
+                                            "doc_id long, text string").unionByName(small.select("doc_id", "text").filter("doc_id > 30"))
+    got = sorted(map(tuple, jaccard_join.near_duplicates(docs, rule).collect()))
+    assert got == brute_components([(r.doc_id, r.text) for r in docs.collect()], rule)
+
+
 def test_components(spark):
     rng = np.random.default_rng(1)
     pairs = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(i, i + 1) for i in range(1000, 1040)] + [(5, 5)]
