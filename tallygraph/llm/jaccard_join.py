@@ -343,9 +343,10 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), key: str = "doc_id", t
     wanted = named.join(families.select(F.col("node").alias("doc_id"), F.col("component").alias("family")), "doc_id")
     fetched = materialize(wanted.select("doc_id", "family", "text").mapInArrow(
         sets, "doc_id bigint, family bigint, n bigint, band int, hashes binary").filter("n > 0"))
-    found = (_places(fetched).withColumn("grp", F.pmod(F.xxhash64("place"), F.lit(
-        parts_for(fetched.agg(F.sum(F.octet_length("hashes"))).first()[0], GROUP_BYTES))))
-        .groupBy("grp").applyInArrow(links, "u bigint, v bigint"))
+    placed = _places(fetched)
+    copied = parts_for(placed.agg(F.sum(8 * F.col("n"))).first()[0], GROUP_BYTES)      # 8 bytes a hash, each copy counted
+    found = (placed.withColumn("grp", F.pmod(F.xxhash64("place"), F.lit(copied)))
+             .groupBy("grp").applyInArrow(links, "u bigint, v bigint"))
     component = connected_components(found)
     return (known.select("doc_id", F.col("n").alias("n_shingles"), "first")
             .join(component, F.col("first") == F.col("node"), "left")

@@ -142,6 +142,18 @@ def test_large_tiles(small, odd, monkeypatch):
     assert got == brute_components([(r.doc_id, r.text) for r in docs.collect()], rule)
 
 
+def test_groups_hold_copies(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "CHUNK", 60)
+    asked, placed, parts, places = [], [], jaccard_join.parts_for, jaccard_join._places
+    monkeypatch.setattr(jaccard_join, "parts_for", lambda size, each: asked.append(size) or parts(size, each))
+    monkeypatch.setattr(jaccard_join, "_places", lambda fetched: placed.append(places(fetched)) or placed[-1])
+    docs = spark.createDataFrame([(i, " ".join(f"w{k}" for k in range(50) if k != i)) for i in range(20)], "doc_id long, text string")
+    rows = jaccard_join.near_duplicates(docs, jaccard_join.Rule(1, 90, 100)).collect()
+    assert {r.component_id for r in rows} == {0}
+    moved = sum(len(r.hashes) for r in placed[0].select("hashes").collect())
+    assert asked[-1] == moved > 5 * 20 * 49 * 8
+
+
 def test_components(spark):
     rng = np.random.default_rng(1)
     pairs = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(i, i + 1) for i in range(1000, 1040)] + [(5, 5)]
