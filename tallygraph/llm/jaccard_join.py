@@ -36,6 +36,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import cache
 from typing import NamedTuple
 
 import numpy as np
@@ -79,18 +80,17 @@ class Rule(NamedTuple):
         return np.where(differences > 0, -(-(differences + 1) * share // 100) + 2, 0)
 
 
-def _band_edges() -> np.ndarray:
+@cache
+def band_edges(rule: Rule) -> np.ndarray:
+    """First size of each band; half as large again from one to the next, or as far apart as linked sets can be."""
     edges = [1]
     while edges[-1] < 1 << 40:
-        edges.append(max(edges[-1] + 1, edges[-1] * 3 // 2))
+        edges.append(max(edges[-1] + 1, edges[-1] * 3 // 2, -(-edges[-1] * rule.den // rule.num)))
     return np.array(edges, np.int64)
 
 
-EDGES = _band_edges()       # first size of each band; half as large again from one to the next
-
-
-def band_of(sizes: np.ndarray) -> np.ndarray:
-    return np.searchsorted(EDGES, sizes, side="right") - 1
+def band_of(sizes: np.ndarray, rule: Rule) -> np.ndarray:
+    return np.searchsorted(band_edges(rule), sizes, side="right") - 1
 
 
 def shingle_sets(texts: list[str | None], words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -131,11 +131,11 @@ def _folded(bitmap: np.ndarray, bits: int) -> np.ndarray:
 def tile_keys(flat: np.ndarray, bounds: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     """(set number, tile) of every tile of every set."""
     sizes = np.diff(bounds)
-    bands = band_of(sizes)
+    bands, edges = band_of(sizes, rule), band_edges(rule)
     owners, keys = [], []
     for shift in (0, 1):        # as one of the smaller band, then as the larger set of the band below
         band = bands - shift
-        upper = EDGES[np.maximum(band, 0) + 1] - 1
+        upper = edges[np.maximum(band, 0) + 1] - 1
         takes = (sizes > 0) & (band >= 0) & (upper * rule.den >= sizes * rule.num if shift else True)
         which = np.flatnonzero(takes)
         if not len(which):
@@ -337,7 +337,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), key: str = "doc_id", t
                 own = [flat[i:j].tobytes() for i, j in zip(bounds[:-1], bounds[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(np.diff(bounds)),
-                     pa.array(band_of(np.diff(bounds)).astype(np.int32)), pa.array(own, pa.binary())],
+                     pa.array(band_of(np.diff(bounds), rule).astype(np.int32)), pa.array(own, pa.binary())],
                     names=["doc_id", "family", "n", "band", "hashes"])
 
     wanted = named.join(families.select(F.col("node").alias("doc_id"), F.col("component").alias("family")), "doc_id")

@@ -142,6 +142,18 @@ def test_large_tiles(small, odd, monkeypatch):
     assert got == brute_components([(r.doc_id, r.text) for r in docs.collect()], rule)
 
 
+def test_bands_follow_the_rule(spark):
+    rule = jaccard_join.Rule(1, 50, 100)
+    sets = [(first, n) for k, n in enumerate([5, 7, 11, 20, 90]) for first, n in ((2 * k, n), (2 * k + 1, 2 * n))]
+    docs = spark.createDataFrame([(i, " ".join(f"s{i // 2}w{j}" for j in range(n))) for i, n in sets], "doc_id long, text string")
+    got = sorted(map(tuple, jaccard_join.near_duplicates(docs, rule).collect()))
+    assert got == [(i, n, i - i % 2) for i, n in sets]
+    for num in (50, 60, 66, 67, 80, 90):
+        rule = jaccard_join.Rule(1, num, 100)
+        small = np.arange(1, 5000)
+        assert (jaccard_join.band_of(small * 100 // num, rule) - jaccard_join.band_of(small, rule)).max() <= 1
+
+
 def test_groups_hold_copies(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "CHUNK", 60)
     asked, placed, parts, places = [], [], jaccard_join.parts_for, jaccard_join._places
