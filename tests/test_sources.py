@@ -166,6 +166,23 @@ def test_stream_resumes_with_new_files(spark, tmp_path):
     assert sorted(r.ref for r in spark.read.parquet(sink).collect()) == [f"r{i}" for i in range(6)]
 
 
+def test_streams_keep_ops_without_ref(spark, tmp_path):
+    from tallygraph.streaming import ingest
+
+    schema = "op string, ref string, source_ref string, target_ref string, name string, pos long"
+    rows = [("create_link", None, "a", "b", "x", 1), ("create_link", None, "a", "c", "x", 2), ("create_link", None, "a", "b", "x", 3),
+            ("create_actor", "a", None, None, "n", 4), ("create_actor", "a", None, None, "n", 5)]
+    src = str(tmp_path / "src")
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(src)
+    for i in range(2):
+        ops = ingest.read_op_files(spark, src, schema)
+        ingest.apply_batches(ops, str(tmp_path / "applied"), str(tmp_path / f"state{i}")).awaitTermination()
+        ingest.load(ingest.once_per_ref(ops), str(tmp_path / "loaded"), str(tmp_path / "state")).awaitTermination()
+    assert sorted(r.pos for r in spark.read.parquet(str(tmp_path / "applied")).collect()) == [1, 2, 4]
+    assert spark.read.parquet(str(tmp_path / "loaded")).select("op", "target_ref").distinct().count() == 3
+    assert spark.read.parquet(str(tmp_path / "loaded")).count() == 3
+
+
 @pytest.mark.parametrize("rounds", [2])
 def test_apply_batches_adds_nothing_twice(spark, tmp_path, rounds):
     from tallygraph.streaming import ingest
