@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygraph.llm import (jaccard_join, language_id, packing, piece_viterbi, quality, sharding, substring_dedup,
+from tallygraph.llm import (byte_bpe, jaccard_join, language_id, packing, piece_viterbi, quality, sharding, substring_dedup,
                             toxicity, transcripts, winnowing)
 from tallygraph.llm.common import documents, utf8_size
 
@@ -138,3 +138,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_sentencepiece")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_viterbi.round_trips(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op11_byte_bpe")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                            public_tokenizers.PATTERN)
