@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygraph.llm import (byte_bpe, jaccard_join, language_id, packing, piece_viterbi, quality, sharding, substring_dedup,
+from tallygraph.llm import (byte_bpe, jaccard_join, language_id, merkle, packing, piece_viterbi, quality, sharding, substring_dedup,
                             toxicity, transcripts, winnowing)
 from tallygraph.llm.common import documents, utf8_size
 
@@ -144,3 +144,57 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                             public_tokenizers.PATTERN)
+
+
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+@query("op13_merkle_manifest", """
+WITH RECURSIVE bits AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t),
+rows AS (SELECT doc_id, lang, [coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'),
+        coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+        coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')] AS head, text,
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+        xor(list_reduce(list_concat([4294967295], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c))),
+            lambda c, b: xor(c // 256, t[1 + xor(c % 256, b)])), 4294967295) % 3 = 0 AS hit FROM documents, bits),
+leaves AS (SELECT doc_id, lang, sha256(array_to_string(head, '') || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+        CASE WHEN hit THEN sha256(array_to_string(head, '') || coalesce(strlen(low) || ':' || low, '-')) END AS other
+        FROM rows),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves),
+up(lang, k, h) AS (SELECT lang, 0, list(leaf ORDER BY i) FROM placed GROUP BY lang
+        UNION ALL SELECT lang, k + 1, list_transform(range((len(h) + 7) // 8),
+            lambda r: sha256(array_to_string(h[r * 8 + 1:r * 8 + 8], ''))) FROM up WHERE len(h) > 1),
+sub AS (SELECT lang, h[1] AS subroot, k AS height, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS j
+        FROM up WHERE len(h) = 1),
+over(k, h) AS (SELECT 0, list(subroot ORDER BY j) FROM sub
+        UNION ALL SELECT k + 1, list_transform(range((len(h) + 7) // 8),
+            lambda r: sha256(array_to_string(h[r * 8 + 1:r * 8 + 8], ''))) FROM over WHERE len(h) > 1),
+nodes AS (SELECT doc_id, i, p.lang, k, h, i // (8 ** k)::BIGINT AS a FROM placed p JOIN up ON p.lang IS NOT DISTINCT FROM up.lang
+            WHERE len(h) > 1
+        UNION ALL SELECT doc_id, i, p.lang, height + k, h, j // (8 ** k)::BIGINT FROM placed p
+            JOIN sub ON p.lang IS NOT DISTINCT FROM sub.lang, over WHERE len(h) > 1),
+steps AS (SELECT doc_id, i, lang, k, array_to_string(h[a - a % 8 + 1:a], '') AS l,
+        array_to_string(h[a + 2:a - a % 8 + 8], '') AS r FROM nodes),
+paths AS (SELECT i, lang, string_agg(l || r, '' ORDER BY k) AS proof, list(l || '|' || r ORDER BY k) AS path
+        FROM steps GROUP BY i, lang),
+found AS (SELECT doc_id, leaf, subroot, (SELECT h[1] FROM over WHERE len(h) = 1) AS root,
+        sha256(coalesce(proof, '')) AS proof_sha256,
+        list_reduce(list_concat([coalesce(other, leaf)], coalesce(path, [])),
+            lambda x, s: sha256(split_part(s, '|', 1) || x || split_part(s, '|', 2))) AS folded_root
+        FROM placed JOIN sub ON placed.lang IS NOT DISTINCT FROM sub.lang
+        LEFT JOIN paths ON placed.i = paths.i AND placed.lang IS NOT DISTINCT FROM paths.lang)
+SELECT *, folded_root = root AS verified FROM found""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    lowered = F.translate("text", LETTERS, LETTERS.lower())
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0,
+                      merkle.leaf(*[lowered if c == "text" else F.col(c) for c in columns]))
+    manifest = merkle.build(docs, columns, extra={"tampered": tampered})
+    presented = F.coalesce("tampered", "leaf")
+    out = manifest.proofs().select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", F.lit(manifest.root).cast("string").alias("root"),
+        merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        merkle.folded(presented, F.col("path")).alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
