@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygraph.llm import (byte_bpe, jaccard_join, language_id, merkle, packing, piece_viterbi, quality, sharding, substring_dedup,
+from tallygraph.llm import (byte_bpe, jaccard_join, language_id, merkle, packing, phrases, piece_viterbi, quality, sharding, substring_dedup,
                             toxicity, transcripts, winnowing)
 from tallygraph.llm.common import documents, utf8_size
 
@@ -198,3 +198,34 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
         merkle.proof_digest(F.col("path")).alias("proof_sha256"),
         merkle.folded(presented, F.col("path")).alias("folded_root"))
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+PHRASES = 2000          # of each language, in the report
+
+
+@query("op12_phrase_collocations", """
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS p FROM documents),
+texts AS (SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS w FROM pieces),
+sized AS (SELECT lang, w, unnest(range(1, 6)) AS k FROM texts WHERE len(w) > 0),
+grams AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS g
+        FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM sized WHERE len(w) >= k)),
+counted AS (SELECT lang, k, g, count(*) AS f FROM grams GROUP BY lang, k, g HAVING count(*) >= 100),
+sizes AS (SELECT lang, sum(len(w))::BIGINT AS n FROM texts GROUP BY lang),
+cand AS (SELECT lang, k, g, f, string_split(g, ' ') AS w FROM counted WHERE k > 1),
+part AS (SELECT lang, f, w, k, unnest(range(2, k)) AS m FROM cand WHERE k > 2),
+inner_grams AS (SELECT lang, f, array_to_string(w[i:i + m - 1], ' ') AS g
+        FROM (SELECT lang, f, w, m, unnest(range(1, k - m + 2)) AS i FROM part)),
+covered AS (SELECT lang, g, max(f) AS most FROM inner_grams GROUP BY lang, g),
+alone AS (SELECT c.* FROM cand c LEFT JOIN covered o ON c.lang = o.lang AND c.g = o.g WHERE most IS NULL OR 100 * most < 100 * c.f),
+cut AS (SELECT lang, k, g, f, w, unnest(range(1, k)) AS j FROM alone),
+scored AS (SELECT cut.lang, cut.g, cut.f, j, x.f AS l, y.f AS r, n, ((1000::HUGEINT * cut.f * n) // (x.f::HUGEINT * y.f))::BIGINT AS s
+        FROM cut JOIN sizes ON cut.lang = sizes.lang
+        JOIN counted x ON x.lang = cut.lang AND x.g = array_to_string(w[1:j], ' ')
+        JOIN counted y ON y.lang = cut.lang AND y.g = array_to_string(w[j + 1:cut.k], ' ')),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY s, j) AS o FROM scored),
+ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY s DESC, f DESC, g) AS rank, g, f, l, r, n, s FROM best WHERE o = 1)
+SELECT lang, rank::BIGINT AS rank, g AS phrase, f::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, s AS score
+FROM ranked WHERE rank <= 2000""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.report(phrases.collocations(phrases.mine(documents(spark, sf_dir))), PHRASES)
