@@ -29,7 +29,7 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 MARK = "▁"
@@ -101,14 +101,17 @@ class PieceCoder(dict):
         return ids[::-1]
 
     def __missing__(self, word: str) -> bytes:
-        bigrams, end = self.bigrams, word[-1:]
-        if len(word) > SHORT and end in self.inner and word[-2:] not in bigrams:
-            return self[word[:-1]] + self.inner[end]
+        bigrams, inner, n = self.bigrams, self.inner, len(word)
+        while n > SHORT and word[n - 1] in inner and word[n - 2:n] not in bigrams:     # known ends, one by one
+            n -= 1
+        if n < len(word):
+            ends = b"".join([inner[c] for c in word[n:]])       # before the head, which may start the cache anew
+            return self[word[:n]] + ends
         stretch = " " + word
         cuts = [k for k in range(1, len(stretch)) if stretch[k - 1:k + 1] not in bigrams]
         if not cuts:
             return self._keep(self, word, stretch)
-        out, inner = [self[stretch[1:cuts[0]]] if cuts[0] < len(stretch) else b""], self.inner
+        out = [self[stretch[1:cuts[0]]] if cuts[0] < len(stretch) else b""]
         for a, b in zip(cuts, [*cuts[1:], len(stretch)]):
             part = stretch[a:b]
             out.append(inner[part] if part in inner else self._keep(inner, part, part))
@@ -149,34 +152,37 @@ def load(path: str) -> PieceCoder:
 
 def encoded(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id`` and ``ids`` of every text."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = load(model)
         for batch in batches:
-            ids = [None if t is None else np.frombuffer(coder.encode(t), "<u4").astype(np.int32) for t in batch["t"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "ids": ids})
+            ids = [None if t is None else np.frombuffer(coder.encode(t), "<u4").astype(np.int32)
+                   for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     return docs.select(docs[key].cast("bigint").alias("doc_id"), docs[text].alias("t")) \
-        .mapInPandas(run, "doc_id bigint, ids array<int>")
+        .mapInArrow(run, "doc_id bigint, ids array<int>")
 
 
 def decoded(tokens: DataFrame, model: str) -> DataFrame:
     """``doc_id`` and ``text`` of rows with ``ids``."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = load(model)
         for batch in batches:
-            texts = [None if x is None else coder.decode(np.asarray(x, "<u4").tobytes()) for x in batch["ids"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "text": pd.Series(texts, dtype=object)})
+            texts = [None if x is None else coder.decode(np.asarray(x, "<u4").tobytes()) for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return tokens.select("doc_id", "ids").mapInPandas(run, "doc_id bigint, text string")
+    return tokens.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, text string")
 
 
 def round_trips(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Each text encoded and decoded again where it is read: sizes, checksums and whether it came back."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kinds = [pa.int64()] * 4 + [pa.bool_()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = load(model)
         for batch in batches:
             rows = []
-            for t in batch["t"]:
+            for t in batch.column(1).to_pylist():
                 if t is None:
                     rows.append((None,) * 5)
                     continue
@@ -184,10 +190,7 @@ def round_trips(docs: DataFrame, model: str, key: str = "doc_id", text: str = "t
                 back = coder.decode(ids)
                 raw = back.encode("utf-8", "surrogatepass")
                 rows.append((len(ids) // 4, len(raw), zlib.crc32(ids), zlib.crc32(raw), back == t))
-            out = pd.DataFrame(rows, columns=["n_tokens", "n_bytes", "ids_crc32", "decoded_crc32", "round_trip"])
-            out = out.astype(dict.fromkeys(out.columns[:4], "Int64") | {"round_trip": "boolean"})
-            out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy(dtype=object))
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+            cells = map(pa.array, zip(*rows), kinds) if rows else [pa.array([], kind) for kind in kinds]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *cells], [c.split()[0] for c in CODED.split(", ")])
 
-    return docs.select(docs[key].cast("bigint").alias("doc_id"), docs[text].alias("t")).mapInPandas(run, CODED)
+    return docs.select(docs[key].cast("bigint").alias("doc_id"), docs[text].alias("t")).mapInArrow(run, CODED)
