@@ -22,7 +22,8 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,24 +44,24 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = 2048, key: str = "d
     """Token pieces of every document, its end token included; with ``ids`` if asked for."""
     schema = PIECES + (", ids array<bigint>" if keep_ids else "")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = wordbpe.load(vocabulary)
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             rows = []
-            for doc, value in zip(batch["k"], batch["t"]):
+            for doc, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = (encoder.ids(value) if value is not None else b"") + end
-                doc = None if pd.isna(doc) else int(doc)
                 for number, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     row = (doc, number, at // 4, len(part) // 4, zlib.crc32(part))
                     rows.append((*row, np.frombuffer(part, "<u4").astype(np.int64)) if keep_ids else row)
-            names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-            out = pd.DataFrame(rows, columns=names[:6 if keep_ids else 5])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+            cells = zip(*rows) if rows else [[] for _ in names]
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(cells, kinds)], names)
 
-    return docs.select(docs[key].cast("bigint").alias("k"), docs[text].alias("t")).mapInPandas(run, schema)
+    return docs.select(docs[key].cast("bigint").alias("k"), docs[text].alias("t")).mapInArrow(run, schema)
 
 
 def fit(lengths: np.ndarray, capacity: int, max_docs: int, max_cost: int, rule: str = "norm",
@@ -114,17 +115,19 @@ def pack(cut: DataFrame, capacity: int = 2048, max_docs: int | None = None, max_
     groups = parts_for(table.agg(F.sum("length")).first()[0], group_tokens)
     spread = F.pmod(F.xxhash64("doc_id", "piece", "row"), F.lit(groups))
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["doc_id", "piece", "row"], kind="stable", na_position="first")
-        place, offset = fit(rows["length"].to_numpy(), capacity, max_docs, max_cost, rule, weights)
-        own = rows["grp"].iloc[0] + groups * (place + 1)
-        return rows.assign(sequence_id=own, offset=offset)[[c.split()[0] for c in PLACED.split(", ")]]
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        by = [(c, "ascending") for c in ("doc_id", "piece", "row")]
+        rows = rows.take(pc.sort_indices(rows, sort_keys=by, null_placement="at_start"))
+        place, offset = fit(rows.column("length").to_numpy(), capacity, max_docs, max_cost, rule, weights)
+        own = key[0].as_py() + groups * (place + 1)
+        return (rows.select([c.split()[0] for c in PIECES.split(", ")])
+                .append_column("sequence_id", pa.array(own)).append_column("offset", pa.array(offset)))
 
     whole = (table.filter(F.col("length") == capacity)
              .select("doc_id", "piece", "start", "length", "ids_crc32",
                      (-1 - F.col("row")).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset")))
     rests = (table.filter(F.col("length") < capacity).withColumn("grp", spread.cast("bigint"))
-             .groupBy("grp").applyInPandas(run, PLACED))
+             .groupBy("grp").applyInArrow(run, PLACED))
     return whole.unionByName(rests)
 
 

@@ -63,12 +63,12 @@ class WordBpe(dict):
             if len(chunk) <= SHORT:     # long ones are rare and soon put together again
                 self[chunk] = out
             return out
-        if len(chunk) > 1 and chunk[-1] in ".," and chunk[-2].isalpha():
+        if len(chunk) > 1 and chunk[-1] in ".," and chunk[-2].isalpha() and not _OTHER.search(chunk.lower()):
             return self[chunk[:-1]] + self[chunk[-1]]
         return self._keep(chunk, self._encode(chunk))
 
     def _encode(self, chunk: str) -> list[int]:
-        if _OTHER.search(chunk):
+        if _OTHER.search(chunk.lower()):        # what it becomes, as a letter below U+0250 may leave that range
             return self.tokenizer.encode(chunk, add_special_tokens=False).ids
         return self.words.encode_ordinary("\x01".join([*_WORDS.findall(chunk.lower()), ""]))
 
