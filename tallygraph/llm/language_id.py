@@ -199,7 +199,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "
     draw = F.pmod(F.xxhash64(F.lit(settings.seed), F.col("key")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     share = F.create_map(*[F.lit(x) for lang in languages
                            for x in (lang, (per_language + calibration) / sizes[lang])])[F.col("lang")]
-    part = F.when(draw < share * (per_language / (per_language + calibration)), 0).otherwise(1)
+    part = F.when(draw < F.least(share, F.lit(1.0)) * (per_language / (per_language + calibration)), 0).otherwise(1)
     sample = (rows.filter(draw < share).select("text", "lang", part.alias("part"), draw.alias("draw"))
               .mapInArrow(_sparse, "lang string, part int, draw double, keys binary, counts binary").toPandas())
     sample = sample.sort_values(["draw", "lang"], kind="stable")
