@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygraph import fixed as fx
 from tallygraph.functions.numbers import sample_indices
 from tallygraph.operators import inventory
 from tallygraph.plans.registry import derived, query, table
+from tallygraph.session import work_dir
 from tallygraph.sources import catalog, files, xml_records
 
 EXTENSIONS = "array('txt', 'csv', 'xml', 'cfe', 'json', 'docx', 'html', 'md')"
@@ -99,7 +100,7 @@ def json_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 XML_FILE = """concat('<?xml version="1.0"?><!-- <x/> --><m:Message xmlns:m="urn:x"><Header><Ссылка>h</Ссылка></Header><Body>',
   '<Справочник.Товары><Ссылка>g', cast(p_partkey as string), '</Ссылка><Наименование>', case when p_partkey % 3 = 0 then ' ' else p_name end, '</Наименование><Код a="1"> ', p_brand, ' </Код></Справочник.Товары>',
   '<m:Документ.Заказ><Ссылка>d', cast(p_partkey as string), '</Ссылка><Номер>', cast(p_size as string), '</Номер><Товар><Ссылка>g', cast(p_partkey as string), '</Ссылка></Товар><Пусто/></m:Документ.Заказ>',
-  '<Справочник.Товары><Ссылка>h', cast(p_partkey as string), '</Ссылка><Вид>', p_type, ' &amp; co</Вид><Товар><Ссылка>missing</Ссылка><Ссылка>d', cast(p_partkey as string), '</Ссылка></Товар></Справочник.Товары>',
+  '<Справочник.Товары><Ссылка>h', cast(p_partkey as string), '</Ссылка><Вид>', p_type, ' &amp; co<![CDATA[ <!-- <b> --> <?x?> ]]></Вид><Товар><Ссылка>missing</Ссылка><Ссылка>d', cast(p_partkey as string), '</Ссылка></Товар></Справочник.Товары>',
   '</Body></m:Message>')"""
 
 
@@ -112,7 +113,7 @@ def _xml(spark: SparkSession, sf_dir: str):
     {'ref': 'e0_0', 'leaf': 'Справочник.Товары', 'text': ''}, {'ref': 'e0_0', 'leaf': 'Ссылка', 'text': 'g' || p_partkey}, {'ref': 'e0_0', 'leaf': 'Наименование', 'text': CASE WHEN p_partkey % 3 = 0 THEN '' ELSE p_name END},
     {'ref': 'e0_0', 'leaf': 'Код', 'text': p_brand}, {'ref': 'e1_0', 'leaf': 'Документ.Заказ', 'text': ''}, {'ref': 'e1_0', 'leaf': 'Ссылка', 'text': 'd' || p_partkey}, {'ref': 'e1_0', 'leaf': 'Номер', 'text': p_size::VARCHAR},
     {'ref': 'e1_0', 'leaf': 'Товар', 'text': ''}, {'ref': 'e1_0', 'leaf': 'Ссылка', 'text': 'g' || p_partkey}, {'ref': 'e1_0', 'leaf': 'Пусто', 'text': ''}, {'ref': 'e0_1', 'leaf': 'Справочник.Товары', 'text': ''},
-    {'ref': 'e0_1', 'leaf': 'Ссылка', 'text': 'h' || p_partkey}, {'ref': 'e0_1', 'leaf': 'Вид', 'text': p_type || ' & co'}, {'ref': 'e0_1', 'leaf': 'Товар', 'text': ''}, {'ref': 'e0_1', 'leaf': 'Ссылка', 'text': 'missing'},
+    {'ref': 'e0_1', 'leaf': 'Ссылка', 'text': 'h' || p_partkey}, {'ref': 'e0_1', 'leaf': 'Вид', 'text': p_type || ' & co <!-- <b> --> <?x?>'}, {'ref': 'e0_1', 'leaf': 'Товар', 'text': ''}, {'ref': 'e0_1', 'leaf': 'Ссылка', 'text': 'missing'},
     {'ref': 'e0_1', 'leaf': 'Ссылка', 'text': 'd' || p_partkey}], recursive := true) FROM part""")
 def xml_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _xml(spark, sf_dir)[1].select("file_id", "ref", "leaf", F.trim("text").alias("text"))
@@ -126,7 +127,7 @@ def xml_actors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("xml_values", """SELECT * FROM (SELECT p_partkey AS file_id, unnest([{'ref': 'e0_0', 'item': CASE WHEN p_partkey % 3 = 0 THEN 'item_9' ELSE 'item_1' END, 'value': CASE WHEN p_partkey % 3 = 0 THEN '' ELSE p_name END},
     {'ref': 'e0_0', 'item': CASE WHEN p_partkey % 3 = 0 THEN 'item_1' ELSE 'item_2' END, 'value': p_brand}, {'ref': 'e1_0', 'item': 'item_1', 'value': p_size::VARCHAR},
-    {'ref': 'e0_1', 'item': CASE WHEN p_partkey % 3 = 0 THEN 'item_2' ELSE 'item_3' END, 'value': p_type || ' & co'}], recursive := true) FROM part) WHERE value <> ''""")
+    {'ref': 'e0_1', 'item': CASE WHEN p_partkey % 3 = 0 THEN 'item_2' ELSE 'item_3' END, 'value': p_type || ' & co <!-- <b> --> <?x?>'}], recursive := true) FROM part) WHERE value <> ''""")
 def xml_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return xml_records.record_values(_xml(spark, sf_dir)[1]).select("file_id", "ref", "item", "value")
 
@@ -151,6 +152,51 @@ def xml_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inventory.xml_totals(inventory.xml_entities(leaves, records))
 
 
+EXPORTS = 16            # files an export is written to; each grows with the tables
+EXPORT_LINE = """concat(case when p_partkey % 5 = 0 then '<!-- <Документ.Заказ> <![CDATA[ -->' else '' end,
+  '<Справочник.Товары><Ссылка>g', cast(p_partkey as string), '</Ссылка><Наименование><![CDATA[', p_name, ' <!-- <', p_brand, '> -->]]></Наименование><Код a="x>y"> ', p_brand, ' &amp; <?go <x/>?>co</Код></Справочник.Товары>',
+  '<Документ.Заказ><Ссылка>d', cast(p_partkey as string), '</Ссылка><Товар><Ссылка>g', cast(p_partkey - p_partkey % 16 + (p_partkey + 5) % 16 as string), '</Ссылка></Товар></Документ.Заказ>')"""
+
+
+def xml_exports(spark: SparkSession, sf_dir: str) -> str:
+    """Parts as a few large XML files, each with a head, a line per part and an end; returns their folder."""
+    lines = derived(spark, sf_dir, "part", f"cast(p_partkey % {EXPORTS} as int) as file", "p_partkey as at", f"{EXPORT_LINE} as line")
+    ends = spark.range(EXPORTS).select(F.col("id").cast("int").alias("file"), F.explode(F.array(
+        F.struct(F.lit(-1).cast("bigint").alias("at"), F.lit('<?xml version="1.0"?><m:Message xmlns:m="urn:x"><Header/><Body>').alias("line")),
+        F.struct(F.lit(2 ** 62).alias("at"), F.lit("</Body></m:Message>").alias("line")))).alias("e")).select("file", "e.*")
+    path = work_dir(spark, "exports")
+    (lines.select("file", F.col("at").cast("bigint").alias("at"), "line").unionByName(ends).repartitionById(EXPORTS, "file")
+     .sortWithinPartitions("file", "at").select("line").write.text(path))
+    return path
+
+
+def _exported(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return xml_records.tag_leaves(xml_records.read_tags(spark, xml_exports(spark, sf_dir)))
+
+
+def _export_number(file: str) -> Column:
+    return F.regexp_extract(F.col(file), "part-0*([0-9]+)-", 1).cast("int")
+
+
+SQL_EXPORTS = """x AS (SELECT p_partkey % 16 AS file, 2 * (row_number() OVER (PARTITION BY p_partkey % 16 ORDER BY p_partkey) - 1) AS no, * FROM part)"""
+
+
+@query("xml_large_files", f"""WITH {SQL_EXPORTS} SELECT file::INT AS file, no AS record_no, unnest([
+    {{'leaf': 'Справочник.Товары', 'text': ''}}, {{'leaf': 'Ссылка', 'text': 'g' || p_partkey}}, {{'leaf': 'Наименование', 'text': p_name || ' <!-- <' || p_brand || '> -->'}},
+    {{'leaf': 'Код', 'text': p_brand || ' & co'}}], recursive := true) FROM x
+  UNION ALL SELECT file::INT, no + 1, unnest([{{'leaf': 'Документ.Заказ', 'text': ''}}, {{'leaf': 'Ссылка', 'text': 'd' || p_partkey}}, {{'leaf': 'Товар', 'text': ''}},
+    {{'leaf': 'Ссылка', 'text': 'g' || (p_partkey - p_partkey % 16 + (p_partkey + 5) % 16)}}], recursive := true) FROM x""")
+def xml_large_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _exported(spark, sf_dir).select(_export_number("file_id").alias("file"), "record_no", "leaf", F.trim("text").alias("text"))
+
+
+@query("xml_large_inventory", f"""WITH {SQL_EXPORTS} SELECT file::INT AS file, 2 AS entities, 2 * count(*) AS records, 2 AS fields, 3 * count(*) AS links FROM x GROUP BY file""")
+def xml_large_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records, leaves = xml_records.with_record_tag(_exported(spark, sf_dir))
+    totals = inventory.xml_totals(inventory.xml_entities(leaves, records))
+    return totals.withColumn("file", _export_number("file_id")).drop("file_id")
+
+
 @query("xml_profile", """SELECT p_partkey AS file_id, 'Message' AS root, 20 AS nodes, 'Message:1,Header:1,Ссылка:7,Body:1,Справочник.Товары:2,Наименование:1,Код:1,Документ.Заказ:1,Номер:1,Товар:2,Пусто:1,Вид:1' AS tags FROM part""")
 def xml_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = files.xml_profile(derived(spark, sf_dir, "part", "p_partkey as file_id", f"{XML_FILE} as text"))

@@ -1,20 +1,23 @@
 """Record-oriented XML: records are the children of Body (or of the root).
 
-A file is cut into tags; depth and record numbers are running sums over tag
-positions, taken block by block, so one large file is not one task.
+Tags come from texts that are rows (``xml_tags``) or from files of any size that many
+tasks read (``read_tags``).  Depth and record numbers are running sums over tag positions,
+taken block by block, so one large file is not one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallygraph import fixed as fx
 from tallygraph.functions import text
+from tallygraph.operators.chains import reached
 from tallygraph.operators.positions import dense_index, running_total
 from tallygraph.session import materialize
 
-_NOISE = r"(?s)<!--.*?-->|<\?.*?\?>|<!DOCTYPE[^>]*>"
+# CDATA first and kept, so that marks inside it stay; the rest is no content
+_NOISE = r"(?s)(<!\[CDATA\[.*?\]\]>)|<!--.*?-->|<\?.*?\?>|<!DOCTYPE[^>]*>"
 _TAG = r"""<(?:[^>"']++|"[^"]*+"|'[^']*+')++>"""      # a quoted value may hold a closing bracket
 _TEXT = r"(?:[^<]++|<!\[CDATA\[(?s:.*?)\]\]>)*+"
 _CHAR_REF = r"&#(x[0-9A-Fa-f]{1,6}|[0-9]{1,7});"
@@ -52,26 +55,103 @@ def _plain_text(raw: Column) -> Column:
     return F.when(raw.contains("<![CDATA["), sections).otherwise(_decoded(raw))
 
 
-def xml_tags(files: DataFrame) -> DataFrame:
-    """(file_id, pos, tag, opens, closes, text): every tag of a file with the text after it."""
-    body = F.regexp_replace("text", _NOISE, "")
-    token = F.col("token")
+def _without_noise(raw: Column) -> Column:
+    return F.regexp_replace(raw, _NOISE, "$1")
+
+
+def _tag_columns(token: Column) -> list[Column]:
+    """(tag, opens, closes, text) of a tag with the text after it."""
     name = F.regexp_replace(F.regexp_extract(token, r"^</?([^\s/>]+)", 1), "^.*[}:]", "")
     is_close = token.startswith("</")
     is_empty = F.regexp_extract(token, f"^({_TAG})", 1).endswith("/>")
+    return [name.alias("tag"), (~is_close).alias("opens"), (is_close | is_empty).alias("closes"),
+            _plain_text(F.regexp_extract(token, f"(?s)^{_TAG}(.*)", 1)).alias("text")]
+
+
+def xml_tags(files: DataFrame) -> DataFrame:
+    """(file_id, pos, tag, opens, closes, text): every tag of a file with the text after it."""
+    body = _without_noise(F.col("text"))
     return (files.select("file_id", F.posexplode(text.extract_all(body, _TAG + _TEXT, 0)).alias("pos", "token"))
-            .select("file_id", F.col("pos").cast("bigint").alias("pos"), name.alias("tag"),
-                    (~is_close).alias("opens"), (is_close | is_empty).alias("closes"),
-                    _plain_text(F.regexp_extract(token, f"(?s)^{_TAG}(.*)", 1)).alias("text")))
+            .select("file_id", F.col("pos").cast("bigint").alias("pos"), *_tag_columns(F.col("token"))))
+
+
+# What begins after "<" without being a tag, and what ends it.
+_REGIONS = {"comment": ("!--", "-->"), "cdata": ("![CDATA[", "]]>"), "instruction": ("?", "?>")}
+
+
+def read_tags(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """The columns of ``xml_tags`` for files under a path; ``file_id`` is the file's path.
+
+    Files are read in splits, cut at every ``<``; a row's place in its file follows from the
+    split's start and its number in the split.  A cut inside a comment, CDATA section or
+    instruction is found from the few rows that hold such marks and undone, so a row ends
+    up as one tag with its text, whatever that text holds.
+    """
+    split = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    lines = spark.read.option("lineSep", "<").option("encoding", encoding).text(path)
+    read = materialize(lines.select(split.alias("split"), F.monotonically_increasing_id().alias("seen"), "value"))
+    before = Window.partitionBy("split.file").orderBy("split.start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = (read.groupBy("split").agg(F.min("seen").alias("first"), F.count(F.lit(1)).alias("n"))
+              .select("split", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")))
+    placed = read.join(splits, "split").select(
+        F.col("split.file").alias("file_id"), (F.col("before") + F.col("seen") - F.col("first")).alias("pos"), "value")
+    tokens = placed.filter("pos > 0")           # the first is what stands before the first "<"
+    inside = _inside_regions(tokens)
+    marked = tokens.join(inside.withColumn("inside", F.lit(True)), ["file_id", "pos"], "left")
+    no_tag = F.col("inside").isNotNull() | F.col("value").startswith("!") | F.col("value").startswith("?")
+    tails = _tails(marked.filter(no_tag).select("file_id", "pos", "value"))
+    whole = F.concat(F.lit("<"), F.col("value"), F.coalesce(_without_noise(F.col("tail")), F.lit("")))
+    return (marked.filter(~no_tag).join(tails, ["file_id", "pos"], "left")
+            .select("file_id", "pos", *_tag_columns(whole)))
+
+
+def _inside_regions(tokens: DataFrame) -> DataFrame:
+    """(file_id, pos): rows that lie in a comment, CDATA section or instruction begun in an earlier row.
+
+    A mark inside a region opens nothing: the regions that count are those that a reader
+    meets who goes on behind the end of each.
+    """
+    value, kinds = F.col("value"), []
+    for kind, (mark, end) in _REGIONS.items():
+        opens = value.startswith(mark) & ~F.substring(value, len(mark) + 1, 2 ** 31 - 1).contains(end)
+        kinds.append(F.struct(F.lit(kind).alias("kind"), opens.alias("opens"), value.contains(end).alias("ends")))
+    marks = materialize(tokens.select("file_id", "pos", F.inline(F.array(*kinds))).filter("opens or ends"))
+    # the n-th end of a kind, and how many ends stand up to each opening
+    counted = running_total(marks, ["file_id", "kind"], "pos", F.col("ends").cast("bigint"), "n")
+    ends = counted.filter("ends").select("file_id", "kind", "n", F.col("pos").alias("last"))
+    opened = counted.filter("opens").select("file_id", "kind", (F.col("n") + 1).alias("n"), "pos")
+    regions = opened.join(ends, ["file_id", "kind", "n"]).select("file_id", "pos", "last")
+    # the first opening behind each region's end
+    at = running_total(marks.groupBy("file_id", "pos").agg(F.max(F.col("opens").cast("bigint")).alias("opens")),
+                       ["file_id"], "pos", F.col("opens"), "number")
+    starts = at.filter("opens = 1").select("file_id", "number", F.col("pos").alias("next"))
+    behind = regions.join(at.select("file_id", F.col("pos").alias("last"), (F.col("number") + 1).alias("number")), ["file_id", "last"])
+    steps = behind.join(starts, ["file_id", "number"], "left")
+    met = reached(steps, ["file_id"], "pos", "next")
+    return regions.join(met, ["file_id", "pos"]).select(
+        "file_id", F.explode(F.sequence(F.col("pos") + 1, F.col("last"))).alias("pos"))
+
+
+def _tails(rows: DataFrame) -> DataFrame:
+    """(file_id, pos, tail): rows that are no tags, put together for the tag before each run of them."""
+    ranked = dense_index(rows, ["file_id"], "pos", "i").withColumn("run", F.col("pos") - F.col("i"))
+    parts = F.array_sort(F.collect_list(F.struct("pos", "value")))
+    runs = ranked.groupBy("file_id", "run").agg(parts.alias("parts"))
+    return runs.select("file_id", (F.get("parts", F.lit(0))["pos"] - 1).alias("pos"),
+                       F.concat(F.lit("<"), F.array_join(F.transform("parts", lambda x: x["value"]), "<")).alias("tail"))
 
 
 def xml_leaves(files: DataFrame) -> DataFrame:
+    return tag_leaves(xml_tags(files))
+
+
+def tag_leaves(tags: DataFrame) -> DataFrame:
     """(file_id, record_no, leaf_no, is_record, leaf, text): every element of every record, in order.
 
     The record element itself is its first leaf.  The tag table and the result
     are written out: the texts are cut once, and what follows reads the leaves.
     """
-    tags = materialize(xml_tags(files))
+    tags = materialize(tags)
     step = F.col("opens").cast("bigint") - F.col("closes").cast("bigint")
     deep = running_total(tags, ["file_id"], "pos", step, "depth_after")
     depth = F.when(F.col("opens") & ~F.col("closes"), F.col("depth_after")) \

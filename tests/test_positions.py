@@ -64,3 +64,18 @@ def test_batches_are_bounded_and_keep_order(spark):
 def test_grid(spark):
     x, y = positions.grid_place(F.col("id"))
     assert [tuple(r) for r in spark.range(15).select(x, y).collect()][::14] == [(150, 150), (150, 245)]
+
+
+def test_walks(spark):
+    from tallygraph.operators import chains
+    rng, rows, want = random.Random(3), [], set()
+    for g, n in (("a", 200), (None, 57), ("b", 1), ("c", 3)):
+        to = [rng.choice([None, *range(p + 1, min(p + 9, n + 2))]) if rng.random() < 0.05 else min(p + rng.randrange(1, 6), n + 1) for p in range(n)]
+        rows += [(g, p, to[p]) for p in range(n)]
+        p = 0
+        while p is not None and p < n:
+            want.add((g, p))
+            p = to[p]
+    got = chains.reached(spark.createDataFrame(rows, "g string, p bigint, t bigint"), ["g"], "p", "t").collect()
+    assert len(got) == len(want) and {(r.g, r.p) for r in got} == want
+    assert chains.reached(spark.createDataFrame([], "p bigint, t bigint"), [], "p", "t").count() == 0

@@ -146,6 +146,54 @@ def test_xml_nested_same_name_without_body_in_small_blocks(spark, monkeypatch):
     assert [(r.record_no, r.text) for r in sorted(leaves, key=lambda r: r.leaf_no) if r.leaf == "x"] == [(i, str(i)) for i in range(5)]
 
 
+ODD_XML = ("\ufeff<?xml version='1.0'?>\n<!DOCTYPE M>\n<!-- <Body> <R/> --><M xmlns:m='urn:x'><Body>"
+           "<R><A>a <!-- <B>no</B> --> z</A><B><![CDATA[p <!-- <q> --> s <?x?> ]]> t &amp;amp; <![CDATA[<u>]]></B><?go <R/> ?></R>"
+           "<!-- <![CDATA[ --><m:S v='a>b'><A><![CDATA[]]></A><!-- ]]> -->tail<E/></m:S>"
+           "<R><A><![CDATA[ --> <!-- ]]> &lt;</A><B>x</B></R><!-- a <b> <!-- c <d> --><R><A>1</A></R></Body><Z/></M>\n")
+
+
+def test_xml_marks_inside_marks(spark):
+    """Comments, CDATA and instructions that hold each other's marks, against the standard library."""
+    import re
+    import xml.etree.ElementTree as ET
+    body = next(e for e in ET.fromstring(ODD_XML.replace("<!-- a <b> <!-- c <d> -->", "<!-- a <b> < !- c <d> -->").lstrip("\ufeff").encode()))
+    want = [(i, re.sub("^.*}", "", e.tag), e.text or "") for i, record in enumerate(body) for e in record.iter() if e.tag != "A"]
+    leaves = xml_records.xml_leaves(spark.createDataFrame([(1, ODD_XML)], "file_id bigint, text string"))
+    got = [(r.record_no, r.leaf, r.text) for r in leaves.orderBy("leaf_no").collect()]
+    assert [x for x in got if x[1] != "A"] == want
+    assert [x[2] for x in got if x[1] == "A"] == ["a  z", "", " --> <!--  <", "1"]
+
+
+@pytest.mark.parametrize("width", [None, "700"])
+def test_xml_read_in_splits(spark, tmp_path, width):
+    """A file cut anywhere gives the rows of the file as one text, many tasks read it."""
+    middle = ODD_XML[ODD_XML.index("<R>"):ODD_XML.index("</Body>")]
+    texts = {"odd.xml": ODD_XML, "long.xml": ODD_XML.replace(middle, middle * 12), "plain.xml": "<root>" + "<A><x>1</x>y</A>" * 30 + "</root>",
+             "none.xml": "", "text.xml": "no tag"}
+    for name, body in texts.items():
+        (tmp_path / name).write_text(body, encoding="utf-8")
+    if width:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", width)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        lines = spark.read.option("lineSep", "<").text(str(tmp_path))
+        assert not width or lines.rdd.getNumPartitions() > 4
+        tags = xml_records.read_tags(spark, str(tmp_path))
+        got = sorted((r.file_id.rsplit("/", 1)[1], r.record_no, r.leaf_no, r.is_record, r.leaf, r.text)
+                     for r in xml_records.tag_leaves(tags).collect())
+    finally:
+        for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+            spark.conf.unset(key)
+    whole = xml_records.xml_leaves(spark.createDataFrame(list(texts.items()), "file_id string, text string")).collect()
+    want = {}
+    for r in sorted(whole, key=lambda r: r.leaf_no):
+        want.setdefault(r.file_id, []).append((r.record_no, r.is_record, r.leaf, r.text))
+    mine = {}
+    for name, no, _, first, leaf, text in got:
+        mine.setdefault(name, []).append((no, first, leaf, text))
+    assert mine == want and len(want["long.xml"]) == 12 * len(want["odd.xml"])
+
+
 def test_metadata_objects_and_names(spark, column):
     text = "Справочник.Люди Документ.Счет Справочник.Люди Константа.Курс1 Іваненко Петро Петрович і Іваненко Петро Петрович"
     got = catalog.metadata_objects(spark.createDataFrame([(1, text)], "file_id int, text string")).orderBy("pos").collect()
