@@ -320,8 +320,10 @@ def ios_apps(lookups: DataFrame) -> DataFrame:
 
 
 def _is_app(v: Column) -> Column:
-    kind = F.coalesce(F.try_variant_get(v, "$.@type", "string"), F.try_variant_get(v, "$.type", "string"), F.lit(""))
-    return kind.contains("Application") | F.try_variant_get(v, "$.aggregateRating", "variant").isNotNull()
+    """An object that calls itself an application, or has a rating whatever it is."""
+    fields = v.try_cast("map<string,variant>")
+    kind = F.coalesce(blank_to_null(F.try_variant_get(v, "$.@type", "string")), F.try_variant_get(v, "$.type", "string"), F.lit(""))
+    return F.coalesce(F.map_contains_key(fields, "aggregateRating"), F.lit(False)) | (fields.isNotNull() & kind.contains("Application"))
 
 
 def _first_node(nodes: Column, read) -> Column:
@@ -336,7 +338,7 @@ def android_apps(captured: DataFrame) -> DataFrame:
     """Captured store pages (url, html): JSON-LD first, then patterns over the page."""
     html = F.coalesce("html", F.lit(""))
     read = captured.select("url", html.alias("html"), text.visible_text(html).alias("shown"),
-                           F.filter(web.jsonld_objects(html), _is_app).alias("nodes"))
+                           web.jsonld_first(html, _is_app).alias("nodes"))
     page, shown, nodes = F.col("html"), F.col("shown"), F.col("nodes")
 
     def price(v: Column) -> Column:

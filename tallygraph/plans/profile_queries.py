@@ -233,8 +233,8 @@ def company_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 IOS_BODY = """case when p_partkey % 3 = 0 and cc = 'ua' then '{"resultCount":0,"results":[]}' else concat('{"resultCount":1,"results":[{"trackName":"', p_name, '","sellerName":"', p_brand,
   '","averageUserRating":', cast(p_partkey % 5 as string), '.456,"userRatingCount":', cast(p_partkey as string), ',"version":"', cast(p_partkey as string), '.1","currentVersionReleaseDate":"2026-07-04T10:00:00Z",',
   case when p_partkey % 2 = 0 then '"formattedPrice":"$1",' else '"price":0.0,' end, '"primaryGenreName":"Finance","fileSizeBytes":"160731136","contentAdvisoryRating":"4+","languageCodesISO2A":["EN","UK"]}]}') end"""
-ANDROID_PAGE = """concat('<html><script type="application/ld+json">{"@type":"SoftwareApplication","name":"', p_name, '","author":{"@type":"Person","name":"', p_brand, '"},"aggregateRating":{"ratingValue":"4.',
-  cast(p_partkey % 10 as string), '56","ratingCount":"1,', lpad(cast(p_partkey % 1000 as string), 3, '0'), '"},"offers":[{"price":"', case when p_partkey % 2 = 0 then '0' else '2.5' end, '","priceCurrency":"USD"}],"applicationCategory":"FINANCE"}</script>',
+ANDROID_PAGE = """concat('<html><script type="application/ld+json">', case when p_partkey % 4 = 3 then '[[{"@type":"WebPage","name":"page","isPartOf":{"@graph":[{"mainEntity":' else '' end, '{"@type":"SoftwareApplication","name":"', p_name, '","author":{"@type":"Person","name":"', p_brand, '"},"aggregateRating":{"ratingValue":"4.',
+  cast(p_partkey % 10 as string), '56","ratingCount":"1,', lpad(cast(p_partkey % 1000 as string), 3, '0'), '"},"offers":[{"price":"', case when p_partkey % 2 = 0 then '0' else '2.5' end, '","priceCurrency":"USD"}],"applicationCategory":"FINANCE"}', case when p_partkey % 4 = 3 then '}]}}], 1]' else '' end, '</script>',
   '<div>', cast(p_partkey % 90 + 1 as string), 'M+</div><div class="x">Downloads</div><div>Updated on</div><div>Jun 30, 2026</div>[[["2.', cast(p_partkey as string), '.6"]],[[[35 <div>Size: 45 MB</div>Rated for ', cast(p_partkey % 18 as string), '+</html>')"""
 
 

@@ -249,21 +249,25 @@ def blocked_fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------------------- structured data
 JSONLD_PAGE = ("concat('https://shop.example.com/c', cast(c_custkey as string)) as url",
-               "concat('<html><script type=\"application/ld+json\">', case c_custkey % 6 "
+               "concat('<html><script type=\"application/ld+json\">', case c_custkey % 8 "
                "when 0 then concat('{\"@type\":[\"Corporation\",\"Thing\"],\"name\":\"', c_name, '\",\"telephone\":\"+1\"}') "
                "when 1 then concat('{\"@type\":\"Person\",\"legalName\":\"', c_name, '\"}') "
                "when 2 then concat('[{\"@type\":\"Product\",\"name\":\"', c_name, '\"},{\"@type\":\"Event\",\"name\":\"E', cast(c_custkey as string), '\"}]') "
                "when 3 then concat('{\"@graph\":[{\"@type\":\"Place\",\"name\":\"', c_name, '\"},{\"@type\":\"X\"}],\"name\":\"G\"}') "
-               "when 4 then '{broken' else concat('{\"@type\":\"Offer\",\"name\":\"', c_name, '\",\"url\":\"https://x.y/', cast(c_custkey as string), '\"}') end, "
+               "when 4 then '{broken' "
+               "when 6 then concat('[[{\"@graph\":[{\"@graph\":[{\"@graph\":[[{\"@type\":\"Person\",\"name\":\"', c_name, '\"}]],\"name\":\"Deep\"}]}]}], 7]') "
+               "when 7 then concat('{\"@type\":\"WebPage\",\"mainEntity\":{\"name\":\"unlisted\"},\"name\":\"', c_name, '\"}') "
+               "else concat('{\"@type\":\"Offer\",\"name\":\"', c_name, '\",\"url\":\"https://x.y/', cast(c_custkey as string), '\"}') end, "
                "'</script></html>') as html")
 
 
-@query("jsonld_entities", """SELECT url, entity, title, value FROM (SELECT 'https://shop.example.com/c' || c_custkey AS url, unnest(CASE c_custkey % 6
+@query("jsonld_entities", """SELECT url, entity, title, value FROM (SELECT 'https://shop.example.com/c' || c_custkey AS url, unnest(CASE c_custkey % 8
     WHEN 0 THEN [{'entity': 'organization', 'title': c_name, 'value': 'telephone=+1'}]
     WHEN 1 THEN [{'entity': 'person', 'title': c_name, 'value': ''}]
     WHEN 2 THEN [{'entity': 'product', 'title': c_name, 'value': ''}, {'entity': 'event', 'title': 'E' || c_custkey, 'value': ''}]
     WHEN 3 THEN [{'entity': 'place', 'title': c_name, 'value': ''}, {'entity': 'thing', 'title': 'G', 'value': ''}]
-    WHEN 4 THEN [] ELSE [{'entity': 'product', 'title': c_name, 'value': 'url=https://x.y/' || c_custkey}] END, recursive := true)
+    WHEN 4 THEN [] WHEN 6 THEN [{'entity': 'person', 'title': c_name, 'value': ''}, {'entity': 'thing', 'title': 'Deep', 'value': ''}]
+    WHEN 7 THEN [{'entity': 'webpage', 'title': c_name, 'value': ''}] ELSE [{'entity': 'product', 'title': c_name, 'value': 'url=https://x.y/' || c_custkey}] END, recursive := true)
   FROM customer)""")
 def jsonld_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = web.jsonld_entities(derived(spark, sf_dir, "customer", *JSONLD_PAGE))

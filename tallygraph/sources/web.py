@@ -153,31 +153,71 @@ def jsonld_blocks(html: Column) -> Column:
     return F.transform(text.extract_all(html, fx.JSONLD, 1, "is"), text.strip)
 
 
-def _elements(v: Column) -> Column:
-    return F.coalesce(v.try_cast("array<variant>"), F.array(v))
-
-
 def _text(v: Column, path: str) -> Column:
     return blank_to_null(F.try_variant_get(v, path, "string"))
 
 
-def _with_graph(objects: Column, depth: int = 2) -> Column:
-    """Each object after the objects of its ``@graph``, ``depth`` graphs deep."""
-    def unfold(v: Column) -> Column:
-        graph = F.try_variant_get(v, "$.@graph", "array<variant>")
-        inner = _with_graph(graph, depth - 1) if depth > 1 else graph
-        return F.concat(F.coalesce(inner, F.array().cast("array<variant>")), F.array(v))
-    return F.flatten(F.transform(objects, unfold))
+_NODES = "array<struct<path:array<int>,v:variant>>"
+
+
+def walk_nodes(start: Column, children, levels: Column) -> Column:
+    """``start`` (array of variants) and all that is reached by ``children``, as array<struct<path, v>>.
+
+    Level by level inside the row, ``levels`` times at most, so neither depth nor width has
+    a limit of its own.  ``path`` holds the number of the start and, negated, of each child:
+    in its order a node comes before what is below it, and later children come first.
+    """
+    def below(node: Column) -> Column:
+        return F.transform(children(node["v"]), lambda v, i: F.struct(
+            F.concat(node["path"], F.array(-i)).alias("path"), v.alias("v")))
+
+    def step(state: Column, _: Column) -> Column:
+        ahead = F.flatten(F.transform(state["ahead"], below)).cast(_NODES)
+        return F.struct(ahead.alias("ahead"), F.concat(state["seen"], state["ahead"]).cast(_NODES).alias("seen"))
+
+    first = F.transform(start, lambda v, i: F.struct(F.array(i).alias("path"), v.alias("v"))).cast(_NODES)
+    zero = F.struct(first.alias("ahead"), F.array().cast(_NODES).alias("seen"))
+    return F.aggregate(F.array_repeat(F.lit(0), levels), zero, step, lambda s: F.concat(s["seen"], s["ahead"]))
+
+
+def _count_of(raw: Column, marks: str) -> Column:
+    """How often any of the marks stands in a text: no JSON is deeper than its opening brackets."""
+    return F.char_length(raw) - F.char_length(F.translate(raw, marks, ""))
+
+
+def _no_variants() -> Column:
+    return F.array().cast("array<variant>")
+
+
+def _listed(v: Column) -> Column:
+    """Items of a list, or the list under ``@graph``."""
+    return F.coalesce(v.try_cast("array<variant>"), F.try_variant_get(v, "$.@graph", "array<variant>"), _no_variants())
+
+
+def _contained(v: Column) -> Column:
+    """Items of a list, or the values of an object, by name."""
+    return F.coalesce(v.try_cast("array<variant>"), F.map_values(v.try_cast("map<string,variant>")), _no_variants())
 
 
 def jsonld_objects(html: Column) -> Column:
-    """Objects of all valid blocks, lists and ``@graph`` members unfolded."""
-    parsed = F.filter(F.transform(jsonld_blocks(html), F.try_parse_json), lambda v: v.isNotNull())
-    return _with_graph(F.flatten(F.transform(parsed, _elements)))
+    """Objects of all valid blocks, in lists and ``@graph`` lists of any depth."""
+    return let(jsonld_blocks(html), lambda blocks: F.transform(
+        walk_nodes(F.filter(F.transform(blocks, F.try_parse_json), lambda v: v.isNotNull()), _listed,
+                   _count_of(F.array_join(blocks, ""), "[")), lambda n: n["v"]))
+
+
+def jsonld_first(html: Column, wanted) -> Column:
+    """Of each valid block the first node, at any depth, that ``wanted`` accepts."""
+    def of_block(raw: Column) -> Column:
+        parsed = F.filter(F.array(F.try_parse_json(raw)), lambda v: v.isNotNull())
+        good = F.filter(walk_nodes(parsed, _contained, _count_of(raw, "[{")), lambda n: wanted(n["v"]))
+        return F.get(F.array_sort(good, lambda a, b: F.when(a["path"] < b["path"], -1).when(a["path"] > b["path"], 1).otherwise(0)),
+                     F.lit(0))["v"]
+    return F.filter(F.transform(jsonld_blocks(html), of_block), lambda v: v.isNotNull())
 
 
 def jsonld_entities(pages: DataFrame) -> DataFrame:
-    """Entities of JSON-LD blocks: anything with a name or a legal name."""
+    """Entities of JSON-LD blocks, at any depth of lists and graphs: anything with a name or a legal name."""
     objects = pages.select("url", F.explode(jsonld_objects(F.col("html"))).alias("o"))
     kind = F.coalesce(_text(F.col("o"), "$.@type[0]"), _text(F.col("o"), "$.@type"))
     name = F.coalesce(_text(F.col("o"), "$.name"), _text(F.col("o"), "$.legalName"))
