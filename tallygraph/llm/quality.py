@@ -40,21 +40,22 @@ def with_words(df: DataFrame, text: str, out: str) -> DataFrame:
     return df.withColumn(out, F.array_remove(F.split(F.coalesce(F.col(text), F.lit("")), BLANKS), ""))
 
 
-def base_counts(df: DataFrame, text: str, words: str) -> DataFrame:
+def word_hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def base_counts(df: DataFrame, text: str, words: str, hashes: str) -> DataFrame:
     """``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words`` and ``base_failed``."""
     body = F.coalesce(F.col(text), F.lit(""))
-    plain = body
-    for symbol in SYMBOLS:
-        plain = F.replace(plain, F.lit(symbol), F.lit(""))
     df = df.withColumn("_lines", F.filter(F.split(body, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     # three-word windows, by 64-bit hash; only texts that repeat one are sorted
     df = df.withColumn("_t", F.transform(
-        F.slice(words, F.lit(1), F.greatest(F.size(words) - F.lit(2), F.lit(0))),
-        lambda w, i: F.xxhash64(w, F.get(F.col(words), i + F.lit(1)), F.get(F.col(words), i + F.lit(2)))))
+        F.slice(hashes, F.lit(1), F.greatest(F.size(hashes) - F.lit(2), F.lit(0))),
+        lambda h, i: F.xxhash64(h, F.get(F.col(hashes), i + F.lit(1)), F.get(F.col(hashes), i + F.lit(2)))))
     df = df.withColumn("_s", F.when(
         F.size("_t") > F.size(F.array_distinct("_t")),
-        F.array_sort(F.transform("_t", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
-    df = df.withColumn("_at", F.array_sort(F.filter(
+        F.sort_array(F.transform("_t", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
+    df = df.withColumn("_at", F.sort_array(F.filter(
         F.transform("_s", lambda x, i: F.when((x["h"] == F.get(F.col("_s"), i - F.lit(1))["h"])
                                               | (x["h"] == F.get(F.col("_s"), i + F.lit(1))["h"]), x["i"])),
         lambda x: x.isNotNull())))
@@ -64,20 +65,18 @@ def base_counts(df: DataFrame, text: str, words: str) -> DataFrame:
     df = df.withColumns({
         "n_words": F.size(words).cast("bigint"),
         "word_chars": F.char_length(F.array_join(words, "")).cast("bigint"),
-        "n_symbols": (F.octet_length(body) - F.octet_length(plain)).cast("bigint"),
+        "n_symbols": (F.size(F.split(body, f"[{SYMBOLS}]")) - F.lit(1)).cast("bigint"),
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint"),
         "n_repeat_words": F.coalesce(covered, F.lit(0)).cast("bigint")})
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return df.withColumn("base_failed", failed).drop("_lines", "_t", "_s", "_at")
 
 
-def grams(words: Column, buckets: int = BUCKETS) -> Column:
-    """Bucket of every word and of every pair of neighbours."""
-    last = F.size(words) - F.lit(1)
-    pairs = F.zip_with(F.slice(words, F.lit(1), F.greatest(last, F.lit(0))),
-                       F.slice(words, F.lit(2), F.greatest(last, F.lit(0))), lambda a, b: F.xxhash64(a, b))
-    return F.transform(F.concat(F.transform(words, lambda w: F.xxhash64(w)), pairs),
-                       lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
+def grams(hashes: Column, buckets: int = BUCKETS) -> Column:
+    """Bucket of every word and of every pair of neighbours, from the hashes of the words."""
+    last = F.greatest(F.size(hashes) - F.lit(1), F.lit(0))
+    pairs = F.zip_with(F.slice(hashes, F.lit(1), last), F.slice(hashes, F.lit(2), last), lambda a, b: F.xxhash64(a, b))
+    return F.transform(F.concat(hashes, pairs), lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
 
 
 def ratios(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
@@ -86,9 +85,11 @@ def ratios(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     trusted = (labels.select(labels[key].alias("key"), labels[label].alias("label")).filter("key is not null")
                .groupBy("key").agg((F.max("label") == 1).cast("int").alias("trusted")).hint("shuffle_hash"))
     rows = docs.select(docs[key].alias("key"), docs[text].alias("text")).join(trusted, "key", "left")
-    rows = with_words(rows, "text", "w").select(grams(F.col("w"), buckets).alias("g"), F.coalesce("trusted", F.lit(0)).alias("t"))
-    counts = (rows.select(F.explode("g").alias("g"), "t").groupBy("g")
-              .agg(F.count(F.lit(1)).alias("raw"), F.sum("t").alias("target")))
+    rows = with_words(rows, "text", "w").withColumn("h", word_hashes(F.col("w")))
+    rows = rows.select(grams(F.col("h"), buckets).alias("g"), F.coalesce("trusted", F.lit(0)).alias("t"))
+    # outer, as Spark would else filter on the size of grams below the join and make them twice
+    counts = (rows.select(F.explode_outer("g").alias("g"), "t").groupBy("g")
+              .agg(F.count(F.lit(1)).alias("raw"), F.sum("t").alias("target")).filter("g is not null"))
     table = {r["g"]: (r["raw"], r["target"]) for r in counts.collect()}     # at most one row per bucket
     return _ratios(table, buckets, smoothing)
 
@@ -109,10 +110,11 @@ def _ratios(table: dict[int, tuple[int, int]], buckets: int, smoothing: float) -
 def judged(docs: DataFrame, table: list[int], text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """All columns of ``docs`` in ``record``, the base counts, ``llr_sum`` (millionths), ``n_grams`` and ``kept``."""
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("record"), docs[text].alias("_text"))
-    rows = base_counts(with_words(rows, "_text", "_words"), "_text", "_words")
+    rows = with_words(rows, "_text", "_words").withColumn("_hashes", word_hashes(F.col("_words")))
+    rows = base_counts(rows, "_text", "_words", "_hashes")
     values = F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")      # folded to one literal
-    rows = rows.withColumn("_g", grams(F.col("_words"), len(table)))
+    rows = rows.withColumn("_g", grams(F.col("_hashes"), len(table)))
     rows = rows.withColumns({"n_grams": F.size("_g").cast("bigint"), "llr_sum": F.aggregate(
         "_g", F.lit(0).cast("bigint"), lambda acc, g: acc + F.get(values, g))})
     good = F.col("llr_sum") >= F.lit(round(threshold * UNIT)) * F.col("n_grams")
-    return rows.withColumn("kept", ~F.col("base_failed") & good).drop("_text", "_words", "_g")
+    return rows.withColumn("kept", ~F.col("base_failed") & good).drop("_text", "_words", "_hashes", "_g")
