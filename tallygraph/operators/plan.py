@@ -9,7 +9,7 @@ from tallygraph import fixed as fx
 from tallygraph.functions.numbers import lookup
 from tallygraph.operators import ledger
 from tallygraph.operators.actors import is_filled
-from tallygraph.operators.positions import first_per_group
+from tallygraph.operators.positions import bounded_batches, first_per_group, ranked
 from tallygraph.session import no_rows, small_table, union_all
 
 LEG_TYPE = f"array<struct<actor_ref:string,account_name:string,amount:{ledger.AMOUNT}>>"
@@ -181,6 +181,21 @@ def op_totals(ops: DataFrame) -> DataFrame:
     return ops.groupBy("op").agg(F.count(F.lit(1)).alias("n"))
 
 
+def batches(ops: DataFrame, max_bytes: int = fx.BATCH_BYTES) -> DataFrame:
+    """(op, place, op_bytes, batch, op_json): serialised ops of each kind in order, cut where a batch is full."""
+    order = ["obj", "pos", "ord", "ref", "source_ref", "target_ref"]
+    listed = ops.select("op", *order, op_json(ops).alias("op_json"))
+    placed = ranked(listed, ["op"], order, "place").select("op", "place", "op_json")
+    return bounded_batches(placed, ["op"], "place", F.char_length("op_json"), max_bytes)
+
+
+def batch_totals(batched: DataFrame) -> DataFrame:
+    """Per kind of op: ops, batches and the bytes of its largest batch."""
+    per_batch = batched.groupBy("op", "batch").agg(F.count(F.lit(1)).alias("n"), F.sum("op_bytes").alias("bytes"))
+    return per_batch.groupBy("op").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("batches"),
+                                       F.max("bytes").alias("largest_batch"))
+
+
 def first_ops(ops: DataFrame, limit: int = fx.FIRST_OPS) -> DataFrame:
     return in_dependency_order(ops).limit(limit)
 

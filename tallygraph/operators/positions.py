@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallygraph import fixed as fx
+from tallygraph.operators.chains import reached
+from tallygraph.session import materialize
 
 BLOCK = 65_536
 PRUNED_LIMIT = 1000     # up to here Spark trims row_number groups before the shuffle
@@ -60,17 +62,53 @@ def first_per_group(df: DataFrame, group: list[str], order: list[str], cap: int)
     return df.withColumn("_rn", F.row_number().over(whole)).filter(F.col("_rn") <= cap).drop("_rn")
 
 
+def ranked(df: DataFrame, group: list[str], order: list[str], out: str) -> DataFrame:
+    """Zero-based place of each row in its group by columns of any sortable kind.
+
+    Rows are dealt by ranges of (group, order) and written once, sorted; a place is the
+    row's number in its part behind the rows of the group's earlier parts.  ``order``
+    must tell all rows of a group apart, or equal rows get their places in any order.
+    """
+    whole = F.struct(*group) if group else F.struct(F.lit(0).alias("all"))
+    ranged = df.withColumn("_key", whole).repartitionByRange("_key", *order).sortWithinPartitions("_key", *order)
+    rows = materialize(ranged.withColumn("_seen", F.monotonically_increasing_id())) \
+        .withColumn("_part", F.expr("shiftright(_seen, 33)"))
+    before = Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (rows.groupBy("_key", "_part").agg(F.min("_seen").alias("_first"), F.count(F.lit(1)).alias("_n"))
+             .select("_key", "_part", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+    return (rows.join(parts, ["_key", "_part"]).withColumn(out, F.col("_before") + F.col("_seen") - F.col("_first"))
+            .drop("_key", "_part", "_seen", "_first", "_before"))
+
+
 def bounded_batches(ops: DataFrame, group: list[str], pos: str, size: Column,
                     max_bytes: int = fx.BATCH_BYTES) -> DataFrame:
-    """Batch number of each op: ops whose first byte falls in the same ``max_bytes`` slot.
+    """``op_bytes`` and the ``batch`` number of each op: a batch closes with the op that fills it.
 
-    A batch is below ``max_bytes`` plus its last op, the bound of closing a
-    batch at the first op that fills it; the cut points need no sequential scan.
+    Exactly the batches of a sequential pass.  Of running sums each op knows the op that
+    would start the next batch if it started one: the first at least ``max_bytes`` behind,
+    looked for in the slot of ``max_bytes`` where it must lie, else in the next slot that has
+    one.  The batches that are real are those that a walk from the first op reaches; each
+    slot holds at most one start.  ``pos`` is the op's place in its group.
     """
-    sized = ops.withColumn("op_bytes", size.cast("bigint"))
-    summed = running_total(sized, group, pos, F.col("op_bytes"), "_end")
-    start = F.col("_end") - F.col("op_bytes")
-    return summed.withColumn("batch", F.floor(start / F.lit(max_bytes)).cast("bigint")).drop("_end")
+    whole = F.struct(*group) if group else F.struct(F.lit(0).alias("all"))
+    summed = running_total(ops.withColumn("op_bytes", size.cast("bigint")), group, pos, F.col("op_bytes"), "_end")
+    rows = materialize(summed.withColumn("_start", F.col("_end") - F.col("op_bytes")).drop("_end"))
+    slot = F.floor(F.col("x") / F.lit(max_bytes)).cast("bigint").alias("slot")
+    starts = rows.select(whole.alias("grp"), F.col(pos).alias("at"), F.col("_start").alias("x"), F.lit(1).alias("is_op"))
+    sought = starts.select("grp", "at", (F.col("x") + max_bytes).alias("x"), F.lit(0).alias("is_op"))
+    both = starts.unionByName(sought).select("*", slot)
+    ahead = Window.partitionBy("grp", "slot").orderBy("x", "is_op", "at").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    op = F.when(F.col("is_op") == 1, F.struct(F.col("at").alias("to"), F.col("slot").alias("to_place")))
+    found = both.withColumn("next", F.first(op, ignorenulls=True).over(ahead)).filter("is_op = 0")
+    later = Window.partitionBy("grp").orderBy("slot").rowsBetween(1, Window.unboundedFollowing)
+    slots = both.groupBy("grp", "slot").agg(F.min_by(op, F.when(F.col("is_op") == 1, F.col("at"))).alias("own")) \
+        .select("grp", "slot", F.first("own", ignorenulls=True).over(later).alias("later"))
+    steps = found.join(slots, ["grp", "slot"]).select(
+        "grp", "at", (F.col("slot") - 1).alias("place"), F.coalesce("next", "later").alias("n")).select("grp", "at", "place", "n.*")
+    met = reached(steps, ["grp"], "at", "to", "place", "to_place").select("grp", F.col("at").alias(pos), F.lit(1).alias("_begins"))
+    marked = rows.withColumn("grp", whole).join(met, ["grp", pos], "left")
+    return running_total(marked, group, pos, F.coalesce("_begins", F.lit(0)).cast("bigint"), "batch") \
+        .withColumn("batch", F.col("batch") - 1).drop("grp", "_start", "_begins")
 
 
 def grid_place(index: Column) -> tuple[Column, Column]:

@@ -569,15 +569,28 @@ def namespaced_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shells.join(named, "pos").select(keys.namespaced_ref(F.col("p_name"), F.col("ref")).alias("gref"))
 
 
-@query("bounded_batches", f"""WITH o AS (SELECT event_id AS pos, event_type AS stage, length(event_type) + length(props) + 100 AS op_bytes FROM events),
-  s AS (SELECT *, sum(op_bytes) OVER (PARTITION BY stage ORDER BY pos) - op_bytes AS start FROM o)
-  SELECT stage, floor(start / 20000)::BIGINT AS batch, count(*) AS ops, sum(op_bytes)::BIGINT AS bytes, min(pos) AS first_pos FROM s GROUP BY ALL""")
+@query("op_batches")
+def op_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every kind of op of the whole stream in batches as a sequential pass closes them."""
+    return plan.batch_totals(plan.batches(star_base(spark, sf_dir).op_stream(), 20000))
+
+
+@query("bounded_batches", f"""WITH RECURSIVE {SQL_REFS.strip()}, {SQL_LINKS.strip()}, o AS (SELECT name AS stage, length('{{"op":"create_link","source_ref":"","target_ref":"","name":"","dedup":false}}')
+      + length(source_ref) + length(target_ref) + length(name) AS op_bytes, row_number() OVER (PARTITION BY name ORDER BY left(source_ref, 2), source_pos) - 1 AS pos FROM placed),
+  s AS (SELECT *, sum(op_bytes) OVER (PARTITION BY stage ORDER BY pos) - op_bytes AS start FROM o),
+  b AS (SELECT DISTINCT stage, 0 AS batch, 0::HUGEINT AS start, 0 AS pos FROM s UNION ALL
+    SELECT b.stage, b.batch + 1, min(s.start), min(s.pos) FROM b JOIN s ON s.stage = b.stage AND s.start >= b.start + 20000 GROUP BY b.stage, b.batch)
+  SELECT s.stage, batch::BIGINT AS batch, count(*) AS ops, sum(op_bytes)::BIGINT AS bytes, b.pos::BIGINT AS first_pos
+  FROM s ASOF JOIN b ON s.stage = b.stage AND s.pos >= b.pos GROUP BY ALL""".replace("FROM placed", """FROM (
+    SELECT source_ref, target_ref, name, coalesce(c1.c_custkey, c2.s_suppkey, c4.n_nationkey, d1.o_orderkey) AS source_pos FROM links LEFT JOIN c1 ON c1.ref = source_ref
+      LEFT JOIN c2 ON c2.ref = source_ref LEFT JOIN c4 ON c4.ref = source_ref LEFT JOIN d1 ON d1.ref = source_ref)"""))
 def bounded_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ops = table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("pos"), F.col("event_type").alias("stage"), "props")
-    size = F.char_length("stage") + F.char_length("props") + 100
-    return positions.bounded_batches(ops, ["stage"], "pos", size, 20000).groupBy("stage", "batch").agg(
-        F.count(F.lit(1)).alias("ops"), F.sum("op_bytes").alias("bytes"), F.min("pos").alias("first_pos"))
+    """Link ops of the base, in stream order and by the name of the link."""
+    links = plan.op_stream([plan.link_ops(star_base(spark, sf_dir).links())])
+    listed = links.select(F.col("name").alias("stage"), "obj", "pos", "ord", "source_ref", plan.op_json(links).alias("op_json"))
+    placed = positions.ranked(listed, ["stage"], ["obj", "pos", "ord", "source_ref"], "place")
+    return positions.bounded_batches(placed, ["stage"], "place", F.char_length("op_json"), 20000).groupBy("stage", "batch").agg(
+        F.count(F.lit(1)).alias("ops"), F.sum("op_bytes").alias("bytes"), F.min("place").alias("first_pos"))
 
 
 @query("grid_layout", """WITH n AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS n FROM customer)

@@ -125,9 +125,10 @@ def _inside_regions(tokens: DataFrame) -> DataFrame:
     at = running_total(marks.groupBy("file_id", "pos").agg(F.max(F.col("opens").cast("bigint")).alias("opens")),
                        ["file_id"], "pos", F.col("opens"), "number")
     starts = at.filter("opens = 1").select("file_id", "number", F.col("pos").alias("next"))
-    behind = regions.join(at.select("file_id", F.col("pos").alias("last"), (F.col("number") + 1).alias("number")), ["file_id", "last"])
-    steps = behind.join(starts, ["file_id", "number"], "left")
-    met = reached(steps, ["file_id"], "pos", "next")
+    own = at.select("file_id", "pos", F.col("number").alias("place"))
+    behind = at.select("file_id", F.col("pos").alias("last"), (F.col("number") + 1).alias("number"))
+    steps = regions.join(own, ["file_id", "pos"]).join(behind, ["file_id", "last"]).join(starts, ["file_id", "number"], "left")
+    met = reached(steps, ["file_id"], "pos", "next", "place", "number")
     return regions.join(met, ["file_id", "pos"]).select(
         "file_id", F.explode(F.sequence(F.col("pos") + 1, F.col("last"))).alias("pos"))
 

@@ -49,16 +49,53 @@ def test_small_caps_are_trimmed_before_the_shuffle(skewed):
     assert "WindowGroupLimit" in plan and plan.index("WindowGroupLimit") < plan.rindex("Exchange hashpartitioning")
 
 
-def test_batches_are_bounded_and_keep_order(spark):
-    rng = random.Random(3)
-    ops = [("s", i, rng.randrange(1, 400)) for i in range(2000)]
-    df = spark.createDataFrame(ops, "g string, p bigint, n int")
-    got = sorted(positions.bounded_batches(df, ["g"], "p", F.col("n"), 1000).collect(), key=lambda r: r.p)
-    assert [r.batch for r in got] == sorted(r.batch for r in got)
-    sizes = {}
-    for r in got:
-        sizes[r.batch] = sizes.get(r.batch, 0) + r.n
-    assert max(sizes.values()) < 1000 + 400 and sum(sizes.values()) == sum(n for _, _, n in ops)
+def closed_one_by_one(sizes, limit):
+    batch, filled, out = 0, 0, []
+    for n in sizes:
+        if filled >= limit:
+            batch, filled = batch + 1, 0
+        out.append(batch)
+        filled += n
+    return out
+
+
+@pytest.mark.parametrize("limit", [1, 350, 1000, 10 ** 9])
+def test_batches_equal_closing_one_after_the_other(spark, limit):
+    rng = random.Random(limit)
+    sizes = {"s": [rng.randrange(1, 400) for _ in range(700)], None: [rng.choice([0, 1, 3, 5000]) for _ in range(150)], "one": [7],
+             "big": [2000] * 9, "tail": [1] * 40}
+    df = spark.createDataFrame([(g, i, n) for g, all_ in sizes.items() for i, n in enumerate(all_)], "g string, p bigint, n int")
+    got = {}
+    for r in sorted(positions.bounded_batches(df, ["g"], "p", F.col("n"), limit).collect(), key=lambda r: r.p):
+        got.setdefault(r.g, []).append((r.batch, r.op_bytes))
+    assert got == {g: list(zip(closed_one_by_one(all_, limit), all_)) for g, all_ in sizes.items()}
+
+
+def test_ranked(skewed):
+    rows, df = skewed
+    got = sorted(((str(r.g), r.place), (r.v, r.p)) for r in positions.ranked(df, ["g"], ["v", "p"], "place").collect())
+    by = {}
+    for g, p, v in rows:
+        by.setdefault(str(g), []).append((v, p))
+    assert got == sorted(((g, i), x) for g, xs in by.items() for i, x in enumerate(sorted(xs)))
+
+
+def test_batches_of_a_whole_op_stream(spark):
+    """Sizes and cuts of every kind of op, over the whole stream of the base."""
+    from tallygraph.operators import plan
+    from tallygraph.plans.star import star_base
+    rows = plan.batches(star_base(spark, "/root/testdata/sf0.001").op_stream(), 20_000)
+    by, totals = {}, {r.op: (r.n, r.batches, r.largest_batch) for r in plan.batch_totals(rows).collect()}
+    for r in sorted(rows.collect(), key=lambda r: r.place):
+        by.setdefault(r.op, []).append(r)
+    assert len(by) == 5
+    for op, ops in by.items():
+        assert [r.place for r in ops] == list(range(len(ops)))
+        assert [r.batch for r in ops] == closed_one_by_one([len(r.op_json) for r in ops], 20_000)
+        filled = {}
+        for r in ops:
+            filled[r.batch] = filled.get(r.batch, 0) + len(r.op_json)
+        assert totals[op] == (len(ops), len(filled), max(filled.values()))
 
 
 def test_grid(spark):
