@@ -280,6 +280,37 @@ def test_apply_batches_adds_nothing_twice(spark, tmp_path, rounds):
     assert spark.read.parquet(sink).count() == 4
 
 
+def test_a_batch_reads_its_buckets_only(spark, tmp_path):
+    from tallygraph.streaming import ingest
+    sink = str(tmp_path / "out")
+    for i, (low, high) in enumerate([(0, 300), (297, 303)]):
+        src = str(tmp_path / f"in{i}")
+        spark.range(low, high).selectExpr("concat('r', id) as ref", "id").write.parquet(src)
+        ops = ingest.read_op_files(spark, src, "ref string, id bigint")
+        ingest.apply_batches(ops, sink, str(tmp_path / f"state{i}"), buckets=64).awaitTermination()
+    stored = spark.read.parquet(sink)
+    assert stored.count() == 303 and stored.select("bucket").distinct().count() > 50
+    keys = ingest.stored_keys(spark, sink, stored.drop("bucket").schema, [3, 9])
+    plan = keys._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "bucket" in plan.split("PartitionFilters")[1].split("]")[0]
+    assert len(keys.inputFiles()) and {r.bucket for r in keys.collect()} == {3, 9}
+
+
+def test_state_expires(spark, tmp_path):
+    """A repeat within the time is dropped, one that comes long after it passes; state holds the recent only."""
+    from tallygraph.streaming import ingest
+    src, state, sink = str(tmp_path / "in"), str(tmp_path / "state"), str(tmp_path / "out")
+    for day, refs in [(1, "aab"), (2, "bc"), (20, "d"), (21, "ae")]:
+        rows = [(r, f"2026-01-{day:02d}") for r in refs]
+        spark.createDataFrame(rows, "ref string, d string").selectExpr("ref", "cast(d as timestamp) as at").coalesce(1).write.mode("append").parquet(src)
+        ops = ingest.read_op_files(spark, src, "ref string, at timestamp")
+        query = ingest.load(ingest.once_per_ref(ops, event_time="at", expiry="5 days"), sink, state)
+        query.awaitTermination()
+    assert sorted((r.ref, r.at.day) for r in spark.read.parquet(sink).collect()) == [("a", 1), ("a", 21), ("b", 1), ("c", 2), ("d", 20), ("e", 21)]
+    left = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert left[-1] <= 3
+
+
 def test_xml_text_is_decoded_once(spark):
     from tallygraph.sources import xml_records
     body = ("<M><Body><R><A v=\"a>b\" w='/>'>one &amp;lt; &#1040;&#x1F600; &apos;q&apos; &#38;gt; &#55296;</A>"
