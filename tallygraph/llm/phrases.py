@@ -4,6 +4,7 @@
    numbered by frequency, and writes each shard's words with their counts and the
    Burrows-Wheeler transform of its ids, the suffixes ordered by their first ``depth`` words.
 2. Word counts are summed; words below ``least`` stand in no phrase that is searched for.
+   A word is known by the first shard and number that has it.
 3. Level by level, a shard finds the intervals of the phrases known to be frequent and
    extends them.  To the left: the ids in front of an interval, counted, are the longer
    phrases, and the rank of an id gives their interval.  To the right: the interval of a
@@ -43,6 +44,7 @@ from tallygraph.session import materialize, union_all
 DEPTH = 5               # words of the longest phrase
 BITS = 21
 SHARD = (1 << BITS) - 64            # ids of a shard; a position, an id and a phrase number fit in 63 bits
+TASK_BITS = 12          # shards of one task: 4096, of about 2 million ids each
 RANGE_IDS = 4_000_000   # ids of all shards for each range that sums their counts
 READ_CHARS = 4 << 20    # characters of text read at once
 READ_BYTES = 8 << 20    # bytes of a longer text read at once
@@ -57,7 +59,11 @@ _LOW = (1 << BITS) - 1
 
 READ = "block bigint, local int, lang string, word string, n bigint, bwt binary"
 MESSAGE = "rng bigint, block bigint, prefixes binary, suffixes binary, counts binary"
-ANSWER = "block bigint, step int, prefix bigint, suffix bigint, gid bigint, n bigint"
+# Phrases known to be frequent, packed: of a shard, or of all shards (negative block) with their counts.
+ANSWER = "block bigint, step int, prefixes binary, suffixes binary, gids binary, counts binary"
+KNOWN = ANSWER + ", gid bigint, lang string, word string, n bigint"
+FOUND = "step int, prefix bigint, suffix bigint, gid bigint, n bigint"
+TOLD_ROWS = 1_000_000   # words of a task that are packed together
 
 _ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
 
@@ -103,7 +109,7 @@ class _Reader:
     """Texts of one task as rows of shards."""
 
     def __init__(self, task: int, depth: int, size: int):
-        self.next_block, self.depth, self.size = task << 32, depth, size
+        self.next_block, self.depth, self.size = task << TASK_BITS, depth, size
         self.numbers: dict[str, dict[bytes, int]] = {}
         self.names: list[tuple[str, bytes]] = [("", b"")]
         self.held: list[np.ndarray] = []
@@ -181,6 +187,15 @@ def _bwt(ids: np.ndarray, depth: int) -> np.ndarray:
     return ids[order - 1]
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """64-bit numbers byte by byte, all lowest first: bytes that hardly change shrink to nothing in a shuffle."""
+    return values.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _from_planes(parts: list[bytes]) -> np.ndarray:
+    return np.concatenate([np.frombuffer(x, np.uint8).reshape(8, -1).T.copy().view("<i8").ravel() for x in parts])
+
+
 def _packed(ids: np.ndarray) -> bytes:
     """Three planes of bytes; ids go by frequency, so the upper ones are mostly zero."""
     return b"".join((ids >> shift & 255).astype(np.uint8).tobytes() for shift in (0, 8, 16))
@@ -260,12 +275,14 @@ class _Phrases:
 def _extend(step: int, ranges: int):
     """Counts of the phrases of ``step`` words in one shard, from the answers on all shorter ones."""
     def run(shard: pa.Table, answers: pa.Table) -> pa.Table:
+        if not shard.num_rows:
+            return _table(MESSAGE, [[]] * 5)
         of_step = [answers.filter(pc.equal(answers.column("step"), k)) for k in range(1, step)]
-        if not shard.num_rows or not of_step[-1].num_rows:
+        if not of_step[-1].num_rows:
             return _table(MESSAGE, [[]] * 5)
         index, known = _Index(shard.column("bwt")[0].as_py()), None
         for rows in of_step:
-            prefix, suffix, gid = (rows.column(c).to_numpy() for c in ("prefix", "suffix", "gid"))
+            prefix, suffix, gid = (_from_planes(rows.column(c).to_pylist()) for c in ("prefixes", "suffixes", "gids"))
             if known is None:
                 known = _Phrases(gid, prefix, *index.start(prefix))
             else:
@@ -278,7 +295,7 @@ def _extend(step: int, ranges: int):
         rng = rng[order]
         begin = np.flatnonzero(np.diff(rng, prepend=-1))
         cuts = list(zip(begin, np.append(begin[1:], len(rng))))
-        columns = [[x[order[a:b]].tobytes() for a, b in cuts] for x in (prefix, suffix, counts)]
+        columns = [[_planes(x[order[a:b]]) for a, b in cuts] for x in (prefix, suffix, counts)]
         return _table(MESSAGE, [rng[begin], [shard.column("block")[0].as_py()] * len(cuts), *columns])
     return run
 
@@ -287,9 +304,8 @@ def _sum(step: int, least: int):
     """Phrases of a range that reach ``least``: once for all (negative block), and once for each shard that has them."""
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         blocks = rows.column("block").to_numpy()
-        prefix, suffix, counts = (np.concatenate([np.frombuffer(x, np.int64) for x in rows.column(c).to_pylist()])
-                                  for c in ("prefixes", "suffixes", "counts"))
-        block = np.repeat(blocks, [len(x) // 8 for x in rows.column("counts").to_pylist()])
+        prefix, suffix, counts = (_from_planes(rows.column(c).to_pylist()) for c in ("prefixes", "suffixes", "counts"))
+        sender = np.repeat(np.arange(len(blocks)), [len(x) // 8 for x in rows.column("counts").to_pylist()])
         order = np.lexsort((suffix, prefix))
         p, s = prefix[order], suffix[order]
         fresh = np.ones(len(p), bool)
@@ -297,19 +313,58 @@ def _sum(step: int, least: int):
         begin = np.flatnonzero(fresh)
         total = np.add.reduceat(counts[order], begin)
         hit = total >= least
-        number = (key[0].as_py() << 32) + np.cumsum(hit) - 1
+        number = (key[0].as_py() << 32) + np.cumsum(hit) - 1        # of a phrase of this length
         group = np.cumsum(fresh) - 1
         told = np.flatnonzero(hit[group])
-        where = group[told]
-        at, whole = order[told], begin[hit]
-        n = len(at) + len(whole)
-        out = [np.concatenate([block[at], np.full(len(whole), -1 - key[0].as_py())]), np.full(n, step),
-               np.concatenate([prefix[at], p[whole]]), np.concatenate([suffix[at], s[whole]]),
-               np.concatenate([number[where], number[hit]]), np.concatenate([total[where], total[hit]])]
-        return _table(ANSWER, out)
+        to = sender[order[told]]
+        told = told[np.argsort(to, kind="stable")]
+        ends = np.cumsum(np.bincount(to, minlength=len(blocks)))
+        out = [[-1 - key[0].as_py(), step, *map(_planes, (p[begin[hit]], s[begin[hit]], number[hit], total[hit]))]]
+        for i, (a, b) in enumerate(zip(np.append(0, ends[:-1]), ends)):
+            if b > a:
+                at = told[a:b]
+                out.append([int(blocks[i]), step, *map(_planes, (p[at], s[at], number[group[at]])), None])
+        return _table(ANSWER, list(zip(*out)))
     return run
 
 
+def _tell_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Frequent words, each once, and their numbers in every shard, packed."""
+    def packed(held: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held)
+        block, local, gid = (rows.column(c).to_numpy() for c in ("block", "local", "gid"))
+        order = np.lexsort((local, block))
+        cuts = np.flatnonzero(np.diff(block[order], prepend=-1))
+        out = []
+        for a, b in zip(cuts, np.append(cuts[1:], len(order))):
+            at = order[a:b]
+            out.append([int(block[at[0]]), 1, _planes(local[at].astype(np.int64)), _planes(np.zeros(len(at))), _planes(gid[at]), None])
+        once = rows.filter(pc.is_valid(rows.column("word")))
+        none = pa.nulls(once.num_rows)
+        words = [none] * 6 + [once.column(c) for c in ("gid", "lang", "word", "n")]
+        columns = [*map(list, zip(*out)), *[[None] * len(out)] * 4]
+        names = [c.split()[0] for c in KNOWN.split(", ")]
+        table = _table(KNOWN, columns)
+        return [*table.to_batches(), *pa.table(words, names=names).cast(table.schema).to_batches()]
+
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= TOLD_ROWS:
+            yield from packed(held)
+            held, size = [], 0
+    if size:
+        yield from packed(held)
+
+
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            packed = [_from_planes([row[c]]) for c in ("prefixes", "suffixes", "gids", "counts")]
+            yield from _table(FOUND, [np.full(len(packed[0]), row["step"]), *packed]).to_batches()
+
+
 def mine(docs: DataFrame, least: int = 100, depth: int = DEPTH, text: str = "text", lang: str = "lang",
          shard: int = SHARD, range_ids: int = RANGE_IDS) -> DataFrame:
     """Every phrase of 2 to ``depth`` words that occurs ``least`` times in a language.
@@ -323,28 +378,29 @@ def mine(docs: DataFrame, least: int = 100, depth: int = DEPTH, text: str = "tex
     read = materialize(named.mapInArrow(_reading(depth, shard), READ))
     words = read.filter("word is not null")
     totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
-    frequent = materialize(words.groupBy("lang", "word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-                           .withColumn("gid", F.monotonically_increasing_id()))
+    pair, same = (F.col("block") * (1 << BITS) + F.col("local")).alias("pair"), Window.partitionBy("lang", "word")
+    summed = words.select("block", "local", "lang", "word", F.sum("n").over(same).alias("n"), F.min(pair).over(same).alias("gid"), pair)
+    first = F.col("gid") == F.col("pair")
+    frequent = summed.filter(F.col("n") >= least).select(
+        "block", "local", "gid", *[F.when(first, F.col(c)).alias(c) for c in ("lang", "word", "n")])
+    known = materialize(frequent.mapInArrow(_tell_words, KNOWN))
     index = read.filter("bwt is not null").select("block", F.col("local").alias("sign"), "bwt")
     shards, size = index.agg(F.count(F.lit(1)), F.sum(F.octet_length("bwt"))).first()
     parts, ranges = max(1, shards), parts_for(size, 3 * range_ids)
-    found = materialize(union_all(_levels(index, words, frequent, depth, least, parts, ranges)))
-    return _described(found, frequent, totals, depth)
+    told = known.filter("word is null").select([c.split()[0] for c in ANSWER.split(", ")])
+    found = materialize(union_all(_levels(index, told, depth, least, parts, ranges)))
+    return _described(found.mapInArrow(_unpack, FOUND), known.filter("word is not null"), totals, depth)
 
 
-def _levels(index: DataFrame, words: DataFrame, frequent: DataFrame, depth: int, least: int, parts: int,
-            ranges: int) -> list[DataFrame]:
+def _levels(index: DataFrame, words: DataFrame, depth: int, least: int, parts: int, ranges: int) -> list[DataFrame]:
     """Frequent phrases of each length from 2, as one plan whose exchanges are shared by all levels."""
     dealt = index.repartition(parts, "block")
-    first = words.join(frequent.drop("n"), ["lang", "word"]).select(
-        F.col("block").alias("block"), F.lit(1).alias("step"), F.col("local").cast("bigint").alias("prefix"), F.lit(0).cast("bigint").alias("suffix"),
-        "gid", "n")
-    answers, found = [first.repartition(parts, "block")], []
+    answers, found = [words.repartition(parts, "block").drop("counts")], []
     for step in range(2, depth + 1):
         told = union_all(list(answers))
         messages = dealt.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_extend(step, ranges), MESSAGE)
         summed = messages.groupBy("rng").applyInArrow(_sum(step, least), ANSWER).repartition(parts, "block")
-        answers.append(summed.filter("block >= 0"))
+        answers.append(summed.filter("block >= 0").drop("counts"))
         found.append(summed.filter("block < 0"))
     return found
 
