@@ -92,12 +92,12 @@ def registry_merge(rows: DataFrame, given: DataFrame | None = None) -> DataFrame
         fact.alias("found_fact"), (fact | (F.coalesce("given_code", F.lit("")) != "")).alias("found"))
 
 
-def registry_snippets(rows: DataFrame) -> DataFrame:
-    """First five source texts of a company, 1400 characters each, with the source name."""
+def registry_snippets(rows: DataFrame, cap: int | None = None, limit: int = 0) -> DataFrame:
+    """Source texts of a company with the source name; the first ``limit``, ``cap`` characters each, if given."""
     named = rows.filter(F.col("text") != "").select(
         "company_id", "source_order",
-        F.concat(F.lit("["), "source", F.lit("] "), F.left("text", F.lit(fx.SNIPPET_CAP))).alias("snippet"))
-    return first_per_group(named, ["company_id"], ["source_order"], fx.SNIPPETS)
+        F.concat(F.lit("["), "source", F.lit("] "), F.left("text", F.lit(cap)) if cap else F.col("text")).alias("snippet"))
+    return first_per_group(named, ["company_id"], ["source_order"], limit)
 
 
 # ---------------------------------------------------------------- social channels
@@ -109,14 +109,17 @@ def _long(source: Column, pattern: str) -> Column:
     return extract(source, pattern, 1, "").try_cast("bigint")
 
 
-def social_profiles(captured: DataFrame) -> DataFrame:
-    """One row per captured social page (url, status, html), routed by platform."""
+def social_profiles(captured: DataFrame, cap: int | None = None) -> DataFrame:
+    """One row per captured social page (url, status, html), routed by platform.
+
+    Counts are looked for in the whole visible text; ``cap`` cuts the ``snippet`` that is shown.
+    """
     url = F.when(F.col("url").rlike("(?i)^https?://"), F.col("url")) \
         .otherwise(F.concat(F.lit("https://"), "url"))
     html = F.when(F.col("status") == 200, F.coalesce("html", F.lit(""))).otherwise("")
     read = captured.select(url.alias("url"), urls.platform_of(F.col("url")).alias("platform"),
                            web.is_blocked(F.col("status")).alias("blocked"), html.alias("html"))
-    read = read.withColumn("snippet", text.visible_text(F.col("html"), fx.PROFILE_SNIPPET))
+    read = read.withColumn("snippet", text.visible_text(F.col("html")))
     page, snippet, platform = F.col("html"), F.col("snippet"), F.col("platform")
 
     tg_handle = blank_to_null(F.regexp_replace(F.regexp_extract("url", fx.TELEGRAM_HANDLE, 1), "^@+", ""))
@@ -143,7 +146,8 @@ def social_profiles(captured: DataFrame) -> DataFrame:
     posts = (F.when(platform == "youtube", yt_posts).when(platform == "instagram", _count(about, fx.POSTS))
              .when(platform == "tiktok", F.coalesce(_long(page, fx.TIKTOK_HEARTS), _long(page, fx.TIKTOK_VIDEOS))))
     rows = read.select("url", "platform", "blocked", handle.alias("handle"), F.left(shown, F.lit(200)).alias("title"),
-                       subs.alias("subscribers"), posts.alias("posts"), "snippet")
+                       subs.alias("subscribers"), posts.alias("posts"),
+                       (F.left("snippet", F.lit(cap)) if cap else F.col("snippet")).alias("snippet"))
     bot = (platform == "telegram") & F.coalesce(F.lower("handle").endswith("bot"), F.lit(False))
     found = F.col("title").isNotNull()
     return rows.select(

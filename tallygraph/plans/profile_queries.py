@@ -118,10 +118,16 @@ def registry_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiles.registry_owners(_registry_rows(spark, sf_dir))
 
 
-@query("registry_snippets", """SELECT c_custkey AS company_id, '[mirror] USREOU ' || lpad(c_custkey::VARCHAR, 8, '7') || ', Коваль Олена - 90 %' AS snippet FROM customer""")
+@query("registry_snippets", """SELECT c_custkey AS company_id, 2 AS source_order, md5('[mirror] USREOU ' || lpad(c_custkey::VARCHAR, 8, '7') || ', Коваль Олена - 90 %' || repeat(' text of ' || c_name, 200)) AS snippet FROM customer
+  UNION ALL SELECT c_custkey, 10 + i, md5('[archive] ' || c_name || i) FROM customer, (VALUES (0), (1), (2), (3), (4), (5)) v(i)""")
 def registry_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = profiles.registry_snippets(_registry_rows(spark, sf_dir))
-    return found.filter(F.col("source_order") == 2).select("company_id", "snippet")
+    """All sources of a company, more than a report would show, and texts longer than it would."""
+    brief = _registry_rows(spark, sf_dir).filter("source = 'mirror'") \
+        .join(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("company_id"), "c_name"), "company_id") \
+        .select("company_id", "source_order", "source", F.concat("text", F.repeat(F.concat(F.lit(" text of "), "c_name"), 200)).alias("text"))
+    more = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("company_id"), "c_name", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("i")) \
+        .select("company_id", (F.col("i") + 10).alias("source_order"), F.lit("archive").alias("source"), F.concat("c_name", F.col("i").cast("string")).alias("text"))
+    return profiles.registry_snippets(brief.unionByName(more)).select("company_id", "source_order", F.md5("snippet").alias("snippet"))
 
 
 @query("person_names", """SELECT c_custkey, c_custkey % 5 IN (0, 1) AS is_person FROM customer""")
@@ -139,7 +145,7 @@ SOCIAL_URL = """element_at(array(concat('t.me/s/@chan', cast(p_partkey as string
 SOCIAL_PAGE = """concat('<html><head><meta property="og:title" content="', p_name, ' &amp; Co"><meta property="og:description" content="',
   case p_partkey % 7 when 2 then concat(cast(p_partkey % 900 + 1 as string), ',123 Followers, 5 Following, ', cast(p_partkey % 50 as string), ' Posts')
   when 4 then concat('Page. ', cast(p_partkey % 90 + 1 as string), '.5K people follow this') else 'none' end, '"></head><body>',
-  case p_partkey % 7 when 0 then concat('<div class="tgme_page_title" dir="auto"> <span dir="auto"><b>', p_brand, '</b> news</span></div><div class="tgme_page_extra">',
+  repeat('<p>lorem ipsum</p>', 200), case p_partkey % 7 when 0 then concat('<div class="tgme_page_title" dir="auto"> <span dir="auto"><b>', p_brand, '</b> news</span></div><div class="tgme_page_extra">',
     cast(p_partkey % 900 + 1 as string), ' 456 subscribers</div>')
   when 1 then concat('<script>{"subscriberCountText":{"accessibility":1,"simpleText":"', cast(p_partkey % 90 + 1 as string), '.25M subscribers"},"videosCountText":{"runs":[{"text":"',
     cast(p_partkey % 900 + 1 as string), ' videos"}]}}</script>')

@@ -22,10 +22,10 @@ def _sql_strip(expr: str) -> str:
     return f"trim(regexp_replace({expr}, '{fx.WS}+', ' ', 'g'))"
 
 
-def _sql_clean(html: str, cap: int) -> str:
+def _sql_clean(html: str) -> str:
     for tag in ("script", "style", "noscript", "svg"):
         html = f"regexp_replace({html}, '(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>', ' ', 'g')"
-    return f"left({_sql_strip(f'regexp_replace({html}, {chr(39)}<[^>]+>{chr(39)}, {chr(39)} {chr(39)}, {chr(39)}g{chr(39)})')}, {cap})"
+    return _sql_strip(f"regexp_replace({html}, '<[^>]+>', ' ', 'g')")
 
 
 SQL_TITLE = f"left({_sql_strip(f'regexp_extract(html, {chr(39)}(?is){fx.TITLE}{chr(39)}, 1)')}, 300)"
@@ -127,12 +127,43 @@ def discover(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------------------- page text
 @query("page_report", rf"""SELECT url, {SQL_TITLE} AS title, lower(regexp_extract(html, '{fx.PAGE_LANG.replace("'", "''")}', 1)) AS lang,
-  md5({_sql_clean('html', fx.TEXT_CAP)}) AS text_md5, length({_sql_clean('html', fx.TEXT_CAP)}) AS chars FROM pages""")
+  md5({_sql_clean('html')}) AS text_md5, length({_sql_clean('html')}) AS chars FROM pages""")
 def page_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return web.page_table(table(spark, sf_dir, "pages")).select(
         "url", "title", "lang", F.md5("text").alias("text_md5"), F.char_length("text").cast("bigint").alias("chars"))
 
 
+FIRM = "concat('Firm ', chr(cast(97 + s_suppkey % 26 as int)), chr(cast(97 + s_suppkey % 25 as int)))"
+CONTENTS_PAGE = ("concat('https://www.firm', cast(s_suppkey % 40 as string), '.com/s', cast(s_suppkey as string)) as url",
+                 f"concat('<html lang=\"en\"><head><title>', {FIRM}, '</title><script type=\"application/ld+json\">{{\"@type\":\"Bank\",\"name\":\"B', cast(s_suppkey % 40 as string), '\"}}</script>', "
+                 f"'<meta property=\"og:title\" content=\"', {FIRM}, '\"></head><body>', repeat(concat({FIRM}, ' '), 3000), '<a href=\"/about\">info@firm', cast(s_suppkey % 40 as string), '.com</a> ', "
+                 "'<a href=\"https://t.me/all\">x</a> <a href=\"https://shop.firm', cast(s_suppkey % 40 as string), '.com/b#x\">+994 12 555 ', lpad(cast(s_suppkey % 10000 as string), 4, '0'), '</a></body></html>') as html")
+SQL_CONTENTS = """c AS (SELECT *, s_suppkey % 40 AS k, 'https://www.firm' || (s_suppkey % 40) || '.com' AS site, 'Firm ' || chr((97 + s_suppkey % 26)::INT) || chr((97 + s_suppkey % 25)::INT) AS nm FROM supplier),
+  d AS (SELECT *, nm || ' ' || repeat(nm || ' ', 3000) || 'info@firm' || k || '.com x +994 12 555 ' || lpad((s_suppkey % 10000)::VARCHAR, 4, '0') AS body FROM c)"""
+
+
+@query("page_contents", f"""WITH {SQL_CONTENTS} SELECT site || '/s' || s_suppkey AS url, nm AS title, 'en' AS lang, md5(body) AS text_md5, length(body) AS chars,
+  'info@firm' || k || '.com' AS emails, 'https://t.me/all' AS socials, '+99412555' || lpad((s_suppkey % 10000)::VARCHAR, 4, '0') AS phones,
+  'https://shop.firm' || k || '.com/b ' || site || '/about' AS links, 'organization:B' || k || ' organization:' || nm AS entities FROM d""")
+def page_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lists = [F.array_join(c, " ").alias(c) for c in ("emails", "socials", "phones", "links")]
+    entities = F.array_join(F.transform("entities", lambda e: F.concat_ws(":", e["entity"], e["title"])), " ").alias("entities")
+    return web.page_report(derived(spark, sf_dir, "supplier", *CONTENTS_PAGE)).select(
+        "url", "title", "lang", F.md5("text").alias("text_md5"), "chars", *lists, entities)
+
+
+@query("crawl_contents", f"""WITH {SQL_CONTENTS} SELECT 'email' AS kind, 'info@firm' || k || '.com' AS value, NULL AS title, count(*) AS pages FROM d GROUP BY k UNION ALL
+  SELECT 'social', 'https://t.me/all', NULL, count(*) FROM d HAVING count(*) > 0 UNION ALL
+  SELECT 'phone', '+99412555' || lpad((s_suppkey % 10000)::VARCHAR, 4, '0'), NULL, count(*) FROM d GROUP BY s_suppkey % 10000 UNION ALL
+  SELECT 'link', 'https://shop.firm' || k || '.com/b', NULL, count(*) FROM d GROUP BY k UNION ALL SELECT 'link', site || '/about', NULL, count(*) FROM d GROUP BY site UNION ALL
+  SELECT 'entity', 'organization', 'B' || k, count(*) FROM d GROUP BY k UNION ALL SELECT 'entity', 'organization', nm, count(*) FROM d GROUP BY nm UNION ALL
+  SELECT 'error', site || '/s' || s_suppkey, (404 + s_suppkey % 2)::VARCHAR, 1 FROM d WHERE s_suppkey % 3 > 0 UNION ALL
+  SELECT 'text', site || '/s' || s_suppkey, body, 1 FROM d WHERE s_suppkey % 3 >= 0""")
+def crawl_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captured = derived(spark, sf_dir, "supplier", *CONTENTS_PAGE, "case when s_suppkey % 3 = 0 then 200 else 404 + s_suppkey % 2 end as status")
+    return web.crawl_contents(captured, web.page_report(captured))
+
+
 FETCHED = ("concat('  http', case when p_partkey % 2 = 0 then 's' else '' end, '://Shop', cast(p_partkey % 50 as string), "
            "'.example.com/p', cast(p_partkey as string), '/#top') as url",
            "case p_partkey % 5 when 0 then '' when 1 then concat('<title>Just a moment...</title>', p_name) "

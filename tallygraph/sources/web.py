@@ -12,10 +12,14 @@ from tallygraph import fixed as fx
 from tallygraph.functions import text, urls
 from tallygraph.functions.keys import schema_class
 from tallygraph.functions.text import blank_to_null, let
+from tallygraph.session import union_all
 
 
-def page_table(snapshot: DataFrame) -> DataFrame:
-    """Pages with clean text and title; text and title given in the snapshot are kept."""
+def page_table(snapshot: DataFrame, cap: int | None = None) -> DataFrame:
+    """Pages with clean text and title; text and title given in the snapshot are kept.
+
+    ``full_text`` is what everything else is computed from; ``cap`` cuts ``text``, for display.
+    """
     given = {c: F.col(c) if c in snapshot.columns else F.lit(None).cast("string")
              for c in ("html", "text", "title")}
     html = F.coalesce(given["html"], F.lit(""))
@@ -24,7 +28,46 @@ def page_table(snapshot: DataFrame) -> DataFrame:
         "url", html.alias("html"), full.alias("full_text"),
         F.coalesce(blank_to_null(given["title"]), text.title(html)).alias("title"),
         text.page_lang(html).alias("lang")) \
-        .withColumn("text", F.left("full_text", F.lit(fx.TEXT_CAP)))
+        .withColumn("text", F.left("full_text", F.lit(cap)) if cap else F.col("full_text"))
+
+
+def page_report(snapshot: DataFrame, cap: int | None = None) -> DataFrame:
+    """Everything found on a page, one row per page: title, language, text, contacts, links and entities.
+
+    All lists are made inside the page's row but entities, which come as rows and are put
+    together again by page; a repeated url is one page with the entities of all its rows.
+    """
+    pages = page_table(snapshot, cap)
+    body, html, url = F.col("full_text"), F.col("html"), F.col("url")
+    domain = urls.reg_domain(urls.host(url), strip_www=True)
+    on_site = F.filter(urls.resolve_links(url, _hrefs(html)), lambda k: (
+        k.rlike("^https?://") & (urls.reg_domain(urls.netloc(k), strip_www=True) == domain)))
+    read = pages.select("url", "title", "lang", "text", F.char_length("full_text").cast("bigint").alias("chars"),
+                        emails(body, html).alias("emails"), socials(html).alias("socials"), phones(body).alias("phones"),
+                        F.array_sort(F.array_distinct(on_site)).alias("links"))
+    found = structured_entities(pages).groupBy(F.col("source_url").alias("url")).agg(
+        F.array_sort(F.collect_list(F.struct("entity", "title"))).alias("entities"))
+    none = F.array().cast("array<struct<entity:string,title:string>>")
+    return read.join(found, "url", "left").withColumn("entities", F.coalesce("entities", none))
+
+
+def crawl_contents(log: DataFrame, reports: DataFrame) -> DataFrame:
+    """What a crawl brought, as rows (kind, value, title, pages): contacts, entities, links, errors and texts.
+
+    Equal finds are counted over their pages.  A find on a third of all pages is one partial
+    count per task, since pages are counted as rows: a page lists each find once.
+    """
+    def finds(kind: str, column: str) -> DataFrame:
+        return reports.select(F.lit(kind).alias("kind"), F.explode(column).alias("value"), F.lit(None).cast("string").alias("title"))
+
+    parts = [finds(kind, column) for kind, column in
+             (("email", "emails"), ("social", "socials"), ("phone", "phones"), ("link", "links"))]
+    entities = reports.select(F.lit("entity").alias("kind"), F.explode(F.array_distinct("entities")).alias("e")) \
+        .select("kind", F.col("e.entity").alias("value"), F.col("e.title").alias("title"))
+    failed = log.filter(F.coalesce(F.col("status") != 200, F.lit(True))).select(
+        F.lit("error").alias("kind"), F.col("url").alias("value"), F.col("status").cast("string").alias("title"))
+    shown = reports.select(F.lit("text").alias("kind"), F.col("url").alias("value"), F.col("text").alias("title"))
+    return union_all([*parts, entities, failed, shown]).groupBy("kind", "value", "title").agg(F.count(F.lit(1)).alias("pages"))
 
 
 def _hrefs(html: Column) -> Column:
@@ -66,15 +109,15 @@ def home_path_count(url: Column, html: Column) -> Column:
     return F.size(let(domain, paths)).cast("bigint")
 
 
-def business_links(url: Column, html: Column) -> Column:
-    """First same-origin links with a business keyword, in page order."""
+def business_links(url: Column, html: Column, cap: int | None = None) -> Column:
+    """Same-origin links with a business keyword, in page order; the first ``cap`` if one is given."""
     site = urls.origin(url)
     hrefs = F.filter(text.extract_all(html, fx.HREF), urls.is_followed)
     full = F.transform(urls.resolve_links(F.concat(site, F.lit("/")), hrefs),
                        lambda u: F.regexp_replace(u, "/+$", ""))
     kept = F.filter(full, lambda u: u.rlike("^https?://") & ((site == "") | u.startswith(site)))
     named = F.filter(F.array_distinct(kept), lambda u: u.rlike(f"(?iu){fx.BUSINESS_LINK}"))
-    return F.slice(named, 1, fx.LINK_CAP)
+    return F.slice(named, 1, cap) if cap else named
 
 
 def is_challenge(html: Column) -> Column:
@@ -85,22 +128,25 @@ def is_blocked(status: Column, company_site: bool = False) -> Column:
     return status.isin(fx.BLOCKED_STATUS_COMPANY if company_site else fx.BLOCKED_STATUS)
 
 
-def fetch_report(captured: DataFrame) -> DataFrame:
-    """Result of one page fetch: ok, text, title, links, size and the reason when not ok."""
+def fetch_report(captured: DataFrame, text_cap: int | None = None, link_cap: int | None = None) -> DataFrame:
+    """Result of one page fetch: ok, text, title, links, size and the reason when not ok.
+
+    Caps are for display; whether a page is empty is judged on the whole text.
+    """
     html = F.coalesce("html", F.lit(""))
     challenge = is_challenge(html)
     shown = (html != "") & ~challenge
     rows = captured.select(urls.normalize_url_strict(F.col("url")).alias("url"), html.alias("html"),
                            challenge.alias("challenge"), shown.alias("shown"))
     rows = rows.select(
-        "*", F.when(F.col("shown"), text.clean_text(F.col("html"), fx.FETCH_TEXT_CAP)).otherwise("").alias("text"))
+        "*", F.when(F.col("shown"), text.clean_text(F.col("html"), None)).otherwise("").alias("text"))
     err = (F.when(F.col("url") == "", "no url").when(F.col("html") == "", "empty content")
            .when(F.col("challenge"), "bot-challenge/interstitial (cloudflare)")
            .when(F.col("text") == "", "empty content").otherwise(""))
     return rows.select(
-        "url", (err == "").alias("ok"), "text",
+        "url", (err == "").alias("ok"), (F.left("text", F.lit(text_cap)) if text_cap else F.col("text")).alias("text"),
         F.when(F.col("shown"), text.title(F.col("html"))).otherwise("").alias("title"),
-        F.when(F.col("shown"), business_links(F.col("url"), F.col("html")))
+        F.when(F.col("shown"), business_links(F.col("url"), F.col("html"), link_cap))
         .otherwise(F.array().cast("array<string>")).alias("links"),
         F.char_length("html").alias("chars"), err.alias("err"))
 
