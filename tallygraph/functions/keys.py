@@ -57,8 +57,9 @@ def posting_id(*parts: Column) -> Column:
 
 
 def amount_text(amount: Column) -> Column:
-    """A decimal without trailing zeros but with at least one decimal: 2.0, 10.5, 0.125."""
-    return F.regexp_replace(amount.cast("string"), r"(\.[0-9]+?)0*$", "$1")
+    """A decimal with a fraction part, without trailing zeros but with at least one decimal: 2.0, 10.5, 0.125."""
+    short = F.rtrim(amount.cast("string"), F.lit("0"))
+    return F.when(short.endswith("."), F.concat(short, F.lit("0"))).otherwise(short)
 
 
 def name_prefix(name: Column) -> Column:

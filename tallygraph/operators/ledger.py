@@ -20,6 +20,7 @@ from tallygraph.sources.catalog import Register, TableObject
 AMOUNT, TOTAL = "decimal(28,10)", "decimal(38,10)"
 POSTINGS = ("obj int, pos bigint, ord int, ref string, currency string, account_name string, debit_ref string, "
             f"credit_ref string, amount {AMOUNT}, doc string, lineno string")
+FLOWS = f"currency string, account_name string, debit_ref string, credit_ref string, amount {TOTAL}, n bigint"
 LINES = (f"obj int, pos bigint, doc string, lineno string, amount {AMOUNT}, quantity {AMOUNT}, target string, "
          "target_name string")
 
@@ -31,9 +32,16 @@ def _expense(df: DataFrame, reg: Register):
     return F.coalesce(F.col("_RECORDKIND").cast("int") != 0, F.lit(False))
 
 
-def _resource_cells(reg: Register):
-    return F.array(*[F.struct(F.lit(i).alias("res"), F.lit(name).alias("account"),
-                              F.lit(kind).alias("kind"), F.col(col).cast(AMOUNT).alias("value"))
+def _text_of(df: DataFrame, column: str) -> Column:
+    """Absolute amount as text, from the column's own digits where it is a decimal with a fraction."""
+    kind = df.schema[column].dataType
+    plain = F.col(column) if kind.typeName() == "decimal" and kind.scale else F.col(column).cast(AMOUNT)
+    return amount_text(F.abs(plain))
+
+
+def _resource_cells(df: DataFrame, reg: Register):
+    return F.array(*[F.struct(F.lit(i).alias("res"), F.lit(name).alias("account"), F.lit(kind).alias("kind"),
+                              F.col(col).cast(AMOUNT).alias("value"), _text_of(df, col).alias("text"))
                      for i, (col, name, kind) in enumerate(reg.resources)])
 
 
@@ -43,10 +51,37 @@ def movements(df: DataFrame, reg: Register) -> DataFrame:
     kind = F.col("_RECORDKIND").cast("int") if reg.signed else F.lit(None).cast("int")
     return df.select(present_id(F.col(reg.dims[0][0])).alias("id"), F.col(ROW_INDEX).cast("bigint").alias("pos"),
                      _expense(df, reg).alias("expense"), F.coalesce(kind == 1, F.lit(False)).alias("negative"),
-                     currency.alias("currency_id"), _resource_cells(reg).alias("cells")) \
+                     currency.alias("currency_id"), _resource_cells(df, reg).alias("cells")) \
         .filter(F.col("id").isNotNull())
 
 
+def _with_money(moved: DataFrame, reg: Register, currencies: DataFrame | None) -> DataFrame:
+    """``money``, the name of the currency dimension."""
+    if reg.currency_dim and currencies is not None:
+        names = currencies.select(F.col("id").alias("currency_id"), F.col("name").alias("money"))
+        return moved.join(names, "currency_id", "left")
+    return moved.withColumn("money", F.lit(None).cast("string"))
+
+
+def _currency(kind: Column) -> Column:
+    return F.when(kind == "units", fx.UNIT_CURRENCY).otherwise(F.coalesce("money", F.lit(fx.MONEY_CURRENCY)))
+
+
+def register_flows(df: DataFrame, reg: Register, ids: DataFrame, currencies: DataFrame | None) -> DataFrame:
+    """The register's postings summed by their two accounts, as (FLOWS).
+
+    Movements are summed by raw ids first: ids and currencies are looked up once per sum.
+    """
+    cell = movements(df, reg).select("id", "currency_id", "expense", F.explode("cells").alias("c")).filter(F.col("c.value") != 0)
+    summed = cell.groupBy("id", "currency_id", "expense", F.col("c.account").alias("account_name"), F.col("c.kind").alias("kind")) \
+        .agg(F.sum(F.abs("c.value")).cast(TOTAL).alias("amount"), F.count(F.lit(1)).alias("n"))
+    named = _with_money(summed.join(ids.select("id", F.col("ref").alias("actor")), "id"), reg, currencies)
+    counter, actor = F.lit(reg.counter), F.col("actor")
+    return named.select(_currency(F.col("kind")).alias("currency"), "account_name",
+                        F.when(F.col("expense"), actor).otherwise(counter).alias("debit_ref"),
+                        F.when(F.col("expense"), counter).otherwise(actor).alias("credit_ref"), "amount", "n")
+
+
 def register_postings(df: DataFrame, reg: Register, ids: DataFrame,
                       currencies: DataFrame | None) -> DataFrame:
     """Every non-zero resource of a movement as a balanced transfer.
@@ -55,20 +90,14 @@ def register_postings(df: DataFrame, reg: Register, ids: DataFrame,
     dimension, an expense the other way; the amount is absolute.
     """
     moved = movements(df, reg).join(ids.select("id", F.col("ref").alias("actor")), "id")
-    if reg.currency_dim and currencies is not None:
-        moved = moved.join(currencies.select(F.col("id").alias("currency_id"), F.col("name").alias("money")),
-                           "currency_id", "left")
-    else:
-        moved = moved.withColumn("money", F.lit(None).cast("string"))
-    cell = (moved.select("pos", "actor", "expense", "money", F.explode("cells").alias("c"))
+    cell = (_with_money(moved, reg, currencies).select("pos", "actor", "expense", "money", F.explode("cells").alias("c"))
             .filter((F.col("c.value") != 0)))
     amount = F.abs("c.value")
-    currency = F.when(F.col("c.kind") == "units", fx.UNIT_CURRENCY) \
-        .otherwise(F.coalesce("money", F.lit(fx.MONEY_CURRENCY)))
+    currency = _currency(F.col("c.kind"))
     counter, actor = F.lit(reg.counter), F.col("actor")
     return cell.select(
         F.lit(reg.idx).alias("obj"), "pos", F.col("c.res").alias("ord"),
-        posting_id(F.lit(f"reg{reg.idx}"), actor, F.col("c.account"), F.col("pos"), amount_text(amount)).alias("ref"),
+        posting_id(F.lit(f"reg{reg.idx}"), actor, F.col("c.account"), F.col("pos"), F.col("c.text")).alias("ref"),
         currency.alias("currency"), F.col("c.account").alias("account_name"),
         F.when(F.col("expense"), actor).otherwise(counter).alias("debit_ref"),
         F.when(F.col("expense"), counter).otherwise(actor).alias("credit_ref"),
@@ -179,6 +208,38 @@ def document_lines(df: DataFrame, obj: TableObject, doc_ids: DataFrame,
                         target.alias("target"), name.alias("target_name"))
 
 
+def line_flows(df: DataFrame, obj: TableObject, doc_ids: DataFrame, catalog_ids: DataFrame) -> DataFrame:
+    """The line postings of a table summed by their two accounts, as (FLOWS).
+
+    Money is summed by the raw id of the document, quantity, of lines whose document is known,
+    by the raw ids of the line's references; only sums are looked up.
+    """
+    quantity = _first_of(df, obj, fx.QUANTITY_COLUMN)
+    refs = [c for c, _ in obj.refs if c != obj.parent_col and c in df.columns]
+    amount = F.abs(line_amount(df, _first_of(df, obj, fx.SUM_COLUMN)))
+    units = F.abs(F.col(quantity).cast(AMOUNT)) if quantity else F.lit(None).cast(AMOUNT)
+    lines = df.select(present_id(F.col(obj.parent_col)).alias("doc_id"), amount.alias("amount"), units.alias("units"),
+                      *[present_id(F.col(c)).alias(f"_t{i}") for i, c in enumerate(refs)])
+
+    def sums(rows: DataFrame, value: str, by: list[str]) -> DataFrame:
+        return rows.filter(F.col(value) != 0).groupBy(*by).agg(F.sum(value).cast(TOTAL).alias("amount"), F.count(F.lit(1)).alias("n"))
+
+    def flow(rows: DataFrame, currency: str, account: str) -> DataFrame:
+        return rows.select(F.lit(currency).alias("currency"), F.lit(account).alias("account_name"),
+                           F.lit(fx.DOCUMENT_COUNTER).alias("debit_ref"), F.col("ref").alias("credit_ref"), "amount", "n")
+
+    docs = doc_ids.select(F.col("id").alias("doc_id"), "ref")
+    money = flow(sums(lines, "amount", ["doc_id"]).join(docs, "doc_id"), fx.MONEY_CURRENCY, fx.DOCUMENT_ACCOUNT)
+    if not refs:
+        return money
+    targets = [f"_t{i}" for i in range(len(refs))]
+    known = sums(lines.join(docs.select("doc_id"), "doc_id", "left_semi"), "units", targets)
+    for i, t in enumerate(targets):
+        known = known.join(catalog_ids.select(F.col("id").alias(t), F.col("ref").alias(f"_r{i}")), t, "left")
+    found = known.withColumn("ref", F.coalesce(*[f"_r{i}" for i in range(len(refs))])).filter(F.col("ref").isNotNull())
+    return money.unionByName(flow(found, fx.UNIT_CURRENCY, fx.STOCK_ACCOUNT))
+
+
 def line_legs(lines: DataFrame) -> Column:
     """The two legs of a line: money to its document, quantity to its catalog target."""
     return F.array(
@@ -232,6 +293,23 @@ def balances(transfers: DataFrame) -> DataFrame:
         F.sum("signed").cast(TOTAL).alias("net"), F.count(F.lit(1)).alias("entries"))
 
 
+def flow_balances(flows: DataFrame) -> DataFrame:
+    """``balances`` of transfers that are summed by their two accounts already."""
+    none = F.lit(0).cast(TOTAL)
+    sides = F.array(F.struct(F.col("debit_ref").alias("actor_ref"), F.col("amount").alias("debit"), none.alias("credit")),
+                    F.struct(F.col("credit_ref").alias("actor_ref"), none.alias("debit"), F.col("amount").alias("credit")))
+    entry = flows.select("account_name", "currency", "n", F.explode(sides).alias("s")).select("account_name", "currency", "n", "s.*")
+    summed = entry.groupBy("actor_ref", "account_name", "currency").agg(
+        F.sum("debit").cast(TOTAL).alias("debit"), F.sum("credit").cast(TOTAL).alias("credit"), F.sum("n").alias("entries"))
+    return summed.select("actor_ref", "account_name", "currency", "debit", "credit",
+                         (F.col("credit") - F.col("debit")).cast(TOTAL).alias("net"), "entries")
+
+
+def accounts_of(balanced: DataFrame) -> DataFrame:
+    """``chart_of_accounts`` from balances, which have one row per account."""
+    return balanced.groupBy("account_name", "currency").agg(F.count(F.lit(1)).alias("accounts"))
+
+
 def violations(ops: DataFrame) -> DataFrame:
     """Transfer ops whose to-legs do not sum to their from-legs, compared inside the row."""
     def total(legs_of: str) -> Column:

@@ -114,6 +114,15 @@ class LandedBase:
     def transfers(self) -> DataFrame:
         return self.register_postings().unionByName(self.line_postings())
 
+    def balances(self) -> DataFrame:
+        """Debit, credit and net of every account: ``ledger.balances`` of all transfers, summed before any lookup."""
+        money, catalogs = self.currencies(), self.ids([o for o in self.objects if o.kind == "ref"])
+        parts = [ledger.register_flows(self.tables[r.phys], r, self.ids(), money) for r in self._active_registers()]
+        for v in self.lines:
+            owner = [o for o in self.objects if f"{o.phys}_IDRREF".upper() == v.parent_col]
+            parts.append(ledger.line_flows(self.tables[v.phys], v, self.ids(owner), catalogs))
+        return ledger.flow_balances(union_all(parts, empty=self._none(ledger.FLOWS)))
+
     def account_totals(self) -> DataFrame:
         return ledger.account_totals([(r, self.tables[r.phys]) for r in self.catalog.registers if r.dims],
                                      self.ids())

@@ -276,7 +276,7 @@ def line_target(spark: SparkSession, sf_dir: str) -> DataFrame:
   sum(CASE WHEN side = 'to' THEN amount ELSE 0 END)::DOUBLE AS credit,
   sum(CASE WHEN side = 'to' THEN amount ELSE -amount END)::DOUBLE AS net, count(*) AS entries FROM legs GROUP BY ALL""")
 def ledger_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = ledger.balances(star_base(spark, sf_dir).transfers())
+    found = star_base(spark, sf_dir).balances()
     return found.select("actor_ref", "account_name", "currency", "entries",
                         *[F.col(c).cast("double").alias(c) for c in ("debit", "credit", "net")])
 
@@ -338,7 +338,7 @@ def file_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("chart_of_accounts", SQL_LEGS + """, a AS (SELECT DISTINCT actor_ref, account_name, currency FROM legs)
   SELECT account_name, currency, count(*) AS accounts FROM a GROUP BY ALL""")
 def chart_of_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledger.chart_of_accounts(star_base(spark, sf_dir).transfers())
+    return ledger.accounts_of(star_base(spark, sf_dir).balances())
 
 
 @query("repeated_refs", SQL_TRANSFERS + """, stored AS (SELECT DISTINCT ref FROM reg)

@@ -212,3 +212,14 @@ def test_broken_legs_are_found(base):
     ops = plan.transfer_ops(base.transfers()).withColumn("to_legs", F.when(F.col("account_name") != "Сума", F.col("to_legs")))
     got = sorted(r.difference for r in ledger.violations(ops).collect())
     assert got == [Decimal("-10.5"), -3]
+
+
+def test_balances_summed_before_lookup_equal_those_of_transfers(base):
+    from tallygraph.operators import ledger
+    for one in (base, type(base)(base.spark, base.tables, base.catalog, scope=["counterparties"])):
+        rows = [sorted(map(str, df.select("actor_ref", "account_name", "currency", "debit", "credit", "net", "entries").collect()))
+                for df in (one.balances(), ledger.balances(one.transfers()))]
+        assert rows[0] == rows[1]
+        charts = [sorted(map(str, df.collect())) for df in (ledger.accounts_of(one.balances()), ledger.chart_of_accounts(one.transfers()))]
+        assert charts[0] == charts[1]
+    assert base.balances().count() > 3
