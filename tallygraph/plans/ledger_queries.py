@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from tallygraph import fixed as fx
 from tallygraph.functions import keys
 from tallygraph.operators import entities, inventory, ledger, links, plan, positions
+from tallygraph.operators.bases import Bases
 from tallygraph.operators.positions import dense_index, grid_place
 from tallygraph.plans.registry import query, table
 from tallygraph.plans.star import metadata_texts, star_base
+from tallygraph.session import small_table
 from tallygraph.sources import catalog
 from tallygraph.sources.sinks import landed_ops
 
@@ -146,6 +148,72 @@ def field_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.global_field_names(catalog.field_sightings(configs, catalog.metadata_entries(params)))
 
 
+# Two bases whose tables and field numbers clash: what is a segment in one is a kind in the other.
+BASE_NAMES = [("a", "Контрагенты", {11: "Сегмент", 12: "Страна"}), ("b", "Номенклатура", {11: "Вид", 12: "Марка"})]
+
+
+def _two_bases(spark: SparkSession, sf_dir: str) -> Bases:
+    def uuid(number: int) -> str:
+        return f"{number:08x}-0000-4000-8000-000000000000"
+
+    def rows(name: str, base: str, phys: str, index: str, *cells: str) -> DataFrame:
+        return table(spark, sf_dir, name).selectExpr(
+            f"'{base}' as base", f"'{phys}' as phys", f"cast({index} as bigint) as row_index", f"to_variant_object(named_struct({', '.join(cells)})) as data")
+
+    landing = rows("customer", "a", "_REFERENCE1", "c_custkey", "'_IDRREF', md5(concat('c', c_custkey))", "'_CODE', case when c_custkey % 7 = 0 then '' else lpad(cast(c_custkey as string), 6, '0') end",
+                   "'_DESCRIPTION', c_name", "'_FLD11', case when c_custkey % 5 = 0 then '' else c_mktsegment end", "'_FLD12RREF', md5(concat('n', c_nationkey))")
+    landing = landing.unionByName(rows("nation", "a", "_REFERENCE2", "n_nationkey", "'_IDRREF', md5(concat('n', n_nationkey))", "'_CODE', cast(n_nationkey as bigint)", "'_DESCRIPTION', n_name"))
+    landing = landing.unionByName(rows("part", "b", "_Reference1", "p_partkey", "'_IDRREF', case when p_partkey % 9 = 0 then repeat('0', 32) else md5(concat('c', p_partkey)) end", "'_CODE', p_partkey",
+                                       "'_DESCRIPTION', p_name", "'_FLD11', p_type", "'_FLD12', p_brand", "'_FLD13', p_size"))
+    texts = [(base, "1", 0, f'{{{uuid(1)},"Reference",1}}{{{uuid(2)},"Reference",2}}' + "".join(f'{{{uuid(f)},"Fld",{f}}}' for f in names)) for base, _, names in BASE_NAMES]
+    params = small_table(spark, texts, "base string, file string, file_no int, text string")
+    named = [(base, uuid(1), 0, f'{{1,"{title}",' + "".join(f'{{{uuid(f)},"{n}"}}' for f, n in names.items())) for base, title, names in BASE_NAMES]
+    configs = small_table(spark, named, "base string, file string, file_no int, text string")
+    columns = landing.select("base", "phys", F.explode(F.map_keys(F.col("data").try_cast("map<string,variant>"))).alias("column")).distinct()
+    columns = columns.withColumn("pos", F.coalesce(F.regexp_extract("column", "([0-9]+)", 1).try_cast("bigint"), F.lit(0)))
+    entries = catalog.metadata_entries(params, "base")
+    return Bases(landing, columns, entries, configs)
+
+
+SQL_BASES = """a AS (SELECT *, CASE WHEN c_custkey % 7 = 0 THEN 'c1-' || md5('c' || c_custkey) ELSE 'c1-' || lpad(c_custkey::VARCHAR, 6, '0') END AS ref FROM customer),
+  n AS (SELECT *, CASE WHEN n_nationkey = 0 THEN 'c2-' || md5('n0') ELSE 'c2-' || n_nationkey END AS ref FROM nation),
+  b AS (SELECT *, 'c1-' || CASE WHEN p_partkey = 0 THEN md5('c0') ELSE p_partkey::VARCHAR END AS ref FROM part WHERE p_partkey % 9 > 0)"""
+
+
+@query("many_bases_values", f"""WITH {SQL_BASES} SELECT 'a' AS base, ref, 'Сегмент' AS title, c_mktsegment AS value FROM a WHERE c_custkey % 5 > 0 UNION ALL
+  SELECT 'b', ref, 'Вид', p_type FROM b UNION ALL SELECT 'b', ref, 'Марка', p_brand FROM b UNION ALL SELECT 'b', ref, 'Поле13', p_size::VARCHAR FROM b""")
+def many_bases_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Field values of two bases at once; the standard columns are in ``many_bases_actors``."""
+    return _two_bases(spark, sf_dir).values().filter("item is not null and title not in ('Код', 'Наименование')").select("base", "ref", "title", "value")
+
+
+@query("many_bases_actors", f"""WITH {SQL_BASES} SELECT 'a' AS base, ref, 'tmpl_ref1' AS form_ref, c_name AS title, 'counterparties' AS cls,
+    CASE WHEN c_custkey % 7 = 0 THEN '' ELSE 'code=' || lpad(c_custkey::VARCHAR, 6, '0') || ' ' END || 'name=' || c_name AS std FROM a UNION ALL
+  SELECT 'a', ref, 'tmpl_ref2', n_name, 'catalogs', 'code=' || n_nationkey || ' name=' || n_name FROM n UNION ALL
+  SELECT 'b', ref, 'tmpl_ref1', p_name, 'nomenclature', 'code=' || p_partkey || ' name=' || p_name FROM b""")
+def many_bases_actors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    std = F.array_join(F.transform(F.map_entries("std"), lambda e: F.concat_ws("=", e["key"], e["value"])), " ")
+    return _two_bases(spark, sf_dir).actors().withColumn("std", std)
+
+
+@query("many_bases_links", f"""WITH {SQL_BASES} SELECT 'a' AS base, a.ref AS source_ref, n.ref AS target_ref, 'Страна' AS name FROM a JOIN n ON n_nationkey = c_nationkey""")
+def many_bases_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _two_bases(spark, sf_dir).links()
+
+
+@query("standard_fields", f"""WITH {SQL_REFS}, s AS (SELECT ref, 'code' AS key, lpad(c_custkey::VARCHAR, 9, '0') AS value FROM c1 WHERE c_custkey % 97 > 0 UNION ALL SELECT ref, 'name', c_name FROM c1 UNION ALL
+  SELECT ref, 'code', lpad(s_suppkey::VARCHAR, 9, '0') FROM c2 UNION ALL SELECT ref, 'name', s_name FROM c2 UNION ALL
+  SELECT ref, 'code', p_partkey::VARCHAR FROM c3 UNION ALL SELECT ref, 'name', p_name FROM c3 WHERE p_partkey % 89 > 0 UNION ALL
+  SELECT ref, 'code', lpad(n_nationkey::VARCHAR, 3, '0') FROM c4 UNION ALL SELECT ref, 'name', n_name FROM c4 UNION ALL
+  SELECT ref, 'code', lpad(r_regionkey::VARCHAR, 3, '0') FROM c5 UNION ALL SELECT ref, 'name', r_name FROM c5 UNION ALL
+  SELECT ref, 'code', o_orderstatus FROM c6 UNION ALL SELECT ref, 'name', name FROM c6 UNION ALL
+  SELECT ref, 'code', lpad(c_custkey::VARCHAR, 9, '0') FROM c7 UNION ALL SELECT ref, 'name', c_name FROM c7 UNION ALL
+  SELECT ref, 'number', o_orderkey::VARCHAR FROM d1 UNION ALL SELECT ref, 'date', strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') FROM d1 UNION ALL
+  SELECT ref, 'posted', CASE WHEN o_orderstatus = 'F' THEN 'true' ELSE 'false' END FROM d1) SELECT * FROM s""")
+def standard_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star_base(spark, sf_dir).actors().select("ref", F.explode("std").alias("key", "value"))
+
+
 @query("container_objects", """WITH t AS (SELECT s_suppkey AS file_id, i, CASE (s_suppkey + i) % 4 WHEN 0 THEN 'Справочник'
     WHEN 1 THEN 'Документ' WHEN 2 THEN 'РегистрНакопления' ELSE 'Константа' END AS kind_ru,
     'Объект' || (s_suppkey % 3 + i % 2) AS name FROM supplier, (VALUES (1), (2), (3), (4), (5)) v(i))

@@ -36,32 +36,33 @@ def coverage(entries: DataFrame) -> DataFrame:
             .groupBy("bucket", "type").agg(F.count(F.lit(1)).alias("n")))
 
 
-def field_sightings(configs: DataFrame, entries: DataFrame) -> DataFrame:
+def field_sightings(configs: DataFrame, entries: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """(file, file_no, pos, fld, name): a quoted name soon after a field's uuid in a config text.
 
-    ``configs`` has file, file_no, text.  Only entries of type Fld count.
+    ``configs`` has file, file_no, text.  Only entries of type Fld count.  ``by`` names
+    columns of both, as the base, that keep apart what must not mix.
     """
     rx = rf"(?s)({fx.UUID})(?=(.{{0,{fx.NAME_WINDOW}}}))"
     near = F.arrays_zip(F.regexp_extract_all("text", F.lit(rx), F.lit(1)).alias("uuid"),
                         F.regexp_extract_all("text", F.lit(rx), F.lit(2)).alias("window"))
-    seen = (configs.select("file", "file_no", F.posexplode(near).alias("pos", "s"))
-            .select("file", "file_no", "pos", F.col("s.uuid").alias("uuid"),
+    seen = (configs.select(*by, "file", "file_no", F.posexplode(near).alias("pos", "s"))
+            .select(*by, "file", "file_no", "pos", F.col("s.uuid").alias("uuid"),
                     blank_to_null(F.regexp_extract("s.window", fx.QUOTED_NAME, 1)).alias("name"))
             .filter(F.col("name").isNotNull()))
     fields = entries.filter(F.col("type") == "Fld") \
-        .groupBy("uuid").agg(F.max_by("number", "pos").alias("number"))
-    return (seen.join(fields, "uuid")
-            .select("file", "file_no", "pos", F.concat(F.lit("_FLD"), F.col("number")).alias("fld"), "name"))
+        .groupBy(*by, "uuid").agg(F.max_by("number", "pos").alias("number"))
+    return (seen.join(fields, [*by, "uuid"])
+            .select(*by, "file", "file_no", "pos", F.concat(F.lit("_FLD"), F.col("number")).alias("fld"), "name"))
 
 
-def global_field_names(sightings: DataFrame) -> DataFrame:
+def global_field_names(sightings: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Field -> name, the first sighting over all files wins."""
-    return sightings.groupBy("fld").agg(F.min_by("name", F.struct("file_no", "pos")).alias("name"))
+    return sightings.groupBy(*by, "fld").agg(F.min_by("name", F.struct("file_no", "pos")).alias("name"))
 
 
-def own_field_names(sightings: DataFrame) -> DataFrame:
+def own_field_names(sightings: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """(file, field) -> name inside one object's own text, the last sighting wins."""
-    return sightings.groupBy("file", "fld").agg(F.max_by("name", "pos").alias("name"))
+    return sightings.groupBy(*by, "file", "fld").agg(F.max_by("name", "pos").alias("name"))
 
 
 def metadata_objects(texts: DataFrame, key: str = "file_id", text: str = "text") -> DataFrame:
@@ -92,7 +93,7 @@ def field_title(column: Column, own: Column, shared: Column) -> Column:
     return F.when(number.isNull(), F.coalesce(own, column)).otherwise(F.coalesce(own, shared, generic))
 
 
-def classify_columns(columns: DataFrame) -> DataFrame:
+def classify_columns(columns: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Role of every physical column: field (numbered item_N), reference or skip.
 
     ``columns`` has kind, phys, pos, column, parent_col, own_name, shared_name.
@@ -112,11 +113,11 @@ def classify_columns(columns: DataFrame) -> DataFrame:
              .when(F.col("role") == "reference",
                    F.coalesce(lookup(fx.REFERENCE_TITLES, col), named))
              .when(F.col("role") == "field", named))
-    order = Window.partitionBy("phys", "role").orderBy("pos")
+    order = Window.partitionBy(*by, "phys", "role").orderBy("pos")
     item = F.when(F.col("role") == "field",
                   F.concat(F.lit("item_"), F.row_number().over(order).cast("string")))
     return (columns.withColumn("role", role).withColumn("title", title).withColumn("item", item)
-            .select("kind", "phys", "pos", "column", "role", "title", "item", "own_name", "shared_name"))
+            .select(*by, "kind", "phys", "pos", "column", "role", "title", "item", "own_name", "shared_name"))
 
 
 def resource_kind(name: Column) -> Column:
