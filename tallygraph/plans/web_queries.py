@@ -393,7 +393,7 @@ def bfs_order_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = derived(spark, sf_dir, "orders", "o_orderpriority as site", "concat('p', cast(o_custkey % 200 as string)) as url",
                     "concat('p', cast(o_orderkey % 200 as string)) as link")
     seeds = edges.select("site").distinct().select("site", F.lit("p0").alias("url"), F.lit(0).cast("bigint").alias("ord"))
-    return bfs_order(edges, seeds)
+    return bfs_order(edges, seeds, fx.PAGE_CAP)
 
 
 @query("text_functions", """SELECT p_partkey, p_name || ' & "' || p_brand || '" <' || p_type || '>' AS plain FROM part""")

@@ -133,6 +133,20 @@ def test_bfs_order_as_a_queue(spark):
         assert mine == _crawl(g, "p0", 25, {u for s, u in blocked if s == site}), site
 
 
+def test_bfs_order_without_a_cap(spark, monkeypatch):
+    """A chain longer than the levels that are kept apart, and a hub, taken whole."""
+    from tallygraph.operators import crawl
+    monkeypatch.setattr(crawl, "JOINED", 3)
+    graphs = {"chain": {f"p{i}": {f"p{i + 1}", "p0"} for i in range(7)}, "hub": {"p0": {f"p{i}" for i in range(300)}, "p7": {"q1", "q0"}}}
+    edges = [(s, a, b) for s, g in graphs.items() for a, bs in g.items() for b in bs]
+    got = bfs_order(spark.createDataFrame(edges, "site string, url string, link string"),
+                    spark.createDataFrame([(s, "p0", 0) for s in graphs], "site string, url string, ord bigint"), None).collect()
+    for site, g in graphs.items():
+        rows = sorted((r for r in got if r.site == site), key=lambda r: r.ord)
+        assert [r.ord for r in rows] == list(range(len(rows)))
+        assert [r.url for r in rows] == _crawl(g, "p0", 10 ** 6, set())
+
+
 # ---------------------------------------------------------------- files
 def test_formats(spark):
     cases = [("a.xml", b"zz", "xml", "xml"), ("a", b"<?xml v", "xml", "xml"), ("a.bin", b"1CDBMSV8", "1cd", "bin"), ("a.cfe", b"x", "cf", "cfe"),
