@@ -136,8 +136,7 @@ TEXT_GAP = "\n\n…[СЕРЕДИНУ ПРОПУЩЕНО, файл великий
 FILE_MAX_CHARS, FILE_MAX_KB, FILE_SAMPLE_ROWS = 16000, 5120, 60
 PDF_MAX_PAGES, PDF_KB_PER_PAGE = 30, 80
 CSV_DELIMITERS = ["\t", ";", ",", "|"]
-CSV_COLUMNS, JSON_ITEM_KEYS, JSON_KEYS, JSON_ITEM_CHARS = 20, 30, 40, 800
-XML_TAGS, XML_NODES = 30, 50000
+SAMPLED_NODES = 30      # above it a count of tags is called sampled
 
 # ---------------------------------------------------------------- web
 LANGUAGES = ["en", "ru", "uk", "az", "tr", "de", "fr", "es", "it", "pl", "ka", "ar", "zh", "fa"]
@@ -185,9 +184,7 @@ SCHEMA_CLASSES = [("organization", ["organization", "corporation", "localbusines
                   ("product", ["product", "offer"]), ("place", ["place", "postaladdress"])]
 OG_ORGANIZATION_TYPES = ["website", "business.business"]
 HOME_SECTION, HOME_LABEL = "home", "головна"
-PAGE_CAP, TEXT_CAP, FETCH_TEXT_CAP, TITLE_CAP, LINK_CAP = 25, 40 * 1024, 60000, 300, 25
-DESCRIPTION_CAP, SNIPPET_CAP, SNIPPETS, PROFILE_SNIPPET = 500, 1400, 5, 1600
-SITEMAP_CANDIDATES, SITEMAP_CHILDREN = 3, 3
+PAGE_CAP, TITLE_CAP, DESCRIPTION_CAP = 25, 300, 500
 
 # ---------------------------------------------------------------- numbers and dates
 # multiplier -> pattern, first match wins; single Cyrillic letters do not multiply.

@@ -74,7 +74,7 @@ def without_hidden(html: Column) -> Column:
     return F.regexp_replace(html, r"(?is)<(script|style|noscript|svg)\b[^>]*>.*?</\1\s*>", " ")
 
 
-def clean_text(html: Column, cap: int | None = fx.TEXT_CAP, decode: bool = False) -> Column:
+def clean_text(html: Column, cap: int | None = None, decode: bool = False) -> Column:
     """Visible text: hidden elements and tags removed, whitespace squeezed.
 
     Tags are found by pattern; entities stay as written unless ``decode``.

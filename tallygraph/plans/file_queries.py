@@ -66,13 +66,12 @@ def size_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                   max_kb=2000).alias("mode"))
 
 
-SQL_CSV = r"""l AS (SELECT doc_id, list_filter(string_split_regex(text, '\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]'), lambda x: regexp_matches(x, '[^\s\x0b\x1c-\x1f\x85\p{Z}]')) AS r,
-    list_filter(list_slice(string_split_regex(text, '\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]'), 1, 5), lambda x: regexp_matches(x, '[^\s\x0b\x1c-\x1f\x85\p{Z}]'))[1] AS probe FROM documents),
+SQL_CSV = r"""l AS (SELECT doc_id, list_filter(string_split_regex(text, '\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]'), lambda x: regexp_matches(x, '[^\s\x0b\x1c-\x1f\x85\p{Z}]')) AS r, r[1] AS probe FROM documents),
   c AS (SELECT *, CASE WHEN contains(probe, chr(9)) THEN chr(9) WHEN contains(probe, ';') THEN ';' WHEN contains(probe, ',') THEN ',' WHEN contains(probe, '|') THEN '|' ELSE ',' END AS d FROM l)"""
 
 
 @query("csv_profile", f"""WITH {SQL_CSV} SELECT doc_id AS file_id, CASE WHEN d = chr(9) THEN '\\t' ELSE d END AS delimiter, md5(r[1]) AS header, greatest(len(r) - 1, 0) AS rows,
-  least(len(string_split(r[1], d)), 20) AS columns, least(greatest(len(r) - 1, 0), 60) AS sample, len(r) - 1 > 60 AS sampled FROM c""")
+  len(string_split(r[1], d)) AS columns, least(greatest(len(r) - 1, 0), 60) AS sample, len(r) - 1 > 60 AS sampled FROM c""")
 def csv_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("file_id"), "text")
     return files.csv_profile(docs).select(

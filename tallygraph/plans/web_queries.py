@@ -104,7 +104,7 @@ def link_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
   r AS (SELECT seed, section, url, row_number() OVER (PARTITION BY seed ORDER BY first_link) AS ord FROM g UNION ALL
     SELECT DISTINCT seed, 'home', seed, 0 FROM l)
   SELECT seed, ord, section, CASE section WHEN 'home' THEN 'головна' ELSE translate(section, '-_', '  ') END AS label, url
-  FROM r WHERE ord < 25""")
+  FROM r""")
 def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = derived(spark, sf_dir, "part", "concat('https://www.shop', cast(p_partkey % 50 as string), '.example.com/') as seed",
                     f"{SHOP} as link")

@@ -82,16 +82,17 @@ def text_lines(body: Column) -> Column:
     return let(lines, lambda x: F.when(F.get(x, F.size(x) - 1) == "", F.slice(x, F.lit(1), F.size(x) - 1)).otherwise(x))
 
 
-def csv_profile(files: DataFrame, sample_rows: int = fx.FILE_SAMPLE_ROWS) -> DataFrame:
-    """Delimiter, header, first 20 columns, body rows and a row sample; no quoting.
+def _first(values: Column, cap: int | None) -> Column:
+    return F.slice(values, 1, cap) if cap else values
 
-    Lines are counted and sampled inside the file's row, so nothing is moved.
+
+def csv_profile(files: DataFrame, sample_rows: int = fx.FILE_SAMPLE_ROWS, max_columns: int | None = None) -> DataFrame:
+    """Delimiter, header, columns, body rows and a row sample; no quoting.
+
+    The first line with text is the header and tells the delimiter.  Lines are counted and sampled inside the file's row, so nothing is moved.
     """
-    parts = let(text_lines(F.col("text")), lambda lines: F.struct(
-        F.get(F.filter(F.slice(lines, 1, 5), text.has_text), F.lit(0)).alias("probe"),
-        F.filter(lines, text.has_text).alias("rows")))
-    rows = files.select("file_id", parts.alias("_p")) \
-        .select("file_id", F.col("_p.probe").alias("_probe"), F.col("_p.rows").alias("_rows"))
+    rows = files.select("file_id", F.filter(text_lines(F.col("text")), text.has_text).alias("_rows")) \
+        .withColumn("_probe", F.get("_rows", F.lit(0)))
     delimiter = F.when(F.col("_probe").contains(fx.CSV_DELIMITERS[0]), fx.CSV_DELIMITERS[0])
     for d in fx.CSV_DELIMITERS[1:]:
         delimiter = delimiter.when(F.col("_probe").contains(d), d)
@@ -102,14 +103,17 @@ def csv_profile(files: DataFrame, sample_rows: int = fx.FILE_SAMPLE_ROWS) -> Dat
     taken = sample_indices(F.col("rows"), sample_rows)
     shown = F.when(F.col("delimiter") == "\t", "\\t").otherwise(F.col("delimiter"))
     return rows.select("file_id", shown.alias("delimiter"), "header",
-                       F.slice(F.split(F.col("header"), quoted), 1, fx.CSV_COLUMNS).alias("columns"), "rows",
+                       _first(F.split(F.col("header"), quoted), max_columns).alias("columns"), "rows",
                        F.transform(taken, lambda i: F.get("_rows", (i + 1).cast("int"))).alias("sample"),
                        (F.col("rows") > sample_rows).alias("sampled"))
 
 
-def json_profile(files: DataFrame, max_chars: int = fx.FILE_MAX_CHARS,
-                 sample_rows: int = fx.FILE_SAMPLE_ROWS) -> DataFrame:
-    """Kind, length or keys, and sampled items as compact JSON; bad JSON keeps its head."""
+def json_profile(files: DataFrame, max_chars: int = fx.FILE_MAX_CHARS, sample_rows: int = fx.FILE_SAMPLE_ROWS,
+                 max_keys: int | None = None, item_chars: int | None = None) -> DataFrame:
+    """Kind, length or keys, and sampled items as compact JSON; bad JSON keeps its head.
+
+    Caps are for display: keys shown and characters of an item.
+    """
     body = F.col("text")
     parsed = F.try_parse_json(body)
     items = F.from_json(F.when(body.rlike(rf"^{fx.WS}*\["), body), "array<string>")
@@ -120,21 +124,22 @@ def json_profile(files: DataFrame, max_chars: int = fx.FILE_MAX_CHARS,
     kind = F.when(~F.col("parsed"), "invalid").when(F.col("items").isNotNull(), "array") \
         .when(F.col("keys").isNotNull(), "object").otherwise("scalar")
     first_keys = F.json_object_keys(F.get("items", F.lit(0)))
-    taken = F.transform(sample_indices(n, k), lambda i: F.left(F.get("items", i.cast("int")), F.lit(fx.JSON_ITEM_CHARS)))
+    shown = (lambda item: F.left(item, F.lit(item_chars))) if item_chars else (lambda item: item)
+    taken = F.transform(sample_indices(n, k), lambda i: shown(F.get("items", i.cast("int"))))
     return rows.withColumn("kind", kind).select(
         "file_id", "parsed", "kind", F.when(F.col("kind") == "array", n.cast("bigint")).alias("length"),
-        F.when(F.col("kind") == "array", F.slice(first_keys, 1, fx.JSON_ITEM_KEYS)).alias("item_keys"),
-        F.when(F.col("kind") == "object", F.slice("keys", 1, fx.JSON_KEYS)).alias("keys"),
+        F.when(F.col("kind") == "array", _first(first_keys, max_keys)).alias("item_keys"),
+        F.when(F.col("kind") == "object", _first(F.col("keys"), max_keys)).alias("keys"),
         F.when(F.col("kind") == "array", taken).alias("sample"),
         F.when(F.col("kind") != "array", F.left("text", F.lit(max_chars))).alias("head"),
         F.when(F.col("kind") == "array", n > k).otherwise(F.col("kind") == "invalid").alias("sampled"))
 
 
-def xml_profile(files: DataFrame, max_chars: int = fx.FILE_MAX_CHARS) -> DataFrame:
-    """Root tag, node count and count per tag for the first 30 tags seen.
+def xml_profile(files: DataFrame, max_chars: int = fx.FILE_MAX_CHARS, max_tags: int | None = None) -> DataFrame:
+    """Root tag, node count and count per tag in the order they are first seen.
 
     Tags are counted from exploded rows; a file adds one partial count per tag
-    and task, and at most 30 tags are put together again.
+    and task, and its tags, not its nodes, are put together again.
     """
     body = F.regexp_replace("text", r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<[?!][^>]*>", "")
     names = text.extract_all(body, r"<(?:[A-Za-z_][^\s<>/:]*:)?([\p{L}_][^\s<>/:]*)")
@@ -143,10 +148,10 @@ def xml_profile(files: DataFrame, max_chars: int = fx.FILE_MAX_CHARS) -> DataFra
     listed = F.array_sort(F.collect_list(F.struct("first", "tag", "n")))
     whole = per_tag.groupBy("file_id").agg(F.sum("n").alias("nodes"), listed.alias("tags"))
     heads = files.select("file_id", F.left("text", F.lit(max_chars)).alias("head"))
-    first30 = F.transform(F.slice("tags", 1, fx.XML_TAGS), lambda t: F.struct(t["tag"].alias("tag"), t["n"].alias("n")))
+    first30 = F.transform(_first(F.col("tags"), max_tags), lambda t: F.struct(t["tag"].alias("tag"), t["n"].alias("n")))
     return heads.join(whole, "file_id", "left").select(
         "file_id", F.get("tags", F.lit(0))["tag"].alias("root"), F.coalesce("nodes", F.lit(0)).alias("nodes"),
-        first30.alias("tags"), (F.coalesce("nodes", F.lit(0)) > 30).alias("sampled"), "head")
+        first30.alias("tags"), (F.coalesce("nodes", F.lit(0)) > fx.SAMPLED_NODES).alias("sampled"), "head")
 
 
 def size_guard(kb: Column, pages: Column, fmt: Column, sampled: Column, truncated: Column,

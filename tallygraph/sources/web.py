@@ -405,12 +405,12 @@ def discover(links: DataFrame, sitemap: DataFrame) -> DataFrame:
     return known.withColumn("reason", urls.ignore_reason(F.col("link")))
 
 
-def sections(links: DataFrame, cap: int = fx.PAGE_CAP) -> DataFrame:
+def sections(links: DataFrame, cap: int | None = None) -> DataFrame:
     """(seed, ord, section, label, url): the shallowest page per first path segment.
 
     ``links`` has seed and link.  The seed itself is section ``home``; ties keep
     the first link in sorted order, and sections stand in the order of their
-    first link.
+    first link; the first ``cap`` of them if one is given.
     """
     kept = links.filter(urls.ignore_reason(F.col("link")).isNull()).select(
         "seed", "link", urls.section_key(F.col("link")).alias("section"),
@@ -422,7 +422,8 @@ def sections(links: DataFrame, cap: int = fx.PAGE_CAP) -> DataFrame:
         F.lit(None).cast("string").alias("first_link"))
     rows = home.unionByName(per.select("seed", "section", F.col("best.link").alias("url"), "first_link"))
     order = Window.partitionBy("seed").orderBy(F.col("first_link").asc_nulls_first())
-    return (rows.withColumn("ord", F.row_number().over(order)).filter(F.col("ord") <= cap)
+    numbered = rows.withColumn("ord", F.row_number().over(order))
+    return ((numbered.filter(F.col("ord") <= cap) if cap else numbered)
             .select("seed", (F.col("ord") - 1).cast("bigint").alias("ord"), "section",
                     urls.section_label(F.col("section")).alias("label"), "url"))
 
