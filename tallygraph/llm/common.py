@@ -61,15 +61,27 @@ def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
+HASHED_BYTES = 1 << 20      # bytes whose running sums are held at once
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
-    """64-bit hash of each word; equal words have equal hashes wherever they stand."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1 + seed)) * powers(len(data)), out=sums[1:])
-    back = powers(int(starts[-1]) + 1, INVERSE)
-    lengths = (ends - starts).astype(np.uint64)
-    return mix((sums[ends] - sums[starts]) * back[starts] + mix(lengths + np.uint64(seed << 32)))
+    """64-bit hash of each word; equal words have equal hashes wherever they stand.
+
+    Taken slice by slice, as running sums need sixteen times the memory of their bytes.
+    """
+    out = np.zeros(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(starts, starts[i] + HASHED_BYTES)))
+        low, high = int(starts[i]), int(ends[j - 1])
+        sums = np.zeros(high - low + 1, np.uint64)
+        np.cumsum((data[low:high].astype(np.uint64) + np.uint64(1 + seed)) * powers(high - low), out=sums[1:])
+        begin, end = starts[i:j] - low, ends[i:j] - low
+        back = powers(int(begin[-1]) + 1, INVERSE)
+        lengths = (end - begin).astype(np.uint64)
+        out[i:j] = mix((sums[end] - sums[begin]) * back[begin] + mix(lengths + np.uint64(seed << 32)))
+        i = j
+    return out
 
 
 def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
