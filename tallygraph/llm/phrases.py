@@ -158,31 +158,39 @@ class _Reader:
             yield self._shard(np.concatenate(self.held), 1)
 
     def _shard(self, ids: np.ndarray, sign: int) -> pa.Table:
-        found, place, counts = np.unique(ids, return_inverse=True, return_counts=True)
-        stops = int(found[0] == 0)
-        by_count = np.argsort(-counts[stops:], kind="stable")
-        local = np.zeros(len(found), np.int64)
-        local[stops:][by_count] = np.arange(1, len(by_count) + 1)
+        counts = np.bincount(ids, minlength=len(self.names))
+        counts[0] = 0       # of the stops
+        found = np.flatnonzero(counts)
+        counts = counts[found]
+        local = np.zeros(len(self.names), np.int64)
+        local[found[np.argsort(-counts, kind="stable")]] = np.arange(1, len(found) + 1)
         block, self.next_block = self.next_block, self.next_block + 1
-        words = [self.names[i] for i in found[stops:]]
+        words = [self.names[i] for i in found]
         n = len(words)
-        rows = [[block] * n, local[stops:], [lang for lang, _ in words],
-                [w.decode("utf-8", "surrogatepass") for _, w in words], counts[stops:] * sign, [None] * n]
-        head = _table(READ, [[block], [sign], [None], [None], [None], [_packed(_bwt(local[place], self.depth))]])
+        rows = [[block] * n, local[found], [lang for lang, _ in words],
+                [w.decode("utf-8", "surrogatepass") for _, w in words], counts * sign, [None] * n]
+        head = _table(READ, [[block], [sign], [None], [None], [None], [_packed(_bwt(local[ids], self.depth))]])
         return pa.concat_tables([head, _table(READ, rows)])
 
 
 def _bwt(ids: np.ndarray, depth: int) -> np.ndarray:
     """Ids in front of the suffixes, which are ordered by their first ``depth`` ids."""
     ids = np.append(ids, 0)
-    at, rank, width = np.arange(len(ids)), ids, 1
+    rank, width = ids, 1
     while width < depth:
         step = min(width, depth - width)
-        keys = (rank << 2 * BITS) | (np.append(rank[step:], np.zeros(step, np.int64)) << BITS) | at
+        keys = np.zeros(len(ids), np.int64)
+        keys[:-step] = rank[step:]
+        keys <<= BITS
+        keys |= rank << 2 * BITS
+        keys |= np.arange(len(ids))
         keys.sort()
-        order, pairs = keys & _LOW, keys >> BITS
+        order = keys & _LOW
+        keys >>= BITS
+        fresh = np.zeros(len(ids), bool)
+        np.not_equal(keys[1:], keys[:-1], out=fresh[1:])
         rank = np.empty(len(ids), np.int64)
-        rank[order] = np.cumsum(np.diff(pairs, prepend=pairs[0]) != 0)
+        rank[order] = np.cumsum(fresh)
         width += step
     return ids[order - 1]
 
