@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallygraph import fixed as fx
 from tallygraph.functions import text, urls
 from tallygraph.operators.crawl import bfs_order
-from tallygraph.plans.registry import derived, query, table
+from tallygraph.plans.registry import derived, query, table, texts_of
 from tallygraph.sources import web
 
 AGENT = "tallygraphbot"
@@ -148,7 +148,7 @@ SQL_CONTENTS = """c AS (SELECT *, s_suppkey % 40 AS k, 'https://www.firm' || (s_
 def page_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = [F.array_join(c, " ").alias(c) for c in ("emails", "socials", "phones", "links")]
     entities = F.array_join(F.transform("entities", lambda e: F.concat_ws(":", e["entity"], e["title"])), " ").alias("entities")
-    return web.page_report(derived(spark, sf_dir, "supplier", *CONTENTS_PAGE)).select(
+    return web.page_report(texts_of(spark, sf_dir, "supplier", *CONTENTS_PAGE)).select(
         "url", "title", "lang", F.md5("text").alias("text_md5"), "chars", *lists, entities)
 
 
@@ -160,7 +160,7 @@ def page_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT 'error', site || '/s' || s_suppkey, (404 + s_suppkey % 2)::VARCHAR, 1 FROM d WHERE s_suppkey % 3 > 0 UNION ALL
   SELECT 'text', site || '/s' || s_suppkey, body, 1 FROM d WHERE s_suppkey % 3 >= 0""")
 def crawl_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    captured = derived(spark, sf_dir, "supplier", *CONTENTS_PAGE, "case when s_suppkey % 3 = 0 then 200 else 404 + s_suppkey % 2 end as status")
+    captured = texts_of(spark, sf_dir, "supplier", *CONTENTS_PAGE, "case when s_suppkey % 3 = 0 then 200 else 404 + s_suppkey % 2 end as status")
     return web.crawl_contents(captured, web.page_report(captured))
 
 
@@ -180,7 +180,7 @@ FETCHED = ("concat('  http', case when p_partkey % 2 = 0 then 's' else '' end, '
   CASE WHEN p_partkey % 5 > 2 THEN origin || '/about ' || origin || '/team?x=1' ELSE '' END AS links,
   CASE p_partkey % 5 WHEN 0 THEN 'empty content' WHEN 1 THEN 'bot-challenge/interstitial (cloudflare)' WHEN 2 THEN 'empty content' ELSE '' END AS err FROM p""")
 def fetch_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return web.fetch_report(derived(spark, sf_dir, "part", *FETCHED)).select(
+    return web.fetch_report(texts_of(spark, sf_dir, "part", *FETCHED)).select(
         "url", "ok", "text", "title", F.array_join("links", " ").alias("links"), "err")
 
 
@@ -235,7 +235,7 @@ SQL_CONTACTS = """WITH hits AS (
 
 
 def _contact_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return web.contacts(web.page_table(derived(spark, sf_dir, "customer", *CONTACT_PAGE)))
+    return web.contacts(web.page_table(texts_of(spark, sf_dir, "customer", *CONTACT_PAGE)))
 
 
 @query("contacts", SQL_CONTACTS + " SELECT kind, value, 'https://shop.example.com/c' || c_custkey AS url FROM hits")
@@ -301,7 +301,7 @@ JSONLD_PAGE = ("concat('https://shop.example.com/c', cast(c_custkey as string))
     WHEN 7 THEN [{'entity': 'webpage', 'title': c_name, 'value': ''}] ELSE [{'entity': 'product', 'title': c_name, 'value': 'url=https://x.y/' || c_custkey}] END, recursive := true)
   FROM customer)""")
 def jsonld_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = web.jsonld_entities(derived(spark, sf_dir, "customer", *JSONLD_PAGE))
+    found = web.jsonld_entities(texts_of(spark, sf_dir, "customer", *JSONLD_PAGE))
     pairs = F.transform(F.map_entries("value"), lambda e: F.concat_ws("=", e["key"], e["value"]))
     return found.select(F.col("source_url").alias("url"), "entity", "title", F.array_join(F.array_sort(pairs), " ").alias("value"))
 
@@ -317,7 +317,7 @@ OG_PAGE = ("concat('https://shop.example.com/p', cast(p_partkey as string)) as u
     CASE p_partkey % 4 WHEN 0 THEN p_name || ' & co' ELSE p_name END AS title FROM part WHERE p_partkey % 4 < 3 UNION ALL
   SELECT 'https://shop.example.com/p' || p_partkey, 'product', p_brand FROM part""")
 def og_and_microdata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return web.structured_entities(derived(spark, sf_dir, "part", *OG_PAGE)).select(
+    return web.structured_entities(texts_of(spark, sf_dir, "part", *OG_PAGE)).select(
         F.col("source_url").alias("url"), "entity", "title")
 
 
@@ -358,7 +358,7 @@ SITEMAP = ("concat('shop', cast(c_custkey % 20 as string), '.com') as site",
   UNION ALL SELECT DISTINCT 'shop' || (c_custkey % 20) || '.com', 'https://shop' || (c_custkey % 20) || '.com/about' FROM customer
   UNION ALL SELECT DISTINCT 'shop' || (c_custkey % 20) || '.com', 'https://shop' || (c_custkey % 20) || '.com/de/x' FROM customer WHERE c_custkey % 20 % 2 = 1""")
 def sitemap_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bodies = derived(spark, sf_dir, "customer", *SITEMAP)
+    bodies = texts_of(spark, sf_dir, "customer", *SITEMAP)
     langs = derived(spark, sf_dir, "customer", SITEMAP[0], "case when c_custkey % 20 % 2 = 0 then 'en' end as lang").distinct()
     return web.sitemap_urls(bodies, langs)
 
