@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallygraph.functions import keys, numbers, urls
 from tallygraph.operators import profiles
-from tallygraph.plans.registry import derived, query, table
+from tallygraph.plans.registry import derived, query, spread, table, texts_of
 
 
 # --------------------------------------------------------------- numbers and dates
@@ -94,7 +94,7 @@ REGISTRY = """concat(case when c_custkey % 3 = 0 then '' else concat('Код Є
 
 def _registry_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two captured texts per company; the second one knows a code but says little else."""
-    people = table(spark, sf_dir, "customer")
+    people = spread(table(spark, sf_dir, "customer"))
     full = people.selectExpr("c_custkey as company_id", "'card' as source", "1 as source_order", f"{REGISTRY} as text")
     brief = people.selectExpr("c_custkey as company_id", "'mirror' as source", "2 as source_order",
                               "concat('USREOU ', lpad(cast(c_custkey as string), 8, '7'), ', Коваль Олена - 90 %') as text")
@@ -153,7 +153,7 @@ SOCIAL_PAGE = """concat('<html><head><meta property="og:title" content="', p_nam
 
 
 def _social(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profiles.social_profiles(derived(
+    return profiles.social_profiles(texts_of(
         spark, sf_dir, "part", f"{SOCIAL_URL} as url", "case when p_partkey % 11 = 10 then 403 else 200 end as status", f"{SOCIAL_PAGE} as html"))
 
 
@@ -227,7 +227,7 @@ COMPANY_PAGE = """concat('<html><head><meta property="og:title" content="', s_na
   CASE WHEN s_suppkey % 9 <> 8 THEN CASE WHEN s_suppkey % 2 = 0 THEN '51-200' ELSE '11-50 employees' END END AS company_size,
   s_suppkey % 9 <> 8 AND s_suppkey % 3 = 2 AND s_suppkey % 2 = 0 AS needs_review FROM supplier""")
 def company_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    captured = derived(spark, sf_dir, "supplier", "case when s_suppkey % 2 = 0 then concat('linkedin.com/school/firm', cast(s_suppkey as string), '?x=1') "
+    captured = texts_of(spark, sf_dir, "supplier", "case when s_suppkey % 2 = 0 then concat('linkedin.com/school/firm', cast(s_suppkey as string), '?x=1') "
                        "else concat('firm', cast(s_suppkey as string)) end as url",
                        "case when s_suppkey % 9 = 8 then 999 else 200 end as status", f"{COMPANY_PAGE} as html")
     return profiles.company_profiles(captured).select(
@@ -245,7 +245,7 @@ ANDROID_PAGE = """concat('<html><script type="application/ld+json">', case when
 
 
 def _apps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part")
+    part = spread(table(spark, sf_dir, "part"))
     country = F.explode(F.array(F.lit("ua"), F.lit("us"))).alias("cc")
     ios = part.filter("p_partkey % 2 = 0").select("*", country).selectExpr(
         "concat('https://apps.apple.com/ua/app/id', cast(p_partkey + 1000 as string)) as url", "cc as country", f"{IOS_BODY} as body")
