@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallygraph import fixed as fx
 from tallygraph.functions.numbers import sample_indices
 from tallygraph.operators import inventory
-from tallygraph.plans.registry import derived, query, table
+from tallygraph.plans.registry import derived, query, table, texts_of
 from tallygraph.session import work_dir
 from tallygraph.sources import catalog, files, xml_records
 
@@ -104,7 +104,7 @@ XML_FILE = """concat('<?xml version="1.0"?><!-- <x/> --><m:Message xmlns:m="urn:
 
 
 def _xml(spark: SparkSession, sf_dir: str):
-    raw = derived(spark, sf_dir, "part", "p_partkey as file_id", f"{XML_FILE} as text")
+    raw = texts_of(spark, sf_dir, "part", "p_partkey as file_id", f"{XML_FILE} as text")
     return xml_records.with_record_tag(xml_records.xml_leaves(raw))
 
 
@@ -198,7 +198,7 @@ def xml_large_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("xml_profile", """SELECT p_partkey AS file_id, 'Message' AS root, 20 AS nodes, 'Message:1,Header:1,Ссылка:7,Body:1,Справочник.Товары:2,Наименование:1,Код:1,Документ.Заказ:1,Номер:1,Товар:2,Пусто:1,Вид:1' AS tags FROM part""")
 def xml_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = files.xml_profile(derived(spark, sf_dir, "part", "p_partkey as file_id", f"{XML_FILE} as text"))
+    found = files.xml_profile(texts_of(spark, sf_dir, "part", "p_partkey as file_id", f"{XML_FILE} as text"))
     return found.select("file_id", "root", "nodes", F.array_join(
         F.transform("tags", lambda t: F.concat_ws(":", t["tag"], t["n"].cast("string"))), ",").alias("tags"))
 
@@ -210,7 +210,7 @@ def xml_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def analyze_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = (f"case p_partkey % 3 when 0 then {XML_FILE} when 1 then concat('1CIBDmpF Справочник.Люди ', 'Іваненко Петро Петрович ', p_name) "
             "else concat('PK\x03\x04', p_name) end")
-    raw = derived(spark, sf_dir, "part", "p_partkey as file_id", "concat('/f', cast(p_partkey as string)) as path", f"{body} as text")
+    raw = texts_of(spark, sf_dir, "part", "p_partkey as file_id", "concat('/f', cast(p_partkey as string)) as path", f"{body} as text")
     listed = raw.select("file_id", "text", files.detect_format(F.col("path"), F.encode("text", "utf-8")).alias("format"))
     records, leaves = xml_records.with_record_tag(xml_records.xml_leaves(listed.filter("format = 'xml'").select("file_id", "text")))
     dumps = listed.filter(F.col("format").isin("dt", "cf"))
