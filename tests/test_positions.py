@@ -116,3 +116,16 @@ def test_walks(spark):
     got = chains.reached(spark.createDataFrame(rows, "g string, p bigint, t bigint"), ["g"], "p", "t").collect()
     assert len(got) == len(want) and {(r.g, r.p) for r in got} == want
     assert chains.reached(spark.createDataFrame([], "p bigint, t bigint"), [], "p", "t").count() == 0
+
+
+def test_later_slots_are_found_over_blocks(spark, monkeypatch):
+    """The next slot with a start, also where it lies blocks away; no frame is read to its last row."""
+    monkeypatch.setattr(positions, "BLOCK", 4)
+    own = {0: 0, 1: None, 2: 7, 3: None, 9: None, 30: 8, 31: None, 40: 9, 41: None}
+    rows = [((g,), s, None if v is None else (v, s)) for g in ("a", None) for s, v in own.items()]
+    df = spark.createDataFrame(rows, "grp struct<g:string>, slot bigint, own struct<to:bigint,to_place:bigint>")
+    found = positions._later_slots(df)
+    assert "unboundedfollowing" not in found._jdf.queryExecution().analyzed().toString().lower()
+    got = {(r.grp.g, r.slot): r.later and r.later.to for r in found.collect()}
+    assert got == {(g, s): next((own[t] for t in sorted(own) if t > s and own[t] is not None), None)
+                   for g in ("a", None) for s in own}
