@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from tallygraph.operators import ledger
 from tallygraph.plans import file_queries, registry, web_queries
 from tallygraph.sources import web
+from tallygraph.sources.catalog import Register
 
 
 def _one_file(spark, folder, name, df):
@@ -47,3 +49,25 @@ def test_crawl_contents_reads_each_report_once(spark):
         ("email", "a@b.co", None, 1), ("social", "s", None, 1), ("phone", "+1", None, 2), ("link", "l1", None, 1),
         ("link", "l2", None, 1), ("entity", "organization", "X", 1), ("error", "u2", "404", 1),
         ("text", "u1", "body", 1), ("text", "u3", None, 1)}
+
+
+def test_movements_carry_plain_values_through_joins(spark):
+    """Names and texts of resources are made after the lookup, not moved by it."""
+    reg = Register(phys="_R", idx=1, name="r", dims=[("_D", "d")], resources=[("_X", "Sum", "money"), ("_Y", "Units", "units")],
+                   currency_dim=None, signed=False)
+    df = spark.createDataFrame([(bytearray(b"a" * 16), 1, 2)], "_D binary, _X int, _Y int").withColumn("row_index", F.lit(7))
+    moved = ledger.movements(df, reg)
+    assert not [f.name for f in moved.schema if f.dataType.typeName() in ("array", "struct", "map")]
+    ids = spark.createDataFrame([(bytearray(b"a" * 16), "c1-1")], "id binary, ref string")
+    got = ledger.register_postings(df, reg, ids, None).select("ord", "account_name", F.col("amount").cast("int")).collect()
+    assert sorted(map(tuple, got)) == [(0, "Sum", 1), (1, "Units", 2)]
+
+
+def test_new_by_ref_moves_each_ref_once(spark):
+    ops = spark.createDataFrame([("a", 2, "late"), ("a", 1, "first"), ("b", 1, "x"), (None, 3, "n"), ("c", 1, "gone")],
+                                "ref string, pos bigint, v string")
+    found = ledger.new_by_ref(ops, spark.createDataFrame([("c",)], "ref string"))
+    assert {(r.ref, r.pos, r.v) for r in found.collect()} == {("a", 1, "first"), ("b", 1, "x"), (None, 3, "n")}
+    shuffled = [line for line in found._jdf.queryExecution().optimizedPlan().toString().split("\n") if "min_by" in line]
+    assert shuffled and not any("ref, ref" in line.split("min_by")[1] for line in shuffled)
+    assert ledger.new_by_ref(ops.select("ref"), spark.createDataFrame([("c",)], "ref string")).count() == 3
