@@ -2,10 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from tallygraph.operators import ledger
-from tallygraph.plans import file_queries, registry, web_queries
-from tallygraph.sources import web
-from tallygraph.sources.catalog import Register
+from tallygraph.operators import ledger, plan
+from tallygraph.operators.model import LandedBase
+from tallygraph.plans import file_queries, ledger_queries, registry, web_queries
+from tallygraph.session import work_dir
+from tallygraph.sources import sinks, web
+from tallygraph.sources.catalog import Catalog, Register, TableObject
+from tallygraph.streaming import ingest
 
 
 def _one_file(spark, folder, name, df):
@@ -71,3 +74,22 @@ def test_new_by_ref_moves_each_ref_once(spark):
     shuffled = [line for line in found._jdf.queryExecution().optimizedPlan().toString().split("\n") if "min_by" in line]
     assert shuffled and not any("ref, ref" in line.split("min_by")[1] for line in shuffled)
     assert ledger.new_by_ref(ops.select("ref"), spark.createDataFrame([("c",)], "ref string")).count() == 3
+
+
+def _plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_unrepeated_ops_are_not_grouped(spark):
+    """Only ops whose identity may repeat go through the group; new identities are told before ops move."""
+    path = work_dir(spark, "scale-sink")
+    ops = plan.op_stream([spark.createDataFrame(
+        [("create_actor", "a", 2, "late", None), ("create_actor", "a", 1, "first", None), ("create_actor", "b", 1, "x", None),
+         ("create_link", None, 1, "l", "s"), ("create_link", None, 2, "l", "s")], "op string, ref string, pos bigint, name string, source_ref string")])
+    assert "LeftAnti" in _plan_of(sinks.first_of_each(ops))
+    sinks.write_ops(ops.filter("pos = 3"), path)
+    for _ in range(2):
+        sinks.append_new_ops(ops, path)
+        stored = sinks.read_ops(spark, path)
+        assert sorted((r.op, r.ref, r.pos) for r in stored.collect()) == [
+            ("create_actor", "a", 1), ("create_actor", "b", 1), ("create_link", None, 1)]
