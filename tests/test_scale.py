@@ -93,3 +93,10 @@ def test_unrepeated_ops_are_not_grouped(spark):
         stored = sinks.read_ops(spark, path)
         assert sorted((r.op, r.ref, r.pos) for r in stored.collect()) == [
             ("create_actor", "a", 1), ("create_actor", "b", 1), ("create_link", None, 1)]
+
+
+def test_batches_are_not_grouped_where_nothing_repeats(spark):
+    ops = spark.createDataFrame([("a", 2), ("a", 1), ("b", 5), (None, 4)], "ref string, pos bigint")
+    found = ingest.first_per_key(ops, "ref", ("pos",))
+    assert "LeftAnti" in _plan_of(found)
+    assert {(r.ref, r.pos) for r in found.select("_row.*").collect()} == {("a", 1), ("b", 5), (None, 4)}
