@@ -100,3 +100,22 @@ def test_batches_are_not_grouped_where_nothing_repeats(spark):
     found = ingest.first_per_key(ops, "ref", ("pos",))
     assert "LeftAnti" in _plan_of(found)
     assert {(r.ref, r.pos) for r in found.select("_row.*").collect()} == {("a", 1), ("b", 5), (None, 4)}
+
+
+def test_capping_moves_ends_not_ops(spark):
+    rows = [("create_actor", "f", f"a{i}", i, None, None) for i in range(4)] + [
+        ("create_link", None, None, 0, "a0", "a1"), ("create_link", None, None, 1, "a0", "a3"), ("create_link", None, None, 2, "else", "a1"),
+        ("fill_actor", "f", "a2", 2, None, None), ("fill_actor", "f", "a1", 1, None, None), ("create_link", None, None, 3, None, None)]
+    ops = plan.op_stream([spark.createDataFrame(rows, "op string, form_ref string, ref string, pos bigint, source_ref string, target_ref string")
+                          .withColumn("obj", F.lit(1).cast("bigint"))])
+    capped = plan.cap_ops(ops, 2)
+    assert sorted((r.op, r.pos) for r in capped.collect()) == [
+        ("create_actor", 0), ("create_actor", 1), ("create_link", 0), ("create_link", 2), ("create_link", 3), ("fill_actor", 1)]
+    assert "LeftAnti" not in _plan_of(capped) and _plan_of(capped).count("LeftSemi") == 2
+
+
+def test_plan_lands_what_it_counts(spark, monkeypatch):
+    landed = []
+    monkeypatch.setattr(ledger_queries, "landed_ops", lambda ops: landed.append(ops.columns) or plan.no_ops(spark))
+    ledger_queries._plan_and_fact(type("Base", (), {"op_stream": lambda self: plan.with_priority(plan.no_ops(spark))})(), 3)
+    assert "data" not in landed[0] and {"op", "ref", "from_legs"} <= set(landed[0])
