@@ -114,6 +114,46 @@ def test_capping_moves_ends_not_ops(spark):
     assert "LeftAnti" not in _plan_of(capped) and _plan_of(capped).count("LeftSemi") == 2
 
 
+def _lines(spark):
+    """Lines with two references; the map holds part 1 and supplier 2 twice, part 9 not at all."""
+    table = TableObject(1, "vt", "_V", "v", "v", "v", "doclines", (), (("_A", "part"), ("_B", "supplier")), None, None, "_D",
+                        (("_S", "Сумма"), ("_Q", "Количество")))
+    b = lambda n: bytes([n]) * 16      # noqa: E731
+    df = spark.createDataFrame([(b(50), 1, b(1), b(3), 5, 2, 0), (b(50), 2, b(4), b(2), 6, 3, 1), (b(50), 3, b(9), b(3), 7, 4, 2),
+                                (b(50), 0, None, b(2), 8, 5, 3), (b(51), 1, b(1), b(2), 9, 6, 4)],
+                               "_D binary, _LINENO int, _A binary, _B binary, _S int, _Q int, row_index bigint")
+    ids = spark.createDataFrame([(b(1), "p1"), (b(1), "p1x"), (b(2), "s2"), (b(2), "s2x"), (b(3), "s3"), (b(4), "p4")], "id binary, ref string")
+    return df, table, spark.createDataFrame([(b(50), "d")], "id binary, ref string"), ids
+
+
+def test_later_references_are_looked_up_where_they_matter(spark):
+    df, table, docs, ids = _lines(spark)
+    maps = ledger._target_maps(df.select(F.col("_A").alias("_t0"), F.col("_B").alias("_t1")), ["_t0", "_t1"], ids)
+    assert sorted(r.ref for r in maps[1].collect()) == ["p1", "p1x", "s2", "s2x", "s3"] and maps[0] is ids
+    got = sorted((r.lineno, r.target, r.target_name) for r in ledger.document_lines(df, table, docs, ids).collect())
+    assert got == [("1", "p1", "part"), ("1", "p1x", "part"), ("2", "p4", "part"), ("2", "p4", "part"), ("3", "s3", "supplier"),
+                   ("4", "s2", "supplier"), ("4", "s2x", "supplier")]
+
+
+def test_refs_of_violations_are_made_once(spark):
+    df, table, docs, ids = _lines(spark)
+    ops = plan.transfer_ops(ledger.line_postings(ledger.document_lines(df, table, docs, ids)))
+    broken = ops.withColumn("to_legs", F.when(F.col("ref").endswith("00"), F.col("from_legs")))
+    found = ledger.violations(broken)
+    assert _plan_of(found).count("sha2(") == _plan_of(ops.select("ref")).count("sha2(")
+    assert found.count() == ops.filter("not ref like '%00'").count()
+
+
+def test_a_register_is_joined_with_the_ids_it_names(spark):
+    reg = Register(phys="_R", idx=1, name="r", dims=[("_D", "d")], resources=[("_X", "Sum", "money")], currency_dim=None, signed=False)
+    goods = TableObject(0, "ref", "_G", "c1", "tmpl_ref1", "g", "nomenclature", (), (), "_CODE", "_IDRREF")
+    tables = {"_G": spark.range(1, 100).selectExpr("unhex(md5(cast(id as string))) as _IDRREF", "cast(id as string) as _CODE", "id as row_index"),
+              "_R": spark.range(50).selectExpr("unhex(md5(cast(id % 3 as string))) as _D", "1 as _X", "id as row_index")}
+    base = LandedBase(spark, tables, Catalog([goods], [], [reg]), unique_ids=True)
+    assert sorted(r.ref for r in base._register_ids(reg).collect()) == ["c1-1", "c1-2"]
+    assert base.register_postings().count() == 33 and base.counters().count() == 1
+
+
 def test_plan_lands_what_it_counts(spark, monkeypatch):
     landed = []
     monkeypatch.setattr(ledger_queries, "landed_ops", lambda ops: landed.append(ops.columns) or plan.no_ops(spark))
