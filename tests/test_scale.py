@@ -135,6 +135,17 @@ def test_later_references_are_looked_up_where_they_matter(spark):
                    ("4", "s2", "supplier"), ("4", "s2x", "supplier")]
 
 
+def test_line_flows_are_summed_by_one_reference_at_a_time(spark):
+    df, table, docs, ids = _lines(spark)
+    flows = ledger.line_flows(df, table, docs, ids)
+    assert not [line for line in _plan_of(flows).split("\n") if "Aggregate [_t0" in line and "_t1" in line.split("]")[0]]
+    summed = flows.filter("currency = 'Единицы'").groupBy("credit_ref").agg(F.sum("amount").cast("int"), F.sum("n"))
+    postings = ledger.line_postings(ledger.document_lines(df, table, docs, ids)).filter("currency = 'Единицы'")
+    expected = postings.groupBy("credit_ref").agg(F.sum("amount").cast("int"), F.count(F.lit(1)))
+    assert sorted(map(tuple, summed.collect())) == sorted(map(tuple, expected.collect())) == [
+        ("p1", 2, 1), ("p1x", 2, 1), ("p4", 6, 2), ("s2", 5, 1), ("s2x", 5, 1), ("s3", 4, 1)]
+
+
 def test_refs_of_violations_are_made_once(spark):
     df, table, docs, ids = _lines(spark)
     ops = plan.transfer_ops(ledger.line_postings(ledger.document_lines(df, table, docs, ids)))
