@@ -95,6 +95,14 @@ def test_unrepeated_ops_are_not_grouped(spark):
             ("create_actor", "a", 1), ("create_actor", "b", 1), ("create_link", None, 1)]
 
 
+def test_many_repeats_are_grouped_at_once(spark, monkeypatch):
+    monkeypatch.setattr(sinks, "REPEATED", 1)
+    ops = spark.createDataFrame([(r, p) for r in "abc" for p in (2, 1)] + [("d", 3)], "ref string, pos bigint")
+    found = sinks.first_of_each(ops)
+    assert "LeftAnti" not in _plan_of(found)
+    assert {(r.ref, r.pos) for r in found.select("_row.*").collect()} == {("a", 1), ("b", 1), ("c", 1), ("d", 3)}
+
+
 def test_batches_are_not_grouped_where_nothing_repeats(spark):
     ops = spark.createDataFrame([("a", 2), ("a", 1), ("b", 5), (None, 4)], "ref string, pos bigint")
     found = ingest.first_per_key(ops, "ref", ("pos",))
