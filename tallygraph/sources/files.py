@@ -9,6 +9,7 @@ from tallygraph import fixed as fx
 from tallygraph.functions import text, urls
 from tallygraph.functions.numbers import lookup, sample_indices
 from tallygraph.functions.text import blank_to_null, let
+from tallygraph.session import by_shuffle
 
 
 def read_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
@@ -149,7 +150,7 @@ def xml_profile(files: DataFrame, max_chars: int = fx.FILE_MAX_CHARS, max_tags:
     whole = per_tag.groupBy("file_id").agg(F.sum("n").alias("nodes"), listed.alias("tags"))
     heads = files.select("file_id", F.left("text", F.lit(max_chars)).alias("head"))
     first30 = F.transform(_first(F.col("tags"), max_tags), lambda t: F.struct(t["tag"].alias("tag"), t["n"].alias("n")))
-    return heads.join(whole, "file_id", "left").select(
+    return heads.join(by_shuffle(whole), "file_id", "left").select(
         "file_id", F.get("tags", F.lit(0))["tag"].alias("root"), F.coalesce("nodes", F.lit(0)).alias("nodes"),
         first30.alias("tags"), (F.coalesce("nodes", F.lit(0)) > fx.SAMPLED_NODES).alias("sampled"), "head")
 

@@ -178,3 +178,15 @@ def test_plan_lands_what_it_counts(spark, monkeypatch):
     monkeypatch.setattr(ledger_queries, "landed_ops", lambda ops: landed.append(ops.columns) or plan.no_ops(spark))
     ledger_queries._plan_and_fact(type("Base", (), {"op_stream": lambda self: plan.with_priority(plan.no_ops(spark))})(), 3)
     assert "data" not in landed[0] and {"op", "ref", "from_legs"} <= set(landed[0])
+
+
+def _joins_of(df, kind):
+    return df._jdf.queryExecution().executedPlan().toString().count(kind)
+
+
+def test_profiles_of_texts_made_of_short_rows_are_not_broadcast(spark, tmp_path):
+    """A short table makes long texts: by its file's size their profiles would be sent to the driver and every task."""
+    parts = spark.range(24).selectExpr("id as p_partkey", "concat('P', id) as p_name", "'B' as p_brand", "'t' as p_type", "1 as p_size")
+    found = file_queries.xml_profile(spark, _one_file(spark, tmp_path, "part", parts.unionByName(parts.filter("p_partkey = 3"))))
+    assert _joins_of(found, "BroadcastHashJoin") == 0
+    assert sorted((r.file_id, r.nodes) for r in found.collect()) == sorted([(i, 20) for i in range(24) if i != 3] + [(3, 40)] * 2)
