@@ -14,7 +14,7 @@ from tallygraph import fixed as fx
 from tallygraph.functions import text
 from tallygraph.operators.chains import reached
 from tallygraph.operators.positions import dense_index, running_total
-from tallygraph.session import materialize
+from tallygraph.session import by_shuffle, materialize
 
 # CDATA first and kept, so that marks inside it stay; the rest is no content
 _NOISE = r"(?s)(<!\[CDATA\[.*?\]\]>)|<!--.*?-->|<\?.*?\?>|<!DOCTYPE[^>]*>"
@@ -83,26 +83,29 @@ def read_tags(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFr
     """The columns of ``xml_tags`` for files under a path; ``file_id`` is the file's path.
 
     Files are read in splits, cut at every ``<``; a row's place in its file follows from the
-    split's start and its number in the split.  A cut inside a comment, CDATA section or
+    split's start and its number in the split.  Until the end a file is known by a number, the
+    first ``seen`` in it, as a path in each row would be most of what is moved.  A cut inside a comment, CDATA section or
     instruction is found from the few rows that hold such marks and undone, so a row ends
     up as one tag with its text, whatever that text holds.
     """
     split = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
     lines = spark.read.option("lineSep", "<").option("encoding", encoding).text(path)
     read = materialize(lines.select(split.alias("split"), F.monotonically_increasing_id().alias("seen"), "value"))
-    before = Window.partitionBy("split.file").orderBy("split.start").rowsBetween(Window.unboundedPreceding, -1)
-    splits = (read.groupBy("split").agg(F.min("seen").alias("first"), F.count(F.lit(1)).alias("n"))
-              .select("split", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")))
-    placed = read.join(splits, "split").select(
-        F.col("split.file").alias("file_id"), (F.col("before") + F.col("seen") - F.col("first")).alias("pos"), "value")
+    whole = Window.partitionBy("split.file")
+    before = whole.orderBy("split.start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = materialize(read.groupBy("split").agg(F.min("seen").alias("first"), F.count(F.lit(1)).alias("n"))
+                         .select("split", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"),
+                                 F.min("first").over(whole).alias("file_id")))
+    placed = read.join(splits, "split").select("file_id", (F.col("before") + F.col("seen") - F.col("first")).alias("pos"), "value")
     tokens = placed.filter("pos > 0")           # the first is what stands before the first "<"
     inside = _inside_regions(tokens)
-    marked = tokens.join(inside.withColumn("inside", F.lit(True)), ["file_id", "pos"], "left")
+    marked = tokens.join(by_shuffle(inside.withColumn("inside", F.lit(True))), ["file_id", "pos"], "left")
     no_tag = F.col("inside").isNotNull() | F.col("value").startswith("!") | F.col("value").startswith("?")
     tails = _tails(marked.filter(no_tag).select("file_id", "pos", "value"))
-    whole = F.concat(F.lit("<"), F.col("value"), F.coalesce(_without_noise(F.col("tail")), F.lit("")))
-    return (marked.filter(~no_tag).join(tails, ["file_id", "pos"], "left")
-            .select("file_id", "pos", *_tag_columns(whole)))
+    token = F.concat(F.lit("<"), F.col("value"), F.coalesce(_without_noise(F.col("tail")), F.lit("")))
+    names = splits.select("file_id", F.col("split.file").alias("path")).distinct()
+    return (marked.filter(~no_tag).join(by_shuffle(tails), ["file_id", "pos"], "left").join(names, "file_id")
+            .select(F.col("path").alias("file_id"), "pos", *_tag_columns(token)))
 
 
 def _inside_regions(tokens: DataFrame) -> DataFrame:
@@ -120,16 +123,17 @@ def _inside_regions(tokens: DataFrame) -> DataFrame:
     counted = running_total(marks, ["file_id", "kind"], "pos", F.col("ends").cast("bigint"), "n")
     ends = counted.filter("ends").select("file_id", "kind", "n", F.col("pos").alias("last"))
     opened = counted.filter("opens").select("file_id", "kind", (F.col("n") + 1).alias("n"), "pos")
-    regions = opened.join(ends, ["file_id", "kind", "n"]).select("file_id", "pos", "last")
+    regions = opened.join(by_shuffle(ends), ["file_id", "kind", "n"]).select("file_id", "pos", "last")
     # the first opening behind each region's end
     at = running_total(marks.groupBy("file_id", "pos").agg(F.max(F.col("opens").cast("bigint")).alias("opens")),
                        ["file_id"], "pos", F.col("opens"), "number")
     starts = at.filter("opens = 1").select("file_id", "number", F.col("pos").alias("next"))
     own = at.select("file_id", "pos", F.col("number").alias("place"))
     behind = at.select("file_id", F.col("pos").alias("last"), (F.col("number") + 1).alias("number"))
-    steps = regions.join(own, ["file_id", "pos"]).join(behind, ["file_id", "last"]).join(starts, ["file_id", "number"], "left")
+    steps = regions.join(by_shuffle(own), ["file_id", "pos"]).join(by_shuffle(behind), ["file_id", "last"]) \
+        .join(by_shuffle(starts), ["file_id", "number"], "left")
     met = reached(steps, ["file_id"], "pos", "next", "place", "number")
-    return regions.join(met, ["file_id", "pos"]).select(
+    return regions.join(by_shuffle(met), ["file_id", "pos"]).select(
         "file_id", F.explode(F.sequence(F.col("pos") + 1, F.col("last"))).alias("pos"))
 
 
@@ -183,7 +187,7 @@ def with_record_tag(leaves: DataFrame) -> tuple[DataFrame, DataFrame]:
     full = indexed.join(groups, ["file_id", "tag"]).select(
         "file_id", "record_no", "tag", "group_no", "index",
         F.concat(F.lit("e"), F.col("group_no").cast("string"), F.lit("_"), F.col("index").cast("string")).alias("ref"))
-    return full, leaves.join(full, ["file_id", "record_no"])
+    return full, leaves.join(by_shuffle(full), ["file_id", "record_no"])
 
 
 def type_fields(leaves: DataFrame) -> DataFrame:

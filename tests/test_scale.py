@@ -2,11 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from tallygraph.operators import ledger, plan
+from tallygraph.operators import chains, ledger, plan
 from tallygraph.operators.model import LandedBase
 from tallygraph.plans import file_queries, ledger_queries, registry, web_queries
 from tallygraph.session import work_dir
-from tallygraph.sources import sinks, web
+from tallygraph.sources import sinks, web, xml_records
 from tallygraph.sources.catalog import Catalog, Register, TableObject
 from tallygraph.streaming import ingest
 
@@ -190,3 +190,23 @@ def test_profiles_of_texts_made_of_short_rows_are_not_broadcast(spark, tmp_path)
     found = file_queries.xml_profile(spark, _one_file(spark, tmp_path, "part", parts.unionByName(parts.filter("p_partkey = 3"))))
     assert _joins_of(found, "BroadcastHashJoin") == 0
     assert sorted((r.file_id, r.nodes) for r in found.collect()) == sorted([(i, 20) for i in range(24) if i != 3] + [(3, 40)] * 2)
+
+
+def test_rows_of_large_xml_files_are_not_broadcast(spark, tmp_path):
+    """Written rows are compressed many times; places and texts of tags meet by shuffles, only the files' names may be sent."""
+    for i in range(2):
+        (tmp_path / f"{i}.xml").write_text(f"<?xml version='1.0'?><a><Body><r><!-- <x> --><t><![CDATA[{i} <!-- <b> -->]]></t></r></Body></a>")
+    tags = xml_records.read_tags(spark, str(tmp_path))
+    joins = [x for x in tags._jdf.queryExecution().executedPlan().toString().split("\n") if "HashJoin" in x or "MergeJoin" in x]
+    assert any("pos#" in x for x in joins) and not any("BroadcastHashJoin" in x for x in joins if "pos#" in x)
+    records, leaves = xml_records.with_record_tag(xml_records.tag_leaves(tags))
+    assert _joins_of(leaves.select("leaf_no", "index"), "SortMergeJoin") > 0
+    got = [(r.file_id.rsplit("/", 1)[1], r.ref, r.leaf, r.text) for r in leaves.orderBy("file_id", "leaf_no").collect()]
+    assert got == [(f"{i}.xml", "e0_0", leaf, text) for i in range(2) for leaf, text in (("r", ""), ("t", f"{i} <!-- <b> -->"))]
+
+
+def test_a_walk_meets_its_halves_by_shuffles(spark):
+    steps = spark.range(300).selectExpr("'g' as g", "id as at", "id + 7 as to")
+    met = chains.reached(steps, ["g"], "at", "to")
+    assert _joins_of(met, "BroadcastHashJoin") == 0
+    assert sorted(r["at"] for r in met.collect()) == list(range(0, 300, 7))
