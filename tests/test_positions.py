@@ -129,3 +129,31 @@ def test_later_slots_are_found_over_blocks(spark, monkeypatch):
     got = {(r.grp.g, r.slot): r.later and r.later.to for r in found.collect()}
     assert got == {(g, s): next((own[t] for t in sorted(own) if t > s and own[t] is not None), None)
                    for g in ("a", None) for s in own}
+
+
+def test_batches_over_many_blocks_take_two_passes(spark, monkeypatch):
+    """Batches that span blocks, ops without a size and ops larger than a batch; the number of rounds does not grow."""
+    from tallygraph import session
+    folders, work_dir = [], session.work_dir
+    monkeypatch.setattr(session, "work_dir", lambda s, name: folders.append(name) or work_dir(s, name))
+    monkeypatch.setattr(positions, "BLOCK", 16)
+    rng = random.Random(5)
+    sizes = {"s": [rng.choice([0, 1, 30, 90]) for _ in range(900)], None: [rng.randrange(60) for _ in range(300)], "big": [700] * 50}
+    df = spark.createDataFrame([(g, i, n) for g, all_ in sizes.items() for i, n in enumerate(all_)], "g string, p int, n bigint")
+    for limit in (1, 100, 2500):
+        folders.clear()
+        got = {}
+        for r in sorted(positions.bounded_batches(df, ["g"], "p", F.col("n"), limit).collect(), key=lambda r: r.p):
+            got.setdefault(r.g, []).append(r.batch)
+        assert got == {g: closed_one_by_one(all_, limit) for g, all_ in sizes.items()}
+        assert len(folders) == 2
+    odd = spark.createDataFrame([(0, None), (1, 5), (2, None), (3, 5), (4, 1)], "p bigint, n bigint")
+    assert sorted((r.p, r.op_bytes, r.batch) for r in positions.bounded_batches(odd, [], "p", F.col("n"), 5).collect()) == [
+        (0, None, -1), (1, 5, 0), (2, None, 0), (3, 5, 1), (4, 1, 2)]
+    assert positions.bounded_batches(df.filter("p < 0"), ["g"], "p", F.col("n"), 5).count() == 0
+
+
+def test_places_without_the_columns_that_gave_them(spark):
+    df = spark.createDataFrame([("a", 2, 5), ("a", 1, 6), ("b", 3, 7)], "g string, v int, n int")
+    found = positions.ranked(df, ["g"], ["v"], "place", keep_order=False)
+    assert sorted(map(tuple, found.select("g", "n", "place").collect())) == [("a", 5, 1), ("a", 6, 0), ("b", 7, 0)] and "v" not in found.columns
