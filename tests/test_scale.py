@@ -210,3 +210,16 @@ def test_a_walk_meets_its_halves_by_shuffles(spark):
     met = chains.reached(steps, ["g"], "at", "to")
     assert _joins_of(met, "BroadcastHashJoin") == 0
     assert sorted(r["at"] for r in met.collect()) == list(range(0, 300, 7))
+
+
+def test_ops_are_landed_with_what_is_counted(spark):
+    leg = "array(named_struct('actor_ref', '{}', 'account_name', 'money', 'amount', cast(5 as decimal(28,10))))"
+    ops = plan.op_stream([spark.range(1).selectExpr(
+        "'transfer' as op", "id as pos", "'p-0a7' as ref", f"{leg.format('a')} as from_legs", f"{leg.format('b')} as to_legs"),
+        spark.range(1).selectExpr("'create_actor' as op", "id as pos", "'a-17' as ref", "'f' as form_ref")])
+    landed = sinks.landed_ops(ledger_queries.counted_ops(ops))
+    got = {r.op: r for r in landed.collect()}
+    assert (got["transfer"].ref, got["create_actor"].ref, got["create_actor"].form_ref, got["create_actor"].from_legs) == ("7", "a-17", "f", None)
+    assert [(x.actor_ref, x.account_name, x.amount) for x in got["transfer"].from_legs + got["transfer"].to_legs] == [("a", None, None), ("b", None, None)]
+    written = spark.read.option("mergeSchema", "true").parquet(landed.inputFiles()[0].rsplit("/", 2)[0])
+    assert sorted(written.columns) == sorted(ledger_queries.COUNTED)
